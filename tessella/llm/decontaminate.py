@@ -145,6 +145,16 @@ def contamination(docs: DataFrame, items: DataFrame, keys: tuple[str, ...] = ("d
     return out.select(*keys, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.array_sort(F.coalesce("items", F.array().cast("array<string>"))).alias("items"))
 
 
+def clean(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
+    """The rows of docs, all columns as they are, that hold no window of an item."""
+    tokens = tokenised(docs)
+    phrases = written(windows(items, size), "windows")
+    index = build_index(tokens, phrases.select(F.explode("phrase").alias("word")))
+    hits = written(phrase_matches(index, phrases).select(F.col("doc").alias("_hit")).distinct(), "contaminated")
+    key = F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit("")), F.col("text").isNull())
+    return docs.join(hits, key == F.col("_hit"), "left_anti")
+
+
 def op4(spark, sf_dir):
     from .common import table
 

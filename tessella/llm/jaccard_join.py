@@ -341,6 +341,20 @@ def jaccard_components(docs: DataFrame, size: int = 5, block: int = 3_000_000) -
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
+def distinct_documents(docs: DataFrame, size: int = 5) -> DataFrame:
+    """The rows of docs, all columns as they are, that are the first (smallest doc_id) of their component.
+
+    Of rows that agree in doc_id and text one stays.  Rows without a doc_id can't be told apart and stay.
+    """
+    ids = jaccard_components(docs, size).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
+    ids = written(ids.withColumnRenamed("doc_id", "_kept"), "jaccard-kept")
+    named = docs.where("doc_id is not null")
+    out = named.join(ids.where("rows = 1"), F.col("doc_id") == F.col("_kept"), "left_semi")
+    if ids.where("rows > 1").limit(1).count():
+        out = out.unionByName(named.join(ids.where("rows > 1"), F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    return out.unionByName(docs.where("doc_id is null"))
+
+
 def op8(spark, sf_dir):
     from .common import table
 

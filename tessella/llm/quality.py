@@ -186,6 +186,20 @@ def score(stats: DataFrame, model: Model | None, keep: list[str], name: str = "s
     return stats.select(*keep, "stats").mapInArrow(run, schema)
 
 
+def kept(docs: DataFrame, model: Model | None, least: float = 0.3, text: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose text scores ``least`` or more: one narrow pass."""
+
+    def run(batches):
+        for batch in batches:
+            buf, offsets = string_buffer(batch.column(text))
+            good = np.ones(batch.num_rows, bool)
+            for a, b in slices(offsets) if model else ():
+                good[a:b] = np.clip(model(statistics(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])), 0, 1) >= least
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def training_rows(stats: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
     """(doc_id, stats, y) of the documents with a label; ids and labels that are null are left out."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("y"))
