@@ -136,11 +136,11 @@ def test_suffix_dedup(docs, corpus):
 
 def test_common_intervals_are_equal_prefixes():
     rng = np.random.default_rng(0)
-    text = rng.integers(1, 4, 3000).astype(np.uint8)
+    text = np.append(rng.integers(1, 4, 3000), 0).astype(np.uint8)
     order, block = suffix_dedup.common_intervals(text, 6)
     strings = [bytes(text[i : i + 6]) for i in order]
     for k in range(1, len(order)):
-        if len(strings[k]) == 6 == len(strings[k - 1]):
+        if len(strings[k]) == 6 == len(strings[k - 1]) and 0 not in strings[k] + strings[k - 1]:
             assert (block[k] == block[k - 1]) == (strings[k] == strings[k - 1])
 
 
