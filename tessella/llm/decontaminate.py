@@ -89,19 +89,26 @@ def phrase_matches(index: DataFrame, phrases: DataFrame, broadcast_bytes: int =
 
     first = _small(part(1).select("window", "len", F.col("term").alias("t"), "offset"), n, 64, broadcast_bytes)
     found = index.join(first, F.col("term") == F.col("t")).select("doc", "window", F.col("len").alias("len"), (F.col("pos") - F.col("offset")).alias("start")).where("start >= 0").distinct()
+    def postings_of(candidates: DataFrame, terms: DataFrame | None) -> DataFrame:
+        """The postings (d, t2, p) that candidates may ask for: of their terms, in their documents."""
+        lists = index
+        if terms is not None:
+            lists = lists.join(_small(terms, n, 16, broadcast_bytes), F.col("term") == F.col("x"), "left_semi")
+        docs = candidates.select(F.col("doc").alias("d")).distinct()
+        lists = lists.join(_small(docs, docs.count(), 16, broadcast_bytes), F.col("doc") == F.col("d"), "left_semi")
+        return lists.select(F.col("doc").alias("d"), F.col("term").alias("t2"), F.col("pos").alias("p"))
+
     for rank in (2, 3):
         # candidates that have such a term need its posting at the adjusted position; shorter phrases pass
         want = written(found.join(_small(part(rank).select(F.col("window").alias("w"), F.col("term").alias("t"), "offset"), n, 64, broadcast_bytes), F.col("window") == F.col("w"), "left").drop("w"), f"candidates-{rank}")
-        terms = part(rank).select(F.col("term").alias("x")).distinct()
-        lists = index.join(_small(terms, n, 16, broadcast_bytes), F.col("term") == F.col("x"), "left_semi").select(F.col("doc").alias("d"), F.col("term").alias("t2"), F.col("pos").alias("p")).distinct()
+        lists = postings_of(want, part(rank).select(F.col("term").alias("x")).distinct())
         must = want.where("t is not null")
         kept = must.join(lists, (F.col("doc") == F.col("d")) & (F.col("t") == F.col("t2")) & (F.col("start") + F.col("offset") == F.col("p")), "left_semi")
         found = kept.select("doc", "window", "len", "start").unionByName(want.where("t is null").select("doc", "window", "len", "start"))
     found = written(found, "candidates")
     rest = _small(parts.where("rank > 3").select(F.col("window").alias("w"), F.col("term").alias("t"), "offset"), n, 64, broadcast_bytes)
     wanted = found.where("len > 3").join(rest, F.col("window") == F.col("w")).select("doc", "window", "len", "start", "t", (F.col("start") + F.col("offset")).alias("at"))
-    docs = found.select(F.col("doc").alias("d")).distinct()
-    lists = index.join(docs, F.col("doc") == F.col("d"), "left_semi").select(F.col("doc").alias("d"), F.col("term").alias("t2"), F.col("pos").alias("p")).distinct()
+    lists = postings_of(found, parts.where("rank > 3").select(F.col("term").alias("x")).distinct())
     agreed = wanted.join(lists, (F.col("doc") == F.col("d")) & (F.col("at") == F.col("p")) & (F.col("t") == F.col("t2")), "left_semi")
     whole = agreed.groupBy("doc", "window", "len", "start").agg(F.count("*").alias("n")).where("n = len - 3")
     return whole.select("doc", "window", "start", "len").unionByName(found.where("len <= 3").select("doc", "window", "start", "len"))
