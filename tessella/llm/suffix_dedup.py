@@ -216,17 +216,21 @@ def _contexts(texts: DataFrame, length: int, dests: int, spread: int) -> DataFra
             key_buf, key_offsets = string_buffer(batch.column("keys"))
             known = np.frombuffer(key_buf.tobytes(), U64)
             rid, doc = batch.column("rid").to_numpy(), batch.column("doc").to_numpy()
-            for a, b in slices(offsets, 1 << 24):
-                base = offsets[a]
-                of, first, last, place, hashes = minimiser_runs(buf[base : offsets[b]], offsets[a : b + 1] - base, length)
-                keys = (hashes >> U64(32)) | ((hashes % U64(dests)) << U64(32))
-                keep = np.zeros(len(of), bool)
-                cuts = np.searchsorted(of, np.arange(b - a + 1))
-                for i in range(b - a):
-                    mine = known[key_offsets[a + i] // 8 : key_offsets[a + i + 1] // 8]
-                    if len(mine):
-                        keep[cuts[i] : cuts[i + 1]] = np.isin(keys[cuts[i] : cuts[i + 1]], mine)
-                of, first, last, place, keys = of[keep], first[keep], last[keep], place[keep], keys[keep]
+            for top, end in slices(offsets, 1 << 24):  # contexts are dealt for 16 MB of text at once, and found in less
+                parts = []
+                for a, b in slices(offsets[top : end + 1]):
+                    a, b = a + top, b + top
+                    base = offsets[a]
+                    of, first, last, place, hashes = minimiser_runs(buf[base : offsets[b]], offsets[a : b + 1] - base, length)
+                    keys = (hashes >> U64(32)) | ((hashes % U64(dests)) << U64(32))
+                    keep = np.zeros(len(of), bool)
+                    cuts = np.searchsorted(of, np.arange(b - a + 1))
+                    for i in range(b - a):
+                        mine = known[key_offsets[a + i] // 8 : key_offsets[a + i + 1] // 8]
+                        if len(mine):
+                            keep[cuts[i] : cuts[i + 1]] = np.isin(keys[cuts[i] : cuts[i + 1]], mine)
+                    parts.append((of[keep] + a, first[keep] + base, last[keep] + base, place[keep] + base, keys[keep]))
+                of, first, last, place, keys = (np.concatenate(x) for x in zip(*parts, strict=True))
                 if not len(of):
                     continue
                 dest = (mix(keys) % U64(spread)).astype(np.int64)
@@ -234,8 +238,8 @@ def _contexts(texts: DataFrame, length: int, dests: int, spread: int) -> DataFra
                 of, first, last, place, keys, dest = of[order], first[order], last[order], place[order], keys[order], dest[order]
                 size = last - first + length
                 total = np.concatenate(([0], np.cumsum(size)))
-                raw = buf[base + np.repeat(first - total[:-1], size) + np.arange(total[-1])]
-                out = _dealt(dest, {"keys": keys, "rids": rid[of + a], "docs": doc[of + a], "starts": (first - (offsets[of + a] - base)).astype(np.uint32), "places": (place - first).astype(np.uint16), "sizes": size.astype(np.uint16)})
+                raw = buf[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
+                out = _dealt(dest, {"keys": keys, "rids": rid[of], "docs": doc[of], "starts": (first - offsets[of]).astype(np.uint32), "places": (place - first).astype(np.uint16), "sizes": size.astype(np.uint16)})
                 edges = np.concatenate(([0], np.flatnonzero(np.diff(dest)) + 1, [len(dest)]))
                 data = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(total[edges].astype(np.int32)), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays([*out.columns, data], names=[*out.schema.names, "data"])
@@ -338,7 +342,7 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text.alias("text"), F.xxhash64("doc_id", text).alias("rid"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    dests = int(max(4 * partitions(spark), size // 4_000_000))
+    dests = int(max(partitions(spark), size // 4_000_000))
     sent = written(_send(docs.withColumn("digest", F.md5("text")), length, dests), "suffix-keys")
     rows = sent.where("dest is null").select("rid", "chunk", "ord", "whole")
     keys = written(_document_keys(rows, _answers(sent.where("dest is not null"))), "suffix-shared")
@@ -347,7 +351,7 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
     texts = docs.select("doc_id", "doc", "text", "rid").repartition("rid")
     some = keys.where(F.octet_length("keys") > 0).groupBy(F.col("rid").alias("r")).agg(F.max("keys").alias("keys"))
     found = texts.join(some.hint("shuffle_hash"), F.col("rid") == F.col("r")).select("rid", "doc", "text", "keys")
-    removed = _by_document(_removed(_contexts(found, length, dests, dests), length, dests))
+    removed = _by_document(_removed(_contexts(found, length, dests, dests), length, partitions(spark)))
     whole = keys.where("whole").groupBy(F.col("rid").alias("r")).agg(F.max("whole").alias("whole")).select("r", F.lit(None).cast("binary").alias("runs"), "whole")
     info = removed.withColumn("whole", F.lit(False)).unionByName(whole).groupBy("r").agg(F.max("runs").alias("runs"), F.max("whole").alias("whole"))
 
