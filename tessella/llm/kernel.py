@@ -68,7 +68,7 @@ def string_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nd
     return buf, offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = (1 << 20) - 1) -> Iterator[tuple[int, int]]:
     """Ranges of documents of about ``most`` bytes each; a longer document is a range of its own."""
     n, a = len(offsets) - 1, 0
     while a < n:

@@ -77,15 +77,15 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         key = (key << U64(8)) | padded[j : n + j]
     covered = 8
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key, kind="stable").astype(np.int32)
         ranked = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate(([0], ranked[1:] != ranked[:-1])))
+        rank = np.empty(n, np.int32)
+        rank[order] = np.cumsum(np.concatenate(([False], ranked[1:] != ranked[:-1])), dtype=np.int32)
+        del ranked
         if covered >= depth or (n and rank[order[-1]] == n - 1):
             return order
-        beyond = np.zeros(n, np.int64)
-        beyond[: max(0, n - covered)] = rank[covered:] + 1
-        key = rank.astype(U64) * U64(n + 1) + beyond.astype(U64)
+        key = rank.astype(U64) * U64(n + 1)
+        key[: max(0, n - covered)] += rank[covered:].astype(U64) + U64(1)
         covered *= 2
 
 
@@ -98,13 +98,13 @@ def common_intervals(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
     n = len(text)
     order = suffix_array(text, length)
     transform = text[order - 1]  # the symbol before each suffix; the first suffix is led by the last symbol
-    forward = np.argsort(transform, kind="stable")  # entry of the suffix one symbol shorter
+    forward = np.argsort(transform, kind="stable").astype(np.int32)  # entry of the suffix one symbol shorter
     if n:
         # the suffix at the very end has no shorter one: it follows itself as the least of all
         column = transform[forward]
     apart = np.ones(n, bool)
     apart[1:] = column[1:] != column[:-1]
-    block = np.cumsum(apart)  # common prefixes of length 0 are told apart by the first symbol: round 1
+    block = np.cumsum(apart, dtype=np.int32)  # common prefixes of length 0 are told apart by the first symbol: round 1
     open_ = np.flatnonzero(~apart)
     for _ in range(length - 1):
         if not len(open_):
@@ -113,7 +113,7 @@ def common_intervals(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
         if split.any():
             apart[open_[split]] = True
             open_ = open_[~split]
-            block = np.cumsum(apart)
+            block = np.cumsum(apart, dtype=np.int32)
     return order, block
 
 
@@ -282,13 +282,24 @@ def _removed(contexts: DataFrame, length: int, groups: int) -> DataFrame:
         count = sizes[one] - length + 1
         first = np.concatenate(([0], np.cumsum(count)))
         minima = np.repeat(least, count)
-        if len(search):
-            span = sizes[one[search]]
+        # keys are apart from each other: about 1 MB of whole keys is searched at once
+        search = search[np.argsort(keys[one[search]], kind="stable")]
+        filled = np.cumsum(sizes[one[search]]) // (1 << 20)
+        whole = np.concatenate(([True], np.diff(keys[one[search]]) != 0)) if len(search) else np.zeros(0, bool)
+        edges, last = [0], 0
+        for k in np.flatnonzero(whole).tolist():
+            if filled[k] > last:
+                edges.append(k)
+                last = filled[k]
+        for a, b in zip(edges, [*edges[1:], len(search)], strict=True):
+            part = search[a:b]
+            if not len(part):
+                continue
+            span = sizes[one[part]]
             total = np.concatenate(([0], np.cumsum(span)))
-            raw = data[np.repeat(begin[one[search]] - total[:-1], span) + np.arange(total[-1])]
-            found = least_documents(raw, total, least[search], length)
-            n = count[search]
-            minima[np.repeat(first[search] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = found
+            raw = data[np.repeat(begin[one[part]] - total[:-1], span) + np.arange(total[-1])]
+            n = count[part]
+            minima[np.repeat(first[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = least_documents(raw, total, least[part], length)
         # back to every occurrence
         n = count[which]
         total = np.concatenate(([0], np.cumsum(n)))
