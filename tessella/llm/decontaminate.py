@@ -18,7 +18,9 @@ from pyspark.sql.window import Window
 
 from .common import written
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Between words of lower-cased texts, and a word of texts as they are.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -28,8 +30,13 @@ def ascii_lower(text: Column) -> Column:
 
 
 def word_array(text: Column) -> Column:
-    """The words of a text in order; null and empty texts have none."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """The words of a text in order, split at the gaps; null and empty texts have none."""
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP, -1), "")
+
+
+def word_count(text: Column) -> Column:
+    """The number of words, without making them; null and empty texts have none."""
+    return (F.size(F.split(F.coalesce(text, F.lit("")), WORD, -1)) - 1).cast("long")
 
 
 def _small(df: DataFrame, rows: int, row_bytes: int, broadcast_bytes: int) -> DataFrame:
@@ -147,7 +154,7 @@ def contamination(docs: DataFrame, items: DataFrame, keys: tuple[str, ...] = ("d
     which = hits.select("doc", "window").distinct().join(owners, F.col("window") == F.col("w")).select("doc", "item_id").distinct()
     which = which.groupBy("doc").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     found = spans.select("doc", covered.alias("n_hit")).join(which, "doc", "left").select(F.col("doc").alias("d"), "n_hit", "items")
-    counts = docs.select(F.xxhash64(*keys, F.coalesce(F.col("text"), F.lit("")), F.col("text").isNull()).alias("doc"), *keys, F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD.replace(r"\x60", r"\x40").replace(r"\x7B", r"\x5B-\x60\x7B"))).cast("long").alias("n_words"))
+    counts = docs.select(F.xxhash64(*keys, F.coalesce(F.col("text"), F.lit("")), F.col("text").isNull()).alias("doc"), *keys, word_count(F.col("text")).alias("n_words"))
     out = counts.join(found, F.col("doc") == F.col("d"), "left")
     return out.select(*keys, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.array_sort(F.coalesce("items", F.array().cast("array<string>"))).alias("items"))
 
