@@ -1,5 +1,6 @@
 """The operators against brute force on small fixtures with nulls, empty texts, ties, repeats and clashing columns."""
 
+import bisect
 import hashlib
 import random
 import re
@@ -334,3 +335,13 @@ def test_crc_fold(spark):
     rows = spark.createDataFrame([(i,) for i in range(50)], "doc_id long").select("doc_id", fold(F.col("doc_id"), 4)).collect()
     assert all(zlib.crc32(str(r[0]).encode()) % 4 == r[1] for r in rows)
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97])
+def test_range_lookup_is_bisection(spark, n):
+    rng = random.Random(n)
+    far = lambda: rng.choice([-(1 << 63), (1 << 63) - 1, rng.randrange(-(1 << 63), 1 << 63), rng.randrange(3)])
+    splitters = sorted({(far(), far()) for _ in range(n)})
+    keys = splitters + [(far(), far()) for _ in range(100)]
+    got = spark.createDataFrame(keys, "h long, i long").select("h", "i", sharding._range_of(splitters)("h", "i").alias("r")).collect()
+    assert all(r.r == bisect.bisect_right(splitters, (r.h, r.i)) for r in got)
