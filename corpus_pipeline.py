@@ -37,7 +37,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are brought to their weights (5, 2, 1, repeating; 150 % of the words in all, no document more than twice)."""
-    mixed = mixing.mix_sources(docs, F.array("source"), mixing.word_count(F.col("text")), [F.col("doc_id")])
+    mixed = mixing.mix_sources(docs, F.array("source"), mixing.word_count(F.col("text")), [F.col("doc_id"), F.xxhash64("text")])
     return mixing.repeated(mixed).select(docs.columns)
 
 

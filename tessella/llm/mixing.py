@@ -7,7 +7,8 @@ before it is deepened.  What flows out of a pattern fixes how many whole passes
 its documents get and how many tokens of one further pass a seeded order selects.
 
 Only the pattern totals reach the driver; ``max_patterns`` bounds them and the call
-fails beyond it.  Nothing but ids, sizes and a hash is shuffled.
+fails beyond it.  No document is shuffled: a search over sums finds where the seeded order of
+each pattern reaches its quota, and each row is held against that.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import partitions, written
+from .common import written
+
+#: Bits of the hash that orders documents, so that sums of bounds stay in a long.
+ORDER_BITS = 62
 
 
 def word_count(text: Column) -> Column:
@@ -125,11 +129,13 @@ def mix_sources(
     cut: the one document of a pattern that straddles its quota gives only the tokens still missing;
     else it is taken whole if at least half of it is wanted.
     A null or empty text has size 0 and takes nothing; a document of no source is never taken.
-    Rows with equal ``order`` columns tie and are told apart by their sizes only.
-    Input columns with names beginning ``mix_`` are replaced.
+    Rows with equal ``order`` columns tie: where they straddle, all give the same share, or all are taken or none.
+    Input columns with names beginning ``mix_`` are dropped.
     """
-    docs = docs.select("*", F.array_sort(F.array_distinct(members)).alias("mix_pattern"), size.cast("long").alias("mix_size"), F.xxhash64(F.lit(seed), *order).alias("mix_order"))
-    totals = docs.groupBy("mix_pattern").agg(F.sum("mix_size").alias("s"), F.count("*").alias("n")).limit(max_patterns + 1).collect()
+    columns = {"mix_pattern": F.array_sort(F.array_distinct(members)), "mix_size": size.cast("long"), "mix_order": F.shiftrightunsigned(F.xxhash64(F.lit(seed), *order), 64 - ORDER_BITS)}
+    docs = docs.drop(*[c for c in docs.columns if c.lower().startswith("mix_")]).withColumns(columns)
+    keys = written(docs.select(*columns), "mix-keys")  # texts are read once for this, and once for the result
+    totals = keys.groupBy("mix_pattern").agg(F.sum("mix_size").alias("s"), F.count("*").alias("n")).limit(max_patterns + 1).collect()
     if len(totals) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
     capacity = {tuple(r[0]): r[1] for r in totals if r[0] is not None}
@@ -140,29 +146,45 @@ def mix_sources(
                 sizes[p[0]] = sizes.get(p[0], 0) + s
         targets = weighted_targets(sizes, weights, share, passes)
     flow = min_cost_flow({p: s for p, s in capacity.items() if s}, targets, passes)
-    # The order within a pattern is cut into bins of a few thousand documents, so that no window holds a hot source.
-    rows, spark = [], docs.sparkSession
-    for r in totals:
-        used = sum(flow.get(tuple(r[0]), {}).values()) if r[0] is not None else 0
-        whole, rest = divmod(used, r[1]) if r[1] else (0, 0)
-        rows.append((r[0], max(1, r[2] // 4000), int(whole), int(rest)))
+    plan = {p: divmod(sum(flow[p].values()), s) for p, s in capacity.items() if p and s}
+    ends = _straddling(keys, {p: rest for p, (_, rest) in plan.items() if rest})
+    rows = [(list(p), whole, *ends.get(p, (-1, 0, 1))) for p, (whole, _) in plan.items()]
     element = docs.schema["mix_pattern"].dataType.simpleString()
-    plan = spark.createDataFrame(rows, f"p {element}, bins long, whole long, rest long")
-    docs = docs.join(F.broadcast(plan), docs.mix_pattern.eqNullSafe(plan.p)).drop("p")
-    docs = docs.withColumn("mix_bin", F.pmod("mix_order", "bins"))
-    bins = docs.groupBy("mix_pattern", "mix_bin").agg(F.sum("mix_size").alias("s"))
-    if bins.count() > partitions(spark) * 50:
-        bins = written(bins, "mix-bins")
-    before = Window.partitionBy("mix_pattern").orderBy("mix_bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.select(F.col("mix_pattern").alias("p"), F.col("mix_bin").alias("b"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("before"))
-    docs = docs.join(bins, docs.mix_pattern.eqNullSafe(bins.p) & (docs.mix_bin == bins.b)).drop("p", "b")
-    within = Window.partitionBy("mix_pattern", "mix_bin").orderBy("mix_order", *order, "mix_size").rowsBetween(Window.unboundedPreceding, -1)
-    docs = docs.withColumn("before", F.col("before") + F.coalesce(F.sum("mix_size").over(within), F.lit(0)))
-    left = F.greatest(F.lit(0), F.least("mix_size", F.col("rest") - F.col("before")))
-    more = left if cut else F.when(2 * left >= F.col("mix_size"), F.col("mix_size")).otherwise(0)
-    docs = docs.withColumn("mix_taken", F.when(F.size("mix_pattern") > 0, F.col("whole") * F.col("mix_size") + more).otherwise(0).cast("long"))
+    # a row for each pattern, of which there are at most max_patterns
+    plan = docs.sparkSession.createDataFrame(rows, f"mix_p {element}, mix_whole long, mix_at long, mix_need long, mix_tied long")
+    docs = docs.join(F.broadcast(plan), docs.mix_pattern.eqNullSafe(plan.mix_p), "left")
+    last = F.expr("cast(cast(mix_size as decimal(38,0)) * mix_need div mix_tied as long)") if cut else F.when(2 * F.col("mix_need") >= F.col("mix_tied"), F.col("mix_size")).otherwise(0)
+    more = F.when(F.col("mix_order") < F.col("mix_at"), F.col("mix_size")).when(F.col("mix_order") == F.col("mix_at"), last).otherwise(0)
+    docs = docs.withColumn("mix_taken", F.coalesce(F.col("mix_whole") * F.col("mix_size") + more, F.lit(0)).cast("long"))
     docs = docs.withColumn("mix_copies", F.when(F.col("mix_size") > 0, F.ceil(F.col("mix_taken") / F.col("mix_size"))).otherwise(0).cast("int"))
-    return docs.drop("mix_order", "mix_bin", "bins", "whole", "rest", "before")
+    return docs.drop("mix_order", "mix_p", "mix_whole", "mix_at", "mix_need", "mix_tied")
+
+
+def _straddling(keys: DataFrame, rest: Mapping[tuple, int], parts: int = 1024) -> dict[tuple, tuple[int, int, int]]:
+    """Where each pattern's seeded order reaches ``rest`` tokens: (mix_order there, tokens still missing, tokens of that order).
+
+    A search by ``parts`` intervals of the order at a time, all patterns at once: a round adds sizes up by
+    pattern and interval, combined map-side, and brings back the one interval of each pattern that straddles.
+    No row is moved, and no window holds more than ``parts`` rows.
+    """
+    spark, element = keys.sparkSession, keys.schema["mix_pattern"].dataType.simpleString()
+    out: dict[tuple, tuple[int, int, int]] = {}
+    open_ = {p: (0, (1 << ORDER_BITS) - 1, much) for p, much in rest.items()}
+    while open_:
+        rows = [(list(p), a, b, -(-(b - a + 1) // parts), much) for p, (a, b, much) in open_.items()]
+        now = spark.createDataFrame(rows, f"_p {element}, _a long, _b long, _width long, _much long")
+        sums = keys.join(F.broadcast(now), keys.mix_pattern.eqNullSafe(now._p)).where("mix_order between _a and _b")
+        sums = sums.groupBy("_p", "_much", F.expr("(mix_order - _a) div _width").alias("part")).agg(F.sum("mix_size").alias("s"), F.min("mix_order").alias("a"), F.max("mix_order").alias("b"))
+        upto = Window.partitionBy("_p").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+        found = sums.withColumn("upto", F.sum("s").over(upto)).where("upto > _much and upto - s <= _much").collect()
+        open_ = {}
+        for r in found:
+            missing = r._much - (r.upto - r.s)
+            if r.a == r.b:
+                out[tuple(r._p)] = (r.a, missing, r.s)
+            else:
+                open_[tuple(r._p)] = (r.a, r.b, missing)
+    return out
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

@@ -213,6 +213,31 @@ def test_mixing_meets_targets(docs, corpus):
     assert mixing.mix_sources(empty(docs), F.array("source"), F.lit(1), [F.col("doc_id")]).count() == 0
 
 
+def test_mixing_takes_the_seeded_order(spark):
+    rows = [(i, "abc"[i * 7 % 11 % 3], "abc"[i * 5 % 13 % 3], i * 3 % 10) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, s string, t string, w long")
+    mixed = mixing.mix_sources(docs, F.array("s", "t"), F.col("w"), [F.col("doc_id")], {"a": 1000, "b": 3000, "c": 5000}, cut=True)
+    groups, order = {}, F.shiftrightunsigned(F.xxhash64(F.lit(17), "doc_id"), 64 - mixing.ORDER_BITS)
+    for r in mixed.withColumn("o", order).collect():
+        groups.setdefault(tuple(r.mix_pattern), []).append((r.o, r.mix_size, r.mix_taken))
+    assert len(groups) > 3 and sum(t for g in groups.values() for _, _, t in g) == 9000
+    for group in groups.values():
+        whole, left = divmod(sum(t for _, _, t in group), sum(w for _, w, _ in group))
+        for _, w, taken in sorted(group):
+            more = min(w, left)
+            left -= more
+            assert taken == whole * w + more
+
+
+def test_mixing_of_ties_and_nulls(spark):
+    rows = [(None, "a b c", "x", 1)] * 2 + [(1, None, None, 2), (2, "", "x", 2)] + [(3, "q w e r", "y", 3)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_p int")
+    for cut in (True, False):
+        mixed = mixing.mix_sources(docs, F.array("source"), mixing.word_count(F.col("text")), [F.col("doc_id")], cut=cut)
+        taken = sorted((r.mix_size, r.mix_taken) for r in mixed.collect())
+        assert taken == [(0, 0), (0, 0), (3, 6), (3, 6), (4, 4), (4, 4)]
+
+
 def test_min_cost_flow_prefers_first_copies():
     flow = mixing.min_cost_flow({("a",): 10, ("a", "b"): 10, ("b",): 2}, {"a": 18, "b": 6})
     used = {p: sum(f.values()) for p, f in flow.items()}
