@@ -12,7 +12,8 @@ of the alphabet, and for the lag-one serial correlation.  Strings that are writt
 people fail at least one of them; keys don't.  Over all candidates of the input, a
 Benjamini-Hochberg step with weights in proportion to length controls the rate of keys
 falsely called structured; what it doesn't reject is reported, if it is long enough for
-the battery to have told it from prose.  The step needs the p-values of the whole input in
+the battery to have told it from prose.  Candidates of any length and of any symbols are
+tested: the statistics are sums over a string or over slices of it.  The step needs the p-values of the whole input in
 order: they are counted in bins of fixed number, and only the counts meet in one place.
 """
 
@@ -33,6 +34,8 @@ KINDS = ("assign", "access", "hex", "random")
 HEX_DIGITS = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+#: A slice is split into its symbols at once, a whole string isn't.
+SLICE = ".{1,256}"
 
 
 @dataclass(frozen=True)
@@ -40,7 +43,6 @@ class Settings:
     rate: float = 0.01  #: false-discovery rate of the rejections
     bins: int = 2000  #: of -log10 p, 100 to a decade
     least: int = 24  #: shortest reported string; hex and base32 need 32
-    most: int = 512  #: the battery looks at strings up to this length; longer ones are data, not keys
 
 
 _SPANS = "array<struct<start:int,end:int,kind:string,text:string>>"
@@ -87,34 +89,43 @@ def battery(candidates: DataFrame, token: str = "token") -> DataFrame:
     A token that no encoding fits, an empty one or a null one has null p-values.
     """
     t = F.col(token)
-    body = F.regexp_replace(F.regexp_replace(t, "=+$", ""), "[_-]", "+")
+    body = F.translate(F.regexp_replace(t, "=+$", ""), "-_", "+/")
     encoding = (
         F.when(t.rlike("^[0-9a-f]+$") | t.rlike("^[0-9A-F]+$"), "hex").when(t.rlike("^[A-Z2-7]+=*$"), "base32").when(t.rlike("^[A-Za-z0-9]+$"), "base62").when(t.rlike("^[A-Za-z0-9+/]+=*$") | t.rlike("^[A-Za-z0-9_-]+=*$"), "base64")
     )
     rows = candidates.withColumn("encoding", encoding)
     alphabet = F.when(F.col("encoding") == "hex", HEX_DIGITS).when(F.col("encoding") == "base32", BASE32).when(F.col("encoding") == "base62", BASE62).otherwise(BASE62 + "+/")
     symbols = F.when(F.col("encoding") == "hex", F.lower(t)).otherwise(body)
-    rows = rows.withColumns({"_s": symbols, "_k": F.length(alphabet).cast("double"), "_a": alphabet}).withColumn("_n", F.length("_s").cast("double"))
+    rows = rows.withColumns({"_s": symbols, "_k": F.length(alphabet).cast("double"), "_a": alphabet}).withColumn("_n", F.nullif(F.length("_s"), F.lit(0)).cast("double"))
     n, k = F.col("_n"), F.col("_k")
-    values = F.transform(F.filter(F.split("_s", ""), lambda c: c != ""), lambda c: F.instr(F.col("_a"), c).cast("double"))
-    squares = F.aggregate(F.array_distinct(F.filter(F.split("_s", ""), lambda c: c != "")), F.lit(0.0), lambda a, c: a + F.pow(n - F.length(F.replace(F.col("_s"), c, F.lit(""))), F.lit(2.0)))
-    rows = rows.withColumns({"_v": values, "_chi": squares * k / n - n})
+    slices = F.regexp_extract_all("_s", F.lit(SLICE), F.lit(0))
+    each = lambda s: F.filter(F.split(s, ""), lambda c: c != "")
+    distinct = F.aggregate(slices, F.array().cast("array<string>"), lambda a, s: F.array_union(a, each(s)))
+    squares = F.aggregate(distinct, F.lit(0.0), lambda a, c: a + F.pow(n - F.length(F.replace(F.col("_s"), c, F.lit(""))), F.lit(2.0)))
+    rows = rows.withColumn("_chi", squares * k / n - n)
     # Wilson and Hilferty: (chi / df) ** (1/3) is near normal
     df = k - 1
     z_uniform = (F.cbrt(F.col("_chi") / df) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    half = F.transform("_v", lambda v: F.when(v > k / 2, F.lit(1)).otherwise(F.lit(0)))
-    rows = rows.withColumn("_b", F.array_join(half.cast("array<string>"), ""))
-    changes = F.regexp_count("_b", F.lit("1(?=0)")) + F.regexp_count("_b", F.lit("0(?=1)"))
+    halves = lambda a: F.translate("_s", a, "0" * (len(a) // 2) + "1" * (len(a) // 2))
+    rows = rows.withColumn("_b", F.when(F.col("encoding") == "hex", halves(HEX_DIGITS)).when(F.col("encoding") == "base32", halves(BASE32)).when(F.col("encoding") == "base62", halves(BASE62)).otherwise(halves(BASE62 + "+/")))
+    changes = sum((n - F.length(F.replace(F.col("_b"), F.lit(x), F.lit("")))) / 2 for x in ("10", "01"))
     share = (F.floor(k / 2) / k) * (1 - F.floor(k / 2) / k)  # of each neighbouring pair to differ, halved
     z_runs = (changes - (n - 1) * 2 * share) / F.sqrt((n - 1) * 2 * share * (1 - 2 * share) + 1e-9)
     centre = (k + 1) / 2
-    pairs = F.zip_with(F.slice("_v", F.lit(1), F.greatest(F.size("_v") - 1, F.lit(0))), F.slice("_v", F.lit(2), F.greatest(F.size("_v") - 1, F.lit(0))), lambda a, b: (a - centre) * (b - centre))
-    z_serial = F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x) / ((k * k - 1) / 12 * F.sqrt(F.greatest(n - 1, F.lit(1.0))))
+    # the sum of products of neighbours, and the value of the symbol before
+    first = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("last"))
+
+    def neighbour(state: Column, c: Column) -> Column:
+        v = F.instr(F.col("_a"), c) - centre
+        return F.struct((state["total"] + state["last"] * v).alias("total"), v.alias("last"))
+
+    serial = F.aggregate(slices, first, lambda state, s: F.aggregate(each(s), state, neighbour))["total"]
+    z_serial = serial / ((k * k - 1) / 12 * F.sqrt(F.greatest(n - 1, F.lit(1.0))))
     ok = F.col("encoding").isNotNull() & (n > 1)
     rows = rows.withColumns({"_z_uniform": z_uniform, "_z_runs": z_runs, "_z_serial": z_serial})
     rows = rows.withColumns({"p_uniform": F.when(ok, _normal_tail(F.col("_z_uniform"))), "p_runs": F.when(ok, _two_sided(F.col("_z_runs"))), "p_serial": F.when(ok, _two_sided(F.col("_z_serial")))})
-    rows = rows.withColumn("p", F.least(F.lit(1.0), 3 * F.least("p_uniform", "p_runs", "p_serial")))
-    return rows.drop("_s", "_k", "_a", "_n", "_v", "_chi", "_b", "_z_uniform", "_z_runs", "_z_serial")
+    rows = rows.withColumn("p", F.when(n.isNotNull(), F.least(F.lit(1.0), 3 * F.least("p_uniform", "p_runs", "p_serial"))))
+    return rows.drop("_s", "_k", "_a", "_n", "_chi", "_b", "_z_uniform", "_z_runs", "_z_serial")
 
 
 def rejection_threshold(tested: DataFrame, settings: Settings) -> tuple[float, float]:
@@ -149,8 +160,7 @@ def scan(docs: DataFrame, keys: list[str], text: str = "text", settings: Setting
     t = F.coalesce(F.col(text), F.lit(""))
     scanned = _scanned(docs.select(*keys, F.col(text)), t, {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": TOKEN})
     value = lambda s: F.length(F.regexp_extract(s["text"], ASSIGN, 2)) >= 6  # noqa: E731  failing matches go after matching
-    likely = lambda s: (F.length(s["text"]) <= settings.most) & s["text"].rlike("[0-9]") & s["text"].rlike("[A-Za-z]")
-    found = scanned.select(*keys, F.concat(F.filter(_spans("assign"), value), _spans("access"), _spans("hex")).alias("base"), F.filter(_spans("random"), likely).alias("tokens"))
+    found = scanned.select(*keys, F.concat(F.filter(_spans("assign"), value), _spans("access"), _spans("hex")).alias("base"), _spans("random").alias("tokens"))
     free = F.filter("tokens", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     found = written(found.select(*keys, "base", free.alias("tokens")), "secret-spans")
     # equal strings get equal p-values, and each occurrence counts in the step

@@ -2,6 +2,7 @@
 
 import bisect
 import hashlib
+import math
 import random
 import re
 import string
@@ -198,6 +199,36 @@ def test_secrets(spark):
     assert secrets.scan(docs.where("false"), ["doc_id"]).count() == 0
 
 
+def test_secrets_of_any_length_and_symbols(spark):
+    rng = random.Random(1)
+    key = lambda n, a=secrets.BASE62: "".join(rng.choices(a, k=n))
+    keys = [key(n, secrets.BASE62 + more) for n in (600, 1600, 5000) for more in ("+/", "-_") for _ in range(4)] + [key(40, string.ascii_letters) for _ in range(12)]
+    plain = ["x" * 5000, "=" * 40, "-" * 40, "ab-" * 700, "the-quick-brown-fox-2024-jumps-over", "the-quick-brown-fox-jumps-over"]
+    docs = spark.createDataFrame(list(enumerate(f"see {t} there" for t in keys + plain)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end, s.kind, s.text) for s in r.spans] for r in secrets.scan(docs, ["doc_id"]).collect()}
+    found = [got[i] == [(4, 4 + len(t), "random", t)] for i, t in enumerate(keys)]
+    assert sum(found[:24]) >= 23 and sum(found[24:]) >= 11
+    assert not any(got[len(keys) + i] for i in range(len(plain)))
+
+
+def test_battery_matches_a_plain_reading(spark):
+    rng = random.Random(2)
+    alphabets = {"hex": secrets.HEX_DIGITS, "base32": secrets.BASE32, "base62": secrets.BASE62, "base64": secrets.BASE62 + "+/"}
+    tokens = [("".join(rng.choices(a, k=n - 2)) + a[-2:], e) for e, a in alphabets.items() for n in (40, 255, 256, 257, 258, 513, 2000)]
+    tokens += [(t.translate(str.maketrans("+/", "-_")), e) for t, e in tokens if e == "base64"]
+    got = {r.token: r for r in secrets.battery(spark.createDataFrame([(t,) for t, _ in tokens], "token string")).collect()}
+    for t, e in tokens:
+        v = np.array([alphabets[e].index(c) + 1.0 for c in t.translate(str.maketrans("-_", "+/"))])
+        n, k = len(v), len(alphabets[e])
+        chi = sum((np.sum(v == x) - n / k) ** 2 for x in range(1, k + 1)) * k / n
+        uniform = (np.cbrt(chi / (k - 1)) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+        runs = (np.sum(np.diff(v > k / 2)) - (n - 1) / 2) / math.sqrt((n - 1) / 4)
+        serial = np.sum((v[1:] - (k + 1) / 2) * (v[:-1] - (k + 1) / 2)) / ((k * k - 1) / 12 * math.sqrt(n - 1))
+        want = [math.erfc(uniform / math.sqrt(2)) / 2, math.erfc(abs(runs) / math.sqrt(2)), math.erfc(abs(serial) / math.sqrt(2))]
+        r = got[t]
+        assert r.encoding == e and np.allclose([r.p_uniform, r.p_runs, r.p_serial], want, atol=1e-5), (t, r, want)
+
+
 def test_mixing_meets_targets(docs, corpus):
     size = {}
     for r in corpus:
