@@ -29,7 +29,8 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 #: A run shorter than the minimum can't hold a match, so the minimum is part of these two patterns.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-TOKEN = r"[A-Za-z0-9+/=_-]{20,}"
+#: '=' pads the end and parts a value from its name anywhere else.
+TOKEN = r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/=_-]))?"
 KINDS = ("assign", "access", "hex", "random")
 HEX_DIGITS = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -91,7 +92,7 @@ def battery(candidates: DataFrame, token: str = "token") -> DataFrame:
     t = F.col(token)
     body = F.translate(F.regexp_replace(t, "=+$", ""), "-_", "+/")
     encoding = (
-        F.when(t.rlike("^[0-9a-f]+$") | t.rlike("^[0-9A-F]+$"), "hex").when(t.rlike("^[A-Z2-7]+=*$"), "base32").when(t.rlike("^[A-Za-z0-9]+$"), "base62").when(t.rlike("^[A-Za-z0-9+/]+=*$") | t.rlike("^[A-Za-z0-9_-]+=*$"), "base64")
+        F.when(t.rlike("^[0-9a-f]+$") | t.rlike("^[0-9A-F]+$"), "hex").when(t.rlike("^[A-Z2-7]+=*$"), "base32").when(t.rlike("^[A-Za-z0-9]+$"), "base62").when(t.rlike("^[A-Za-z0-9+/_-]+=*$"), "base64")
     )
     rows = candidates.withColumn("encoding", encoding)
     alphabet = F.when(F.col("encoding") == "hex", HEX_DIGITS).when(F.col("encoding") == "base32", BASE32).when(F.col("encoding") == "base62", BASE62).otherwise(BASE62 + "+/")
@@ -124,7 +125,7 @@ def battery(candidates: DataFrame, token: str = "token") -> DataFrame:
     ok = F.col("encoding").isNotNull() & (n > 1)
     rows = rows.withColumns({"_z_uniform": z_uniform, "_z_runs": z_runs, "_z_serial": z_serial})
     rows = rows.withColumns({"p_uniform": F.when(ok, _normal_tail(F.col("_z_uniform"))), "p_runs": F.when(ok, _two_sided(F.col("_z_runs"))), "p_serial": F.when(ok, _two_sided(F.col("_z_serial")))})
-    rows = rows.withColumn("p", F.when(n.isNotNull(), F.least(F.lit(1.0), 3 * F.least("p_uniform", "p_runs", "p_serial"))))
+    rows = rows.withColumn("p", F.when(ok, F.least(F.lit(1.0), 3 * F.least("p_uniform", "p_runs", "p_serial"))))
     return rows.drop("_s", "_k", "_a", "_n", "_chi", "_b", "_z_uniform", "_z_runs", "_z_serial")
 
 

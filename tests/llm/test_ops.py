@@ -211,6 +211,21 @@ def test_secrets_of_any_length_and_symbols(spark):
     assert not any(got[len(keys) + i] for i in range(len(plain)))
 
 
+def test_secrets_after_a_name(spark):
+    rng = random.Random(5)
+    key = lambda n, a=secrets.BASE62: "".join(rng.choices(a, k=n))
+    forms = [("AWS_SECRET_ACCESS_KEY=", "", ""), ("signing_key=", "", " there"), ("https://h/x?sig=", "", "&page=2"), ("a_name_of_more_than_twenty=", "", ""), ("x=", "-_==", "\n"), ("y=", "+/=", ""), ("see ", "/a-key", ".")]
+    cases = [(a, key(40) + more, b) for a, more, b in forms for _ in range(5)]
+    plain = ["first_long_name=some-plain-words-2024-and-more", "the-quick-brown-fox-2024-jumps-over=the-quick-brown-fox-2024-jumps-over", "=" * 60, "name" + "=" * 40 + "value", "a=b=" * 30]
+    docs = spark.createDataFrame(list(enumerate([a + t + b for a, t, b in cases] + plain)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end, s.kind, s.text) for s in r.spans] for r in secrets.scan(docs, ["doc_id"]).collect()}
+    wrong = [(c, got[i]) for i, c in enumerate(cases) if got[i] != [(len(c[0]), len(c[0] + c[1]), "random", c[1])]]
+    assert len(wrong) <= 1, wrong
+    assert not any(got[len(cases) + i] for i in range(len(plain)))
+    odd = spark.createDataFrame([("ab=cd",), ("",), (None,), ("==",), ("x",)], "token string")
+    assert all(r.p is None for r in secrets.battery(odd).collect())
+
+
 def test_battery_matches_a_plain_reading(spark):
     rng = random.Random(2)
     alphabets = {"hex": secrets.HEX_DIGITS, "base32": secrets.BASE32, "base62": secrets.BASE62, "base64": secrets.BASE62 + "+/"}
