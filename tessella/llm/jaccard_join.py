@@ -78,7 +78,7 @@ def _signatures(one: np.ndarray) -> tuple[int, int]:
 
 
 def shingle_table(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, hi, node, chunk, ord, entries): one row for each document.
+    """(doc_id, blank, n, hi, node, chunk, ord, entries): one row for each document (doc_id, blank, text).
 
     ``entries``: the prefix in hash order, or the whole set if it is small; null where the set is empty
     or came before in the same batch.
@@ -100,11 +100,11 @@ def shingle_table(docs: DataFrame, size: int) -> DataFrame:
                 k, chunk = len(n), uuid.uuid4().int & ((1 << 62) - 1)
                 as_long = lambda x: pa.array(np.array(x, U64).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(n, pa.int32()), as_long(hi), as_long(lo), pa.array([chunk] * k, pa.int64()), pa.array(range(k), pa.int32()), pa.array(entries, pa.binary())],
-                    names=["doc_id", "n", "hi", "node", "chunk", "ord", "entries"],
+                    [piece.column("doc_id"), piece.column("blank"), pa.array(n, pa.int32()), as_long(hi), as_long(lo), pa.array([chunk] * k, pa.int64()), pa.array(range(k), pa.int32()), pa.array(entries, pa.binary())],
+                    names=["doc_id", "blank", "n", "hi", "node", "chunk", "ord", "entries"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, hi long, node long, chunk long, ord int, entries binary")
+    return docs.select("doc_id", "blank", "text").mapInArrow(run, "doc_id long, blank long, n int, hi long, node long, chunk long, ord int, entries binary")
 
 
 def _dealt(dest: np.ndarray, columns: dict[str, np.ndarray], extra: dict | None = None) -> pa.RecordBatch | None:
@@ -283,10 +283,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, block: int = 3_000_000) -
 
     A null or empty text has no shingles and is its own component; equal sets are linked; rows
     that share a doc_id with different texts are kept apart as sets, and each takes the smallest
-    doc_id of its own component.  ``block``: shingles that one task holds at most, but for a single set.
+    doc_id of its own component.  Rows without a doc_id link and tie others together like any row; a
+    component's id is null only if none of its rows has one.  ``block``: shingles that one task holds at most, but for a single set.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # rows without an id are found again by the hash of their text
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("blank", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
     rows = written(shingle_table(docs, size), "shingle-sets")
     sets = rows.where("entries is not null")
     sizes = {r[0]: r[1] for r in sets.where(F.col("n") <= LIGHT_MOST * 2).groupBy("n").count().collect()}
@@ -299,9 +301,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, block: int = 3_000_000) -
     heavy = heavy.withColumn("entries", F.when(F.col("n") <= LIGHT_MOST, cut).otherwise(F.col("entries")))
     keys = heavy_keys(heavy, list_replies(heavy, dests), dests).unionByName(light_keys(sets, most, dests))
     candidates = written(components(list_edges(keys), "jaccard-groups"), "jaccard-candidates")
-    # one document for each candidate set brings its text
-    chosen = sets.join(candidates.withColumnRenamed("node", "x"), F.col("node") == F.col("x")).groupBy("node", "root").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    chosen = written(chosen, "jaccard-chosen")
+    # one document for each candidate set brings its text, one with an id if there is any
+    chosen = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("blank").alias("blank"), F.max("n").alias("n"))
+    chosen = written(chosen.join(candidates.withColumnRenamed("node", "x"), F.col("node") == F.col("x")).drop("x"), "jaccard-chosen")
     blocks = chosen.groupBy("root").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
     blocks = written(blocks.select(F.col("root").alias("r"), "blocks"), "jaccard-blocks")
     chosen = chosen.join(blocks, F.col("root") == F.col("r")).drop("r")
@@ -326,7 +328,10 @@ def jaccard_components(docs: DataFrame, size: int = 5, block: int = 3_000_000) -
         root = joined([np.frombuffer(x, U64) for x in values])
         return pa.table({"a": node, "b": node[root]})
 
-    texts = docs.where("doc_id is not null").join(chosen.withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d")).select("text", "node", "root", "blocks")
+    texts = docs.where("doc_id is not null").join(chosen.where("doc_id is not null").drop("blank").withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d")).select("text", "node", "root", "blocks")
+    nameless = chosen.where("doc_id is null").drop("doc_id").withColumnRenamed("blank", "d")
+    if nameless.limit(1).count():
+        texts = texts.unionByName(docs.where("doc_id is null").join(nameless, F.col("blank") == F.col("d")).select("text", "node", "root", "blocks").distinct())
     whole = texts.mapInArrow(rebuild, "root long, node long, blocks int, entries binary")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = whole.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

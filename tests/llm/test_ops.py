@@ -91,6 +91,26 @@ def test_jaccard_components(docs, corpus, block):
     assert rows_by_id(got) == sorted(((r[0], len(s), least[g]) for r, s, g in zip(corpus, sets, want, strict=True)), key=str)
 
 
+@pytest.mark.parametrize("block", [3_000_000, 800])
+def test_jaccard_rows_without_an_id(spark, corpus, block):
+    rng = random.Random(6)
+    words = WORDS[:100]
+    left, middle, right = words, words[:90] + WORDS[200:210], WORDS[210:220] + words[10:90] + WORDS[200:210]
+    rows = [(None, " ".join(middle)), (None, " ".join(middle)), (501, " ".join(left)), (500, " ".join(right))]  # linked by the middle only
+    other = [w + "q" for w in words]
+    rows += [(None, " ".join(other)), (600, " ".join(other)), (601, " ".join(other[:-1]))]  # the first copy has no id
+    rows += [(None, " ".join(w + "z" for w in words[:i])) for i in (100, 99)]
+    rows += [(None if rng.random() < 0.4 else r[0], r[1]) for r in corpus]
+    sets = [shingles(t) for _, t in rows]
+    want = groups(len(sets), lambda i, j: bool(sets[i]) and bool(sets[j]) and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]))
+    least = {}
+    for (i, _), g in zip(rows, want, strict=True):
+        least[g] = min((x for x in (i, least.get(g)) if x is not None), default=None)
+    assert least[want[2]] == 500 and least[want[6]] == 600
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert rows_by_id(jaccard_join.jaccard_components(docs, block=block)) == sorted(((i, len(s), least[g]) for (i, _), s, g in zip(rows, sets, want, strict=True)), key=str)
+
+
 def test_jaccard_small_sets_and_empty(spark, docs):
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choices("abc", k=rng.randrange(1, 22)))) for i in range(300)]
