@@ -71,6 +71,7 @@ def components(edges: DataFrame, tag: str = "cc", rounds: int = 60) -> DataFrame
     split only as far as min() needs, which is combined map-side.  The parts of each
     round are written, so that both sides of the joins are dealt anew and adaptive
     execution can split a hub's rows.  Nodes that have no edge are not returned.
+    Ends when a round changes nothing; an error if that takes more than ``rounds``.
     """
     now = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), tag)
     before = None
@@ -86,5 +87,7 @@ def components(edges: DataFrame, tag: str = "cc", rounds: int = 60) -> DataFrame
         low = written(large.groupBy("b").agg(F.min("a").alias("m")).select(F.col("b").alias("x"), "m"), tag)
         small = large.join(low, large.b == low.x).select("m", F.explode(F.array("a", "b")).alias("b")).where("m <> b")
         now = written(small.select(F.col("m").alias("a"), "b").distinct(), tag)
+    else:
+        raise RuntimeError(f"{tag}: components still change after {rounds} rounds")
     roots = now.groupBy("b").agg(F.min("a").alias("root")).select(F.col("b").alias("node"), "root")
     return roots.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())

@@ -420,6 +420,17 @@ def test_isotonic_rises():
     assert (np.diff(v) >= 0).all() and abs(v @ np.array([2.0, 2, 4, 4, 5]) - 11) < 1e-9
 
 
+def test_components_end_converged_or_fail(spark):
+    from tessella.llm.common import components
+
+    order = random.Random(0).sample(range(300), 300)
+    edges = spark.createDataFrame(list(zip(order, order[1:], strict=False)), "a long, b long")
+    assert {(r.node, r.root) for r in components(edges).collect()} == {(i, 0) for i in range(300)}
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        components(edges, rounds=2)
+    assert components(edges.where("false"), rounds=1).count() == 0
+
+
 def test_crc_fold(spark):
     from tessella.llm.common import fold
 
