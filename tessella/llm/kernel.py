@@ -77,6 +77,26 @@ def slices(offsets: np.ndarray, most: int = (1 << 20) - 1) -> Iterator[tuple[int
         a = min(b, n)
 
 
+def pieces(buf: np.ndarray, offsets: np.ndarray, overlap: int, most: int = (1 << 20) - 1) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """(bytes, offsets, number of the first document, shift): slices of about ``most`` bytes.
+
+    A longer document comes in pieces that share ``overlap`` bytes with the next, each a slice of its own
+    that begins ``shift`` bytes into the document.
+    """
+    n, a = len(offsets) - 1, 0
+    while a < n:
+        size = int(offsets[a + 1] - offsets[a])
+        if size > most + overlap:
+            for s in range(0, size - overlap, most):
+                e = min(size, s + most + overlap)
+                yield buf[offsets[a] + s : offsets[a] + e], np.array([0, e - s]), a, s
+            a += 1
+        else:
+            b = min(n, max(a + 1, int(np.searchsorted(offsets, offsets[a] + most, "right")) - 1))
+            yield buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], a, 0
+            a = b
+
+
 def words(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words of all documents, and the word number at which each document starts."""
     inside = table[buf]

@@ -1,13 +1,14 @@
 """Removal of byte strings that already start in an earlier document, by a bounded BWT search.
 
-A string of ``length`` bytes is represented by the smallest hash among the short grams
-inside it (its minimiser), which equal strings place alike.  Routing by minimiser brings
-all starts of a string to one task, wherever they are in the corpus:
-
-1. each document sends the 32-bit keys of its minimisers to lists, which answer with
-   those that another document holds too;
-2. only around these, documents send contexts: the bytes of the run of strings that one
-   minimiser stands for;
+A string of ``length`` bytes is represented by the least gram inside it (its minimiser), which
+equal strings place alike.  Routing by minimiser brings all starts of a string to one task,
+wherever they are in the corpus:
+
+1. each document sends two keys for each minimiser, the gram with half of what surrounds it on
+   the left and on the right: equal strings agree on one of them.  Lists answer with the keys
+   that another document holds too; copies of a key in one batch are sent once;
+2. only around these, documents send contexts: the bytes of those strings of a minimiser that a
+   shared key covers.  Equal contexts of some megabytes of text are sent once;
 3. a task builds the suffix array and the Burrows-Wheeler transform of its distinct
    contexts and splits suffix intervals by backward extension, one more byte for each
    round.  The round in which a boundary appears is the length of the common prefix of
@@ -16,9 +17,12 @@ all starts of a string to one task, wherever they are in the corpus:
    interval says which starts of the others go;
 4. starts are brought back to their documents, merged to spans and cut out.
 
-Texts are shuffled, never collected; a list or context partition grows by one entry for
-each document that holds a frequent passage, and exact copies within a batch are
-one document.
+Grams that a share of a sample of documents hold come last in the order of minimisers (any order
+gives the same result): a string that only touches a frequent passage is routed by a gram of its
+own, and those inside the passage have equal contexts.  A minimiser with more contexts than a
+search takes at once is split into its strings, which are searched by the hash of their bytes.
+Texts are shuffled, never collected; long documents are read in overlapping pieces, and what
+repeats from period to period of a text is sent once with a count.
 """
 
 from __future__ import annotations
@@ -30,24 +34,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, partitions, written
+from .common import discard, kept, partitions, workspace, written
 from .jaccard_join import _dealt, _gathered
-from .kernel import BYTE_CODE, U64, mix, powers, prefix_hash, slices, span_hash, string_buffer
+from .kernel import BYTE_CODE, U64, mix, pieces, powers, prefix_hash, span_hash, string_buffer
 
 GRAM = 20
 LAST = (1 << 63) - 1  #: where a null doc_id stands in the order
+FREQUENT_BITS = 22  #: size of the table that tells frequent grams; a collision moves one more gram to the end
+SEARCHED = 1 << 20  #: bytes of contexts that are searched at once
+MULTI = 1 << 15  #: marks a key that several documents of a batch hold
 
 
-def minimiser_runs(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first start, last start, place, hash) of each run of starts that share a minimiser."""
-    window, n = length - gram + 1, len(buf) - length + 1
-    none = np.zeros(0, np.int64)
+def _gram_hashes(buf: np.ndarray, prefix: np.ndarray, gram: int) -> np.ndarray:
+    grams = max(0, len(buf) - gram + 1)
+    return mix((prefix[gram:] - prefix[:-gram]) * powers(len(prefix))[1][:grams]) if grams else np.zeros(0, U64)
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & U64((1 << FREQUENT_BITS) - 1)).astype(np.int64)
+
+
+def minimiser_runs(buf: np.ndarray, offsets: np.ndarray, length: int, frequent: np.ndarray | None = None, gram: int = GRAM) -> dict[str, np.ndarray]:
+    """Runs of starts that share a minimiser: ``of`` (document), ``first`` and ``last`` start, ``place`` and ``hash``
+    of the gram, and ``left`` and ``right``, the hashes of the gram with half of the rest on that side, where a start
+    of the run has that much (``has_left``, ``has_right``): those from ``place - half`` back, and the others."""
+    window, half, n = length - gram + 1, (length - gram) // 2, len(buf) - length + 1
     if n <= 0:
-        return none, none, none, none, np.zeros(0, U64)
+        none = np.zeros(0, np.int64)
+        return {k: none for k in ("of", "first", "last", "place")} | {k: none.astype(U64) for k in ("hash", "left", "right")} | {k: none.astype(bool) for k in ("has_left", "has_right")}
     prefix = prefix_hash(buf, BYTE_CODE)
-    grams = len(buf) - gram + 1
-    hashes = mix((prefix[gram:] - prefix[:-gram]) * powers(len(prefix))[1][:grams])
-    least = (hashes & ~U64(0xFFFFFFFF)) | np.arange(grams, dtype=U64)
+    hashes = _gram_hashes(buf, prefix, gram)
+    order = hashes >> U64(1)
+    if frequent is not None:
+        order |= frequent[_slot(hashes)].astype(U64) << U64(63)
+    least = (order & ~U64(0xFFFFFFFF)) | np.arange(len(hashes), dtype=U64)
     span = 1
     while 2 * span <= window:
         least = np.minimum(least[:-span], least[span:])
@@ -65,7 +85,14 @@ def minimiser_runs(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int
     stop = np.ones(n, bool)
     stop[:-1] = new[1:] | ~inside[1:]
     last = np.flatnonzero(stop & inside)
-    return np.searchsorted(offsets, first, "right") - 1, first, last, place[first], hashes[place[first]]
+    place = place[first]
+    has_left, has_right = place - first >= half, place - last < half
+    left, right = np.zeros(len(first), U64), np.zeros(len(first), U64)
+    at = place[has_left]
+    left[has_left] = mix(span_hash(prefix, at - half, at + gram) + U64(1))
+    at = place[has_right]
+    right[has_right] = mix(span_hash(prefix, at, at + gram + half) + U64(2))
+    return {"of": np.searchsorted(offsets, first, "right") - 1, "first": first, "last": last, "place": place, "hash": hashes[place], "left": left, "right": right, "has_left": has_left, "has_right": has_right}
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -137,52 +164,84 @@ def least_documents(contexts: np.ndarray, offsets: np.ndarray, document: np.ndar
     return at_place[where]
 
 
-def _send(docs: DataFrame, length: int, dests: int) -> DataFrame:
-    """Rows of documents (rid, doc, chunk, ord, whole) and, with a dest, of the keys that they send."""
+def frequent_grams(docs: DataFrame, rows: int, sample: int = 1000, share: float = 0.01, most: int = 1 << 18) -> np.ndarray | None:
+    """A table of the grams that at least ``share`` of about ``sample`` documents (rid, text) hold, at most ``most``; only their order depends on it."""
+    if not rows:
+        return None
+    picked = docs.where(F.pmod("rid", F.lit(1 << 30)) < F.lit(int(min(1.0, sample / rows) * (1 << 30))))
+
+    def run(batches):
+        for batch in batches:
+            buf, offsets = string_buffer(batch.column("text"))
+            for part, at, _, _ in pieces(buf, offsets, GRAM - 1):
+                hashes = _gram_hashes(part, prefix_hash(part, BYTE_CODE), GRAM)
+                for a, b in zip(at[:-1], at[1:], strict=True):
+                    if b - a >= GRAM:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes[a : b - GRAM + 1]).view(np.int64))], names=["gram"])
+
+    held = max(4, int(share * min(rows, sample)))
+    found = picked.select("text").mapInArrow(run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= held).orderBy(F.desc("n"), "gram").limit(most).select("gram").toArrow()
+    table = np.zeros(1 << FREQUENT_BITS, bool)
+    table[_slot(found["gram"].to_numpy().view(U64))] = True
+    return table
+
+
+def _key_ids(hashes: np.ndarray, dests: int) -> np.ndarray:
+    """The list that a key belongs to, and 32 bits that tell it from others there."""
+    return (hashes >> U64(32)) | ((hashes % U64(dests)) << U64(32))
+
+
+def _send(docs: DataFrame, length: int, dests: int, frequent) -> DataFrame:
+    """Rows of documents (chunk, ord, rid), of the keys that they send (dest, chunk, keys, ords), and of those
+    that another document of the batch holds too (dest -1)."""
 
     def run(batches):
         for batch in batches:
-            for s in range(0, batch.num_rows, 1 << 16):
-                piece = batch.slice(s, 1 << 16)
-                chunk = uuid.uuid4().int & ((1 << 62) - 1)
-                doc, digest = piece.column("doc").to_numpy(), piece.column("digest").to_pylist()
-                least: dict[bytes, int] = {}
-                for i in np.argsort(doc, kind="stable").tolist():
-                    least.setdefault(digest[i], i)
-                own = np.array([least[x] for x in digest])
-                alone = own == np.arange(len(own))
-                buf, offsets = string_buffer(piece.column("text"))
-                keys, ords = [], []
-                for a, b in slices(offsets):
-                    of, _, _, _, hashes = minimiser_runs(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length)
-                    mine = alone[of + a]
-                    keys.append(hashes[mine]), ords.append(of[mine] + a)
-                k, none = len(doc), pa.nulls
-                yield pa.RecordBatch.from_arrays(
-                    [none(k, pa.int32()), pa.array([chunk] * k, pa.int64()), none(k, pa.binary()), none(k, pa.binary()), piece.column("rid"), piece.column("doc"), pa.array(range(k), pa.int32()), pa.array(doc[own] < doc)],
-                    names=["dest", "chunk", "keys", "ords", "rid", "doc", "ord", "whole"],
-                )
-                keys, ords = np.concatenate(keys), np.concatenate(ords)
-                out = _dealt((keys % U64(dests)).astype(np.int64), {"keys": (keys >> U64(32)).astype(np.uint32), "ords": ords.astype(np.uint16)}, {"chunk": chunk})
-                if out is not None:
+            offsets = string_buffer(batch.column("text"))[1]
+            a = 0
+            while a < batch.num_rows:  # a chunk is some megabytes of text
+                b = min(batch.num_rows, a + MULTI, max(a + 1, int(np.searchsorted(offsets, offsets[a] + (1 << 25), "right")) - 1))
+                piece, chunk = batch.slice(a, b - a), uuid.uuid4().int & ((1 << 62) - 1)
+                a = b
+                k, none = piece.num_rows, pa.nulls
+                yield pa.RecordBatch.from_arrays([none(k, pa.int32()), pa.array([chunk] * k, pa.int64()), none(k, pa.binary()), none(k, pa.binary()), piece.column("rid"), pa.array(range(k), pa.int32())], names=["dest", "chunk", "keys", "ords", "rid", "ord"])
+                ids, ords = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+                for part, at, doc, _ in pieces(*string_buffer(piece.column("text")), length - 1):
+                    runs = minimiser_runs(part, at, length, frequent.value if frequent else None)
+                    for side in ("left", "right"):
+                        live = runs[f"has_{side}"]
+                        ids.append(_key_ids(runs[side][live], dests)), ords.append(runs["of"][live] + doc)
+                ids, ords = np.concatenate(ids), np.concatenate(ords)
+                order = np.lexsort((ords, ids))
+                ids, ords = ids[order], ords[order]
+                if not len(ids):
+                    continue
+                new = np.concatenate(([True], (np.diff(ids) != 0) | (np.diff(ords) != 0)))
+                ids, ords = ids[new], ords[new]
+                first = np.flatnonzero(np.concatenate(([True], np.diff(ids) != 0)))
+                held = np.diff(np.append(first, len(ids)))
+                many = np.repeat(held > 1, held)
+                sent = _dealt((ids[first] >> U64(32)).astype(np.int64), {"keys": ids[first].astype(np.uint32), "ords": (ords[first] | np.where(held > 1, MULTI, 0)).astype(np.uint16)}, {"chunk": chunk})
+                here = pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([chunk], pa.int64()), pa.array([ids[many].tobytes()], pa.binary()), pa.array([ords[many].astype(np.uint16).tobytes()], pa.binary())], names=["dest", "chunk", "keys", "ords"])
+                for out in (sent, here):
                     m = out.num_rows
-                    yield pa.RecordBatch.from_arrays([*(out.column(c) for c in ("dest", "chunk", "keys", "ords")), none(m, pa.int64()), none(m, pa.int64()), none(m, pa.int32()), none(m, pa.bool_())], names=["dest", "chunk", "keys", "ords", "rid", "doc", "ord", "whole"])
+                    yield pa.RecordBatch.from_arrays([*(out.column(c) for c in ("dest", "chunk", "keys", "ords")), none(m, pa.int64()), none(m, pa.int32())], names=["dest", "chunk", "keys", "ords", "rid", "ord"])
 
-    return docs.select("rid", "doc", "digest", "text").mapInArrow(run, "dest int, chunk long, keys binary, ords binary, rid long, doc long, ord int, whole boolean")
+    return docs.select("rid", "text").mapInArrow(run, "dest int, chunk long, keys binary, ords binary, rid long, ord int")
 
 
 def _answers(sent: DataFrame) -> DataFrame:
-    """(chunk, ords, keys): keys that more than one document sent."""
+    """(chunk, ords, keys): keys that documents of more than one chunk sent, to those that don't know it yet."""
     shape = {"ords": pa.binary(), "keys": pa.binary()}
 
     def answer(table: pa.Table) -> pa.Table:
         keys, ords = _gathered(table["keys"], np.uint32), _gathered(table["ords"], np.uint16)
         where = np.repeat(np.arange(table.num_rows), [len(x) // 4 for x in table["keys"].to_pylist()])
-        document = (where << 16) | ords
         order = np.argsort(keys, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], np.diff(keys[order]) != 0)))
-        many = np.minimum.reduceat(document[order], first) != np.maximum.reduceat(document[order], first)
-        live = order[np.repeat(many, np.diff(np.append(first, len(order))))]
+        held = np.diff(np.append(first, len(order)))
+        live = order[np.repeat(held > 1, held)]
+        live = live[ords[live] < MULTI]
         out = _dealt(where[live], {"ords": ords[live], "keys": keys[live].astype(U64) | (U64(table["dest"][0].as_py()) << U64(32))})
         if out is None:
             return pa.table({"chunk": pa.array([], pa.int64()), **{k: pa.array([], t) for k, t in shape.items()}})
@@ -192,23 +251,66 @@ def _answers(sent: DataFrame) -> DataFrame:
 
 
 def _document_keys(rows: DataFrame, answers: DataFrame) -> DataFrame:
-    """(rid, keys, whole) of the documents that have shared keys or are copies within their batch."""
+    """(rid, keys) of the documents that have shared keys."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         by = np.argsort(left["ord"].to_numpy())
-        rid, whole = left["rid"].to_numpy()[by], left["whole"].to_numpy()[by]
+        rid = left["rid"].to_numpy()[by]
         ords, keys = _gathered(right["ords"], np.uint16).astype(np.int64), _gathered(right["keys"], U64)
-        order = np.lexsort((keys, ords))
+        order = np.argsort(ords, kind="stable")
         ords, keys = ords[order], keys[order]
         cuts = np.searchsorted(ords, np.arange(len(rid) + 1))
-        some = np.flatnonzero((np.diff(cuts) > 0) | whole)
-        return pa.table({"rid": rid[some], "keys": pa.array([np.unique(keys[cuts[i] : cuts[i + 1]]).tobytes() for i in some], pa.binary()), "whole": whole[some]})
-
-    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, "rid long, keys binary, whole boolean")
-
-
-def _contexts(texts: DataFrame, length: int, dests: int, spread: int) -> DataFrame:
-    """(dest, ...) the contexts of shared minimisers of texts (rid, doc, text, keys)."""
+        some = np.flatnonzero(np.diff(cuts) > 0)
+        return pa.table({"rid": rid[some], "keys": pa.array([keys[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary())})
+
+    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, "rid long, keys binary")
+
+
+def _packed(arrays: list[np.ndarray]) -> pa.Array:
+    return pa.array([x.tobytes() for x in arrays], pa.binary())
+
+
+def _contexts(texts: DataFrame, length: int, dests: int, spread: int, frequent) -> DataFrame:
+    """(dest, keys, sizes, data, ctx, rids, docs, starts, times): distinct contexts of some megabytes of texts (rid, doc, text, keys),
+    and where they occur: ``times`` times in a row, each at the first start after the last of the one before."""
+
+    def emit(found: list[dict], rid: np.ndarray, doc: np.ndarray):
+        at = {k: np.concatenate([x[k] for x in found]) for k in ("of", "first", "count", "key", "digest")}
+        if not len(at["of"]):
+            return
+        size = at["count"] + length - 1
+        raw = np.concatenate([x["raw"] for x in found])
+        total = np.concatenate(([0], np.cumsum(size)))
+        _, one, which = np.unique(at["digest"], return_index=True, return_inverse=True)
+        # what follows itself in a document is one occurrence with a count
+        new = np.ones(len(which), bool)
+        new[1:] = (which[1:] != which[:-1]) | (at["of"][1:] != at["of"][:-1]) | (at["first"][1:] != at["first"][:-1] + at["count"][:-1])
+        head = np.flatnonzero(new)
+        times = np.diff(np.append(head, len(which)))
+        dest = (mix(at["key"][one]) % U64(spread)).astype(np.int64)
+        by = np.argsort(dest, kind="stable")
+        number = np.empty(len(one), np.int64)  # of each context in the order of destinations
+        number[by] = np.arange(len(one))
+        sorted_dest = dest[by]
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(sorted_dest)) + 1, [len(by)]))
+        ctx = number[which[head]]
+        order = np.argsort(ctx, kind="stable")
+        ctx, head, times = ctx[order], head[order], times[order]
+        among = np.searchsorted(ctx, cuts)
+        out = {k: [] for k in ("keys", "sizes", "data", "ctx", "rids", "docs", "starts", "times")}
+        for a, b, c, d in zip(cuts[:-1], cuts[1:], among[:-1], among[1:], strict=True):
+            mine, span = one[by[a:b]], size[one[by[a:b]]]
+            ends = np.concatenate(([0], np.cumsum(span)))
+            out["keys"].append(at["key"][mine])
+            out["sizes"].append(span.astype(np.uint16))
+            out["data"].append(raw[np.repeat(total[mine] - ends[:-1], span) + np.arange(ends[-1])])
+            who = head[c:d]
+            out["ctx"].append((ctx[c:d] - a).astype(np.uint32))
+            out["rids"].append(rid[at["of"][who]])
+            out["docs"].append(doc[at["of"][who]])
+            out["starts"].append(at["first"][who].astype(np.uint32))
+            out["times"].append(times[c:d].astype(np.uint32))
+        yield pa.RecordBatch.from_arrays([pa.array(sorted_dest[cuts[:-1]].astype(np.int32)), *map(_packed, out.values())], names=["dest", *out])
 
     def run(batches):
         for batch in batches:
@@ -216,104 +318,128 @@ def _contexts(texts: DataFrame, length: int, dests: int, spread: int) -> DataFra
             key_buf, key_offsets = string_buffer(batch.column("keys"))
             known = np.frombuffer(key_buf.tobytes(), U64)
             rid, doc = batch.column("rid").to_numpy(), batch.column("doc").to_numpy()
-            for top, end in slices(offsets, 1 << 24):  # contexts are dealt for 16 MB of text at once, and found in less
-                parts = []
-                for a, b in slices(offsets[top : end + 1]):
-                    a, b = a + top, b + top
-                    base = offsets[a]
-                    of, first, last, place, hashes = minimiser_runs(buf[base : offsets[b]], offsets[a : b + 1] - base, length)
-                    keys = (hashes >> U64(32)) | ((hashes % U64(dests)) << U64(32))
-                    keep = np.zeros(len(of), bool)
-                    cuts = np.searchsorted(of, np.arange(b - a + 1))
-                    for i in range(b - a):
-                        mine = known[key_offsets[a + i] // 8 : key_offsets[a + i + 1] // 8]
-                        if len(mine):
-                            keep[cuts[i] : cuts[i + 1]] = np.isin(keys[cuts[i] : cuts[i + 1]], mine)
-                    parts.append((of[keep] + a, first[keep] + base, last[keep] + base, place[keep] + base, keys[keep]))
-                of, first, last, place, keys = (np.concatenate(x) for x in zip(*parts, strict=True))
-                if not len(of):
+            salt = mix(np.arange(1, batch.num_rows + 1, dtype=U64))
+            held = np.diff(key_offsets) // 8
+            found, filled = [], 0
+            for part, at, top, shift in pieces(buf, offsets, length - 1):
+                runs = minimiser_runs(part, at, length, frequent.value if frequent else None)
+                mine = slice(key_offsets[top] // 8, key_offsets[top + len(at) - 1] // 8)
+                shared = known[mine] ^ np.repeat(salt[top : top + len(at) - 1], held[top : top + len(at) - 1])
+                of = runs["of"]
+                left, right = (runs[f"has_{s}"] & np.isin(_key_ids(runs[s], dests) ^ salt[of + top], shared) for s in ("left", "right"))
+                middle = runs["place"] - (length - GRAM) // 2  # the last start that the left key covers
+                first, last = np.where(left, runs["first"], np.maximum(runs["first"], middle + 1)), np.where(right, runs["last"], np.minimum(runs["last"], middle))
+                live = np.flatnonzero((left | right) & (first <= last))
+                if not len(live):
                     continue
-                dest = (mix(keys) % U64(spread)).astype(np.int64)
-                order = np.lexsort((keys, dest))
-                of, first, last, place, keys, dest = of[order], first[order], last[order], place[order], keys[order], dest[order]
+                of, first, last = of[live], first[live], last[live]
                 size = last - first + length
                 total = np.concatenate(([0], np.cumsum(size)))
-                raw = buf[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
-                out = _dealt(dest, {"keys": keys, "rids": rid[of], "docs": doc[of], "starts": (first - offsets[of]).astype(np.uint32), "places": (place - first).astype(np.uint16), "sizes": size.astype(np.uint16)})
-                edges = np.concatenate(([0], np.flatnonzero(np.diff(dest)) + 1, [len(dest)]))
-                data = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(total[edges].astype(np.int32)), pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays([*out.columns, data], names=[*out.schema.names, "data"])
-
-    return texts.mapInArrow(run, "dest int, keys binary, rids binary, docs binary, starts binary, places binary, sizes binary, data binary")
-
-
-def _shared_flank(group: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Whether another context of the group agrees on either flank; a hash of 0 is no flank."""
-    out = np.zeros(len(group), bool)
-    for flank in (left, right):
-        order = np.lexsort((flank, group))
-        same = (np.diff(group[order]) == 0) & (np.diff(flank[order]) == 0) & (flank[order][1:] != 0)
-        out[order[1:][same]] = True
-        out[order[:-1][same]] = True
+                raw = part[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
+                digest = span_hash(prefix_hash(raw, BYTE_CODE), total[:-1], total[1:])
+                found.append({"of": of + top, "first": first - at[of] + shift, "count": last - first + 1, "key": runs["hash"][live], "digest": digest, "raw": raw})
+                filled += total[-1]
+                if filled > 1 << 24:
+                    yield from emit(found, rid, doc)
+                    found, filled = [], 0
+            if found:
+                yield from emit(found, rid, doc)
+
+    return texts.mapInArrow(run, "dest int, keys binary, sizes binary, data binary, ctx binary, rids binary, docs binary, starts binary, times binary")
+
+
+def _bounded(values: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of whole groups of equal sorted values, of about SEARCHED bytes each."""
+    if not len(values):
+        return []
+    filled = np.cumsum(sizes) // SEARCHED
+    heads = np.flatnonzero(np.concatenate(([True], np.diff(values) != 0)))
+    edges = [0, *heads[1:][np.diff(filled[heads]) > 0].tolist(), len(values)]
+    return list(zip(edges[:-1], edges[1:], strict=True))
+
+
+def least_of_starts(data: np.ndarray, begin: np.ndarray, keys: np.ndarray, least: np.ndarray, length: int) -> np.ndarray:
+    """For each start of distinct contexts (data[begin[i]:begin[i+1]]), the least document of any context of its key that holds the string."""
+    sizes = np.diff(begin)
+    count = sizes - length + 1
+    first = np.concatenate(([0], np.cumsum(count)))
+    out = np.repeat(least, count)
+    order = np.argsort(keys, kind="stable")
+    _, heads, held = np.unique(keys[order], return_index=True, return_counts=True)
+    volume = np.add.reduceat(sizes[order], heads) if len(heads) else np.zeros(0, np.int64)
+
+    def search(raw: np.ndarray, span: np.ndarray, who: np.ndarray) -> np.ndarray:
+        return least_documents(raw, np.concatenate(([0], np.cumsum(span))), who, length)
+
+    def gathered(starts: np.ndarray, span: np.ndarray) -> np.ndarray:
+        total = np.concatenate(([0], np.cumsum(span)))
+        return data[np.repeat(starts - total[:-1], span) + np.arange(total[-1])]
+
+    fits = (held > 1) & (volume <= SEARCHED)
+    some = order[np.repeat(fits, held)]
+    for a, b in _bounded(keys[some], sizes[some]):
+        part = some[a:b]
+        n = count[part]
+        out[np.repeat(first[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = search(gathered(begin[part], sizes[part]), sizes[part], least[part])
+    # a key with more contexts: its strings by the hash of their bytes
+    some = order[np.repeat((held > 1) & ~fits, held)]
+    if len(some):
+        n = count[some]
+        at = np.repeat(begin[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        to = np.repeat(first[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        prefix = prefix_hash(data, BYTE_CODE)
+        digest = (prefix[at + length] - prefix[at]) * powers(len(prefix))[1][at]
+        by = np.argsort(digest, kind="stable")
+        who = np.repeat(least[some], n)
+        for a, b in _bounded(digest[by], np.full(len(by), length)):
+            part = by[a:b]
+            out[to[part]] = search(gathered(at[part], np.full(len(part), length)), np.full(len(part), length), who[part])
     return out
 
 
 def _removed(contexts: DataFrame, length: int, groups: int) -> DataFrame:
     """(dest, rids, lows, highs): runs of starts whose string also starts in an earlier document."""
-    half = (length - GRAM) // 2
 
     def run(table: pa.Table) -> pa.Table:
-        keys, rids, docs = _gathered(table["keys"], U64), _gathered(table["rids"], np.int64), _gathered(table["docs"], np.int64)
-        starts, places, sizes = _gathered(table["starts"], np.uint32).astype(np.int64), _gathered(table["places"], np.uint16).astype(np.int64), _gathered(table["sizes"], np.uint16).astype(np.int64)
-        data = _gathered(table["data"], np.uint8)
+        keys, sizes, data = _gathered(table["keys"], U64), _gathered(table["sizes"], np.uint16).astype(np.int64), _gathered(table["data"], np.uint8)
+        held = np.array([len(x) // 8 for x in table["keys"].to_pylist()])
+        before = np.concatenate(([0], np.cumsum(held)))[:-1]
+        owners_ = np.repeat(before, [len(x) // 4 for x in table["ctx"].to_pylist()])
+        ctx = _gathered(table["ctx"], np.uint32) + owners_
+        rids, docs = _gathered(table["rids"], np.int64), _gathered(table["docs"], np.int64)
+        starts, times = _gathered(table["starts"], np.uint32).astype(np.int64), _gathered(table["times"], np.uint32).astype(np.int64)
         begin = np.concatenate(([0], np.cumsum(sizes)))
-        prefix = prefix_hash(data, BYTE_CODE)
-        digest = mix(span_hash(prefix, begin[:-1], begin[1:]) + mix(keys))
+        digest = mix(span_hash(prefix_hash(data, BYTE_CODE), begin[:-1], begin[1:]) + mix(keys))
         _, one, which = np.unique(digest, return_index=True, return_inverse=True)
+        which = which[ctx]  # the distinct context of each occurrence
         least = np.full(len(one), LAST, np.int64)
         np.minimum.at(least, which, docs)
-        # contexts alone under their key are equal wherever they are; the others are compared if a flank agrees
-        at = begin[one] + places[one]
-        low, high = at - half >= begin[one], at + GRAM + half <= begin[one + 1]
-        left, right = np.zeros(len(one), U64), np.zeros(len(one), U64)
-        left[low] = span_hash(prefix, at[low] - half, at[low] + GRAM)
-        right[high] = span_hash(prefix, at[high], at[high] + GRAM + half)
-        search = np.flatnonzero(_shared_flank(keys[one], left, right))
-        count = sizes[one] - length + 1
+        span = sizes[one]
+        total = np.concatenate(([0], np.cumsum(span)))
+        minima = least_of_starts(data[np.repeat(begin[one] - total[:-1], span) + np.arange(total[-1])], total, keys[one], least, length)
+        count = span - length + 1
         first = np.concatenate(([0], np.cumsum(count)))
-        minima = np.repeat(least, count)
-        # keys are apart from each other: about 1 MB of whole keys is searched at once
-        search = search[np.argsort(keys[one[search]], kind="stable")]
-        filled = np.cumsum(sizes[one[search]]) // (1 << 20)
-        whole = np.concatenate(([True], np.diff(keys[one[search]]) != 0)) if len(search) else np.zeros(0, bool)
-        edges, last = [0], 0
-        for k in np.flatnonzero(whole).tolist():
-            if filled[k] > last:
-                edges.append(k)
-                last = filled[k]
-        for a, b in zip(edges, [*edges[1:], len(search)], strict=True):
-            part = search[a:b]
-            if not len(part):
-                continue
-            span = sizes[one[part]]
-            total = np.concatenate(([0], np.cumsum(span)))
-            raw = data[np.repeat(begin[one[part]] - total[:-1], span) + np.arange(total[-1])]
-            n = count[part]
-            minima[np.repeat(first[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = least_documents(raw, total, least[part], length)
-        # back to every occurrence
+        # all starts of an occurrence go, none, or some
+        lowest, highest = np.minimum.reduceat(minima, first[:-1]), np.maximum.reduceat(minima, first[:-1])
         n = count[which]
-        total = np.concatenate(([0], np.cumsum(n)))
-        gone = minima[np.repeat(first[which] - total[:-1], n) + np.arange(total[-1])] < np.repeat(docs, n)
+        whole = highest[which] < docs
+        rid, low, high = [rids[whole]], [starts[whole]], [(starts + n * times - 1)[whole]]
+        some = np.flatnonzero(~whole & (lowest[which] < docs))
+        again = np.repeat(some, times[some])
+        turn = np.arange(len(again)) - np.repeat(np.cumsum(times[some]) - times[some], times[some])
+        n = n[again]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        gone = minima[np.repeat(first[which[again]] - ends[:-1], n) + np.arange(ends[-1])] < np.repeat(docs[again], n)
         who = np.repeat(np.arange(len(n)), n)
-        edge = np.ones(len(gone), bool)
+        edge, stop = np.ones(len(gone), bool), np.ones(len(gone), bool)
         edge[1:] = (who[1:] != who[:-1]) | ~gone[:-1]
-        stop = np.ones(len(gone), bool)
         stop[:-1] = (who[1:] != who[:-1]) | ~gone[1:]
         lows, highs = np.flatnonzero(edge & gone), np.flatnonzero(stop & gone)
         owner = who[lows]
-        shift = starts[owner] - total[owner]
-        rid = rids[owner]
-        out = _dealt((rid.view(U64) % U64(groups)).astype(np.int64), {"rids": rid, "lows": (lows + shift).astype(np.uint32), "highs": (highs + shift).astype(np.uint32)})
+        shift = starts[again[owner]] + turn[owner] * n[owner] - ends[owner]
+        rid.append(rids[again[owner]]), low.append(lows + shift), high.append(highs + shift)
+        rid = np.concatenate(rid)
+        out = _dealt((rid.view(U64) % U64(groups)).astype(np.int64), {"rids": rid, "lows": np.concatenate(low).astype(np.uint32), "highs": np.concatenate(high).astype(np.uint32)})
         if out is None:
             return pa.table({"dest": pa.array([], pa.int32()), **{k: pa.array([], pa.binary()) for k in ("rids", "lows", "highs")}})
         return pa.Table.from_batches([out])
@@ -322,12 +448,19 @@ def _removed(contexts: DataFrame, length: int, groups: int) -> DataFrame:
 
 
 def _by_document(runs: DataFrame) -> DataFrame:
+    """(r, runs): the runs of each document, by start; those that touch are one."""
+
     def run(table: pa.Table) -> pa.Table:
-        rids, lows, highs = _gathered(table["rids"], np.int64), _gathered(table["lows"], np.uint32), _gathered(table["highs"], np.uint32)
+        rids, lows, highs = _gathered(table["rids"], np.int64), _gathered(table["lows"], np.uint32).astype(np.int64), _gathered(table["highs"], np.uint32).astype(np.int64)
         order = np.lexsort((lows, rids))
-        pairs = np.stack((lows, highs), 1)[order]
-        cuts = np.append(np.flatnonzero(np.concatenate(([True], np.diff(rids[order]) != 0))), len(order))
-        return pa.table({"r": rids[order][cuts[:-1]], "runs": pa.array([pairs[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
+        rids, lows, highs = rids[order], lows[order], highs[order]
+        new = np.ones(len(rids), bool)
+        new[1:] = (np.diff(rids) != 0) | (lows[1:] > highs[:-1] + 1)  # runs of a document don't overlap but where rows agree
+        head = np.flatnonzero(new)
+        pairs = np.stack((lows[head], np.maximum.reduceat(highs, head) if len(head) else lows[head]), 1).astype(np.uint32)
+        rids = rids[head]
+        cuts = np.append(np.flatnonzero(np.concatenate(([True], np.diff(rids) != 0))), len(rids))
+        return pa.table({"r": rids[cuts[:-1]], "runs": pa.array([pairs[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
     return runs.groupBy("dest").applyInArrow(run, "r long, runs binary")
 
@@ -346,45 +479,49 @@ def spans(runs: bytes | None, length: int) -> np.ndarray:
 def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every row (doc_id, text); ``kept`` is the rest of the bytes.
 
-    Null texts are empty.  A null doc_id stands after all others.  Rows that agree in doc_id remove nothing
-    from each other.
+    doc_id must be a number.  Null texts are empty, and shorter ones than ``length`` are left as they are.  A null doc_id
+    stands after all others.  Rows that agree in doc_id remove nothing from each other; repeated rows have equal results.
+    Other columns are ignored.  An empty table gives an empty result.
     """
+    if length < GRAM + 2:
+        raise ValueError(f"length must be at least {GRAM + 2}")
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text.alias("text"), F.xxhash64("doc_id", text).alias("rid"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    dests = int(max(partitions(spark), size // 4_000_000))
-    sent = written(_send(docs.withColumn("digest", F.md5("text")), length, dests), "suffix-keys")
-    rows = sent.where("dest is null").select("rid", "chunk", "ord", "whole")
-    keys = written(_document_keys(rows, _answers(sent.where("dest is not null"))), "suffix-shared")
-    discard(sent)
-    # one exchange of the texts by row serves both joins
-    texts = docs.select("doc_id", "doc", "text", "rid").repartition("rid")
-    some = keys.where(F.octet_length("keys") > 0).groupBy(F.col("rid").alias("r")).agg(F.max("keys").alias("keys"))
-    found = texts.join(some.hint("shuffle_hash"), F.col("rid") == F.col("r")).select("rid", "doc", "text", "keys")
-    removed = _by_document(_removed(_contexts(found, length, dests, dests), length, partitions(spark)))
-    whole = keys.where("whole").groupBy(F.col("rid").alias("r")).agg(F.max("whole").alias("whole")).select("r", F.lit(None).cast("binary").alias("runs"), "whole")
-    info = removed.withColumn("whole", F.lit(False)).unionByName(whole).groupBy("r").agg(F.max("runs").alias("runs"), F.max("whole").alias("whole"))
+    known = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    dests = int(max(partitions(spark), (known[0] or 0) // 4_000_000))
+    with workspace(spark):
+        table = frequent_grams(docs, known[1])
+        frequent = spark.sparkContext.broadcast(table) if table is not None else None  # of fixed size
+        sent = written(_send(docs, length, dests, frequent), "suffix-keys")
+        answers = _answers(sent.where("dest >= 0")).unionByName(sent.where("dest = -1").select("chunk", "ords", "keys"))
+        keys = written(_document_keys(sent.where("dest is null").select("rid", "chunk", "ord"), answers), "suffix-shared")
+        discard(sent)
+        some = keys.groupBy(F.col("rid").alias("r")).agg(F.max("keys").alias("keys"))
+        found = docs.select("rid", "doc", "text").join(some.hint("shuffle_hash"), F.col("rid") == F.col("r")).select("rid", "doc", "text", "keys")
+        removed = _by_document(_removed(_contexts(found, length, dests, dests, frequent), length, dests))
+        info = kept(written(removed, "suffix-runs"))
 
     def cut(batches):
         for batch in batches:
             buf, offsets = string_buffer(batch.column("text"))
             out = []
-            for i, (runs, whole) in enumerate(zip(batch.column("runs").to_pylist(), batch.column("whole").to_pylist(), strict=True)):
+            for i, runs in enumerate(batch.column("runs").to_pylist()):
                 mine = buf[offsets[i] : offsets[i + 1]]
-                gone = np.array([[0, len(mine)]]) if whole and len(mine) >= length else spans(runs, length)
+                gone = spans(runs, length)
                 edges = np.concatenate(([0], gone.ravel(), [len(mine)])).reshape(-1, 2)
-                kept = b"".join(mine[a:b].tobytes() for a, b in edges) if len(gone) else mine.tobytes()
-                out.append((len(mine), len(mine) - len(kept), len(gone), kept))
-            n, r, s, kept = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                rest = b"".join(mine[a:b].tobytes() for a, b in edges) if len(gone) else mine.tobytes()
+                out.append((len(mine), len(mine) - len(rest), len(gone), rest))
+            n, r, s, rest = zip(*out, strict=True) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.int64()), pa.array(rest, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    both = texts.join(info.hint("shuffle_hash"), F.col("rid") == F.col("r"), "left").select("doc_id", "text", "runs", "whole")
+    both = docs.select("doc_id", "text", "rid").join(info.hint("shuffle_hash"), F.col("rid") == F.col("r"), "left").select("doc_id", "text", "runs")
     return both.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op5(spark, sf_dir):
+    """The contract's digest of remove_repeated(): whole ``documents``, strings of 50 bytes, sha256 of what is left."""
     from .common import table
 
     out = remove_repeated(table(spark, sf_dir, "documents"))

@@ -156,6 +156,42 @@ def test_suffix_dedup(docs, corpus):
     assert suffix_dedup.remove_repeated(empty(docs)).count() == 0
 
 
+@pytest.mark.parametrize("searched", [1 << 20, 300])
+def test_least_of_starts(monkeypatch, searched):
+    """Also with keys that have more contexts than are searched at once."""
+    monkeypatch.setattr(suffix_dedup, "SEARCHED", searched)
+    rng = np.random.default_rng(3)
+    texts = sorted({bytes((rng.integers(97, 99, rng.integers(8, 20)) + 2 * (k % 4)).astype(np.uint8)) for k in range(200)})
+    keys, least = np.array([(t[0] - 97) // 2 for t in texts], np.uint64), rng.integers(0, 50, len(texts))  # equal strings have equal keys
+    want = {}
+    for t, k, d in zip(texts, keys, least, strict=True):
+        for i in range(len(t) - 7):
+            want[k, t[i : i + 8]] = min(d, want.get((k, t[i : i + 8]), 99))
+    begin = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    got = suffix_dedup.least_of_starts(np.frombuffer(b"".join(texts), np.uint8), begin, keys, least, 8)
+    assert got.tolist() == [want[k, t[i : i + 8]] for t, k in zip(texts, keys, strict=True) for i in range(len(t) - 7)]
+
+
+def test_suffix_dedup_of_periodic_and_long_texts(spark, monkeypatch):
+    """Periods, hot passages with other text around, texts over a piece, repeats within a text, copies and equal ids."""
+    import functools
+
+    monkeypatch.setattr(suffix_dedup, "pieces", functools.partial(kernel.pieces, most=700))
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choices("abcdé ", k=n))
+    passage, long = noise(130), noise(3000)
+    texts = ["x" * 900, "x" * 120 + noise(80), "ab" * 300, "b" + "abc" * 200, noise(40) + "ab" * 40, long, noise(20) + long[500:2500] + noise(30), long, passage * 3, None, "", "short", noise(49), "é" * 60]
+    texts += [noise(rng.randrange(60)) + passage[rng.randrange(40) : 130 - rng.randrange(40)] + noise(rng.randrange(60)) for _ in range(150)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    rows += [(5, long), (3, noise(30) + passage), (None, passage + "!"), (None, passage + "!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in suffix_dedup.remove_repeated(docs).collect()]
+    null = (1 << 60) - 1
+    want = [(None if r[0] == null else r[0], *r[1:]) for r in removed_bytes([(null if i is None else i, t) for i, t in rows], 50)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_common_intervals_are_equal_prefixes():
     rng = np.random.default_rng(0)
     text = np.append(rng.integers(1, 4, 3000), 0).astype(np.uint8)
