@@ -132,6 +132,22 @@ def fold(column: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def sampled(rows: DataFrame, order: str, text: str, most_rows: int, most_bytes: int):
+    """Rows as an Arrow table in the order of the long column ``order``: the first ones, as many as fit both bounds.
+
+    Rows that agree in ``order`` are one.  A text that would pass ``most_bytes`` is left out with all after it, unless it is the first.
+    """
+    spark, take, filled = rows.sparkSession, [], 0
+    for key, size in rows.select(order, F.octet_length(text).alias("n")).distinct().orderBy(order).limit(most_rows).collect():
+        filled += size or 0
+        if take and filled > most_bytes:
+            break
+        take.append(key)
+    (name,) = private(rows, "chosen")
+    chosen = spark.createDataFrame([(x,) for x in take], f"{name} long")  # at most most_rows
+    return rows.join(F.broadcast(chosen), F.col(order) == F.col(name)).drop(name).dropDuplicates([order]).toArrow().combine_chunks().sort_by(order)
+
+
 def components(edges: DataFrame, tag: str = "cc", rounds: int = 60) -> DataFrame:
     """(node, root) of every node of the undirected long edges (a, b); root is the smallest node reachable.
 

@@ -6,7 +6,8 @@ the byte has probability count / (total + distinct); otherwise the escape distin
 (total + distinct) is paid and the next shorter context is asked, down to a uniform
 choice of 256.  (Counts are frozen, so nothing is excluded and nothing adapts.)  The
 sums for all trees are laid out as one table of costs by context node and byte, which
-is shipped to the executors; its size is bounded by ``max_nodes`` and the language count.
+is shipped to the executors.  All contexts of the training rows are kept; these are bounded
+in rows and bytes, and a table of more than ``table_bytes`` is an error, not a smaller tree.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernel import string_buffer
+from .common import fold, private, sampled, ship, table
+from .kernel import slices, string_buffer
 
 
 @dataclass(frozen=True)
@@ -47,8 +49,8 @@ def _stream(buf: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> np.ndar
     return out
 
 
-def train(texts: dict[str, pa.Array], order: int = 3, max_nodes: int = 60_000) -> Model:
-    """texts: per language.  Contexts of three bytes are kept while there is room, most frequent first."""
+def train(texts: dict[str, pa.Array], order: int = 3, table_bytes: int = 512 << 20) -> Model:
+    """texts: per language.  Every context of up to three bytes is kept; ValueError if their table passes ``table_bytes``."""
     languages = sorted(texts)
     buffers = {x: string_buffer(texts[x]) for x in languages}
     seen = np.zeros(256, bool)
@@ -63,19 +65,18 @@ def train(texts: dict[str, pa.Array], order: int = 3, max_nodes: int = 60_000) -
     index = np.arange(k**3, dtype=np.int32)
     for o in range(order + 1):
         per = {x: _counts(streams[x], k, o) for x in languages}
-        contexts, totals = np.unique(np.concatenate([c // k for c, _ in per.values()] or [np.zeros(0, np.int64)]), return_counts=True)
-        if o == 3 and len(contexts) > max_nodes:
-            contexts = np.sort(contexts[np.argsort(-totals, kind="stable")[:max_nodes]])
+        contexts = np.unique(np.concatenate([c // k for c, _ in per.values()] or [np.zeros(0, np.int64)]))
         if not o:
             contexts = np.zeros(1, np.int64)
+        if (size := (len(cost) + len(contexts)) * k * len(languages) * 4) > table_bytes:
+            raise ValueError(f"contexts of {len(languages)} languages need {size} bytes; learn from fewer bytes, or raise table_bytes")
         # what the shorter context says about these contexts, language by language
         base = cost[parent[contexts % k**3]] if o else np.full((1, k, len(languages)), np.log(256), np.float32)
         rows = base.copy()
         for j, x in enumerate(languages):
             code, times = per[x]
             at = np.searchsorted(contexts, code // k)
-            known = (at < len(contexts)) & (contexts[np.minimum(at, len(contexts) - 1)] == code // k)
-            at, times, next_ = at[known], times[known], (code % k)[known]
+            next_ = code % k
             total, distinct = np.bincount(at, times, len(contexts)), np.bincount(at, minlength=len(contexts))
             live = total > 0
             rows[live, :, j] += np.log((total[live] + distinct[live]) / distinct[live]).astype(np.float32)[:, None]
@@ -106,23 +107,24 @@ def code_lengths(model: Model, buf: np.ndarray, offsets: np.ndarray, most: int =
     return out
 
 
-def fit(docs: DataFrame, keep: str = "true", max_rows: int = 4000, seed: int = 3) -> Model:
-    """Learn from up to ``max_rows`` documents (a bounded, seeded sample) with a language and a text.
+def fit(docs: DataFrame, keep: str = "true", max_rows: int = 4000, max_bytes: int = 16 << 20, seed: int = 3, table_bytes: int = 512 << 20) -> Model:
+    """Learn from a seeded sample of documents with a language and a text, of up to ``max_rows`` (about as many of each language) and ``max_bytes``.
 
+    Repeated rows count once; null and empty texts and null languages teach nothing.
     An input without such rows gives a model without languages, which calls everything ``und``.
     """
-    ids = docs.where(F.expr(keep) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "")).select("doc_id", "lang", F.xxhash64(F.lit(seed), "doc_id", "lang").alias("_o"))
+    ship(docs.sparkSession)
+    rows = docs.where(F.expr(keep) & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "")).select("lang", "text", F.xxhash64(F.lit(seed), "doc_id", "lang", "text").alias("o"))
     # as many of each language as its share, but the rarest are not left out: rank by a rate that falls slowly with size
-    counts = {r[0]: r[1] for r in ids.groupBy("lang").count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return Model([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((1, 1, 0), np.float32))
     each = max(1, max_rows // len(counts))
     chance = F.create_map(*[y for x, c in counts.items() for y in (F.lit(x), F.lit(min(1.0, each / c)))])
-    u = F.pmod("_o", F.lit(1 << 30)) / float(1 << 30)
-    ids = ids.where(u <= chance[F.col("lang")]).orderBy("_o", "doc_id").limit(2 * max_rows).select("doc_id", F.col("lang").alias("_l"))
-    rows = docs.join(F.broadcast(ids), (docs.doc_id == ids.doc_id) & (docs.lang == F.col("_l"))).select("lang", "text").toArrow().combine_chunks()
-    langs = rows["lang"].to_numpy(zero_copy_only=False)
-    return train({x: rows.filter(pa.array(langs == x))["text"] for x in sorted(set(langs))})
+    u = F.pmod(F.xxhash64("o"), F.lit(1 << 30)) / float(1 << 30)
+    found = sampled(rows.where(u <= chance[F.col("lang")]), "o", "text", 2 * max_rows, max_bytes)
+    langs = found["lang"].to_numpy(zero_copy_only=False)
+    return train({x: found.filter(pa.array(langs == x))["text"] for x in sorted(set(langs))}, table_bytes=table_bytes)
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -130,29 +132,31 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     Null texts and texts without a letter are ``und`` with score 0; ties go to the first language by name.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    ship(docs.sparkSession)
+    shipped = docs.sparkSession.sparkContext.broadcast(model)  # bounded by table_bytes
+    text, has_letter = private(docs, "text", "letter")
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shipped.value
         names = np.array([*model.languages, "und"], object)
         for batch in batches:
-            letter = batch.column("_letter").to_numpy(zero_copy_only=False).astype(bool)
+            letter = batch.column(has_letter).to_numpy(zero_copy_only=False).astype(bool)
             best, share = np.full(batch.num_rows, len(model.languages)), np.zeros(batch.num_rows)
             if model.languages:
-                nats = code_lengths(model, *string_buffer(batch.column("_text")))
+                buf, offsets = string_buffer(batch.column(text))
+                nats = np.concatenate([code_lengths(model, buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)] or [np.zeros((0, len(model.languages)))])
                 best = np.where(letter, nats.argmin(1), best)
                 share = np.where(letter, 1 / np.exp(np.clip(nats.min(1)[:, None] - nats, -700, 0)).sum(1), 0.0)
             arrays = [*(batch.column(c) for c in keep), pa.array(names[best], pa.string()), pa.array(share)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score"])
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.select(*keep, F.col("text").alias("_text"), letter.alias("_letter")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias(text), letter.alias(has_letter)).mapInArrow(run, schema)
 
 
 def op9(spark, sf_dir):
-    from .common import fold, table
-
+    """Languages of every whole text of ``documents``, learned outside the held-out quarter."""
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.where(fold(F.col("doc_id"), 4) != 2))
     out = predict(docs, model, ["doc_id"])

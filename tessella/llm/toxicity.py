@@ -1,8 +1,8 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Training takes a bounded, seeded sample of labelled rows (``max_rows``, a parameter) and
-visits it in a fixed order; per-coordinate rates and the L1 term leave a few thousand
-non-zero weights, which are shipped to the executors (at most 2**bits of them).  Scoring
+Training takes a bounded, seeded sample of labelled rows (``max_rows`` and ``max_bytes``,
+parameters) and visits it in a fixed order; per-coordinate rates and the L1 term leave a
+few thousand non-zero weights, and only these are shipped to the executors.  Scoring
 reads every document whole, in one narrow pass.
 """
 
@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fold, private, sampled, ship, table
 from .kernel import ALNUM, FOLDED_CODE, U64, mix, owners, prefix_hash, slices, span_hash, string_buffer, words
 
 
@@ -29,7 +30,8 @@ class Settings:
     epochs: int = 3
     skips: tuple[int, ...] = (1, 2)  #: distances of word pairs: 1 is a bigram, 2 skips a word
     heads: tuple[int, ...] = (4, 6)  #: bytes of word beginnings, which inflected forms share
-    max_rows: int = 6_000
+    max_rows: int = 6_000  #: to learn from
+    max_bytes: int = 64 << 20  #: of their texts
 
 
 @dataclass(frozen=True)
@@ -87,30 +89,37 @@ def train(texts: pa.ChunkedArray, labels: np.ndarray, settings: Settings) -> Mod
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Settings = Settings(), seed: int = 5) -> Model:
-    """Learn from documents with a label; of more than ``max_rows`` labelled ids, those first in a seeded order.
+    """Learn from documents with a label: those first in a seeded order, within ``max_rows`` and ``max_bytes``.
 
-    Null labels and ids are left out; null texts are empty.  An id that labels hold twice counts twice.
+    Only labels of ids that the documents have count, and only then the bounds.  Null labels and ids are left out; null
+    texts are empty.  Repeated rows count once; an id with both labels counts for both.
     Without any row the model is neutral: every score is 0.5.
     """
-    keys = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("double").alias("_y"), F.xxhash64(F.lit(seed), "doc_id").alias("_o"))
-    keys = keys.orderBy("_o", "doc_id", "_y").limit(settings.max_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(keys), "doc_id").select("_o", "_y", "text").toArrow()  # bounded by max_rows
-    rows = rows.sort_by([("_o", "ascending"), ("_y", "ascending"), ("text", "ascending")])
-    return train(rows["text"], rows["_y"].to_numpy(), settings)
+    ship(docs.sparkSession)
+    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("i"), F.col(label).cast("double").alias("y")).distinct()
+    known = known.join(docs.select(F.col("doc_id").alias("i")), "i", "left_semi").select("i", "y", F.xxhash64(F.lit(seed), "i").alias("first")).orderBy("first", "i", "y").limit(settings.max_rows)
+    rows = docs.select(F.col("doc_id").alias("j"), F.coalesce("text", F.lit("")).alias("t")).join(F.broadcast(known), F.col("i") == F.col("j"))  # bounded by max_rows
+    rows = sampled(rows.select(F.xxhash64(F.lit(seed), "i", "y", "t").alias("o"), "y", "t"), "o", "t", settings.max_rows, settings.max_bytes)
+    return train(rows["t"], rows["y"].to_numpy(), settings)
 
 
 def score(docs: DataFrame, model: Model, text: Column, keep: list[str], name: str = "score") -> DataFrame:
-    """The kept columns with a score from 0 to 1; null and empty texts get the score of no features."""
-    dense = np.zeros(1 << model.settings.bits, np.float32)
-    dense[model.index] = model.weight
-    shipped = docs.sparkSession.sparkContext.broadcast(dense)
+    """The kept columns with a score from 0 to 1, for every row; null and empty texts get the score of no features.
+
+    The non-zero weights are broadcast, at most 12 bytes for each of 2**bits buckets.
+    """
+    ship(docs.sparkSession)
+    shipped = docs.sparkSession.sparkContext.broadcast((model.index.astype(np.uint32), model.weight.astype(np.float32)))
     schema = docs.select(*keep).schema.add(name, "double")
     settings, bias = model.settings, model.bias
+    (hidden,) = private(docs, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = shipped.value
+        weights = np.zeros(1 << settings.bits, np.float32)
+        index, weight = shipped.value
+        weights[index] = weight
         for batch in batches:
-            buf, offsets = string_buffer(batch.column("_text"))
+            buf, offsets = string_buffer(batch.column(hidden))
             total = np.full(batch.num_rows, bias)
             for a, b in slices(offsets):
                 doc, bucket = features(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], settings)
@@ -120,11 +129,11 @@ def score(docs: DataFrame, model: Model, text: Column, keep: list[str], name: st
             arrays = [batch.column(c) for c in keep] + [pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, name])
 
-    return docs.select(*keep, text.alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, text.alias(hidden)).mapInArrow(run, schema)
 
 
 def op2(spark, sf_dir):
-    from .common import fold, table
+    """Toxicity of every whole text of ``documents``, learned from labels outside the held-out quarter."""
 
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 4) != 2)
