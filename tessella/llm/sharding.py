@@ -3,13 +3,15 @@
 Keys are (hash of the text, doc_id), so that equal texts stand side by side.  A sample
 drawn with probability in proportion to size gives quantile boundaries; records are
 put into the ranges between them, and ranges that come out overfull are sampled again
-and subdivided.  Exact range totals then fix where each shard begins, so shards have
-near equal bytes whatever the sample was, and only ids, sizes and hashes are shuffled
-unless the caller asks for more columns.
+and subdivided.  A group of equal texts that takes more than a range is known by its two
+splitters and gets ranges of its own.  Exact range totals then fix where each shard begins,
+so shards have near equal bytes whatever the sample was, and only ids, sizes and hashes are
+shuffled unless the caller asks for more columns.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import math
 
@@ -18,6 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import private, table, written
+
+_LOW = -(1 << 63)
+
 
 def _range_of(splitters: list[tuple[int, int]]):
     """A function of the columns (h, i): how many splitters, in order, are at most the key.
@@ -75,36 +81,103 @@ def sampled_ranges(rows: DataFrame, ranges: int, seed: int = 29, per_range: int
     return found
 
 
-def shard(docs: DataFrame, shards: int, size: Column, text: Column, doc_id: Column, ranges_per_shard: int = 64, seed: int = 29) -> DataFrame:
+def _exclusive(splitters: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], set[int]]:
+    """Splitters that part no group of equal h, but for groups that had two or more; these get ranges of their own."""
+    held: dict[int, int] = {}
+    for h, _ in splitters:
+        held[h] = held.get(h, 0) + 1
+    large = {h for h, n in held.items() if n > 1}
+    out = {(h, i if h in large else _LOW) for h, i in splitters} | {(h, _LOW) for h in large} | {(h + 1, _LOW) for h in large if h < -_LOW - 1}
+    return sorted(out), large
+
+
+def _placed(stats: list, splitters: list[tuple[int, int]], large: set[int], shards: int, total: int) -> tuple[list[tuple], list[float]]:
+    """(range, first position, shard) of each range, and the positions where the shards of small groups end.
+
+    A shard is fixed for ranges of a large group that fits one; the position is in bytes among the small
+    groups or, if the shard is -2, among the groups larger than a shard, which fill shards from the first on.
+    """
+    ideal = total / shards
+    room = [ideal] * shards
+    groups: dict[int, list] = {}
+    plan, small = [], []
+    for r in stats:
+        h = splitters[r.r - 1][0] if r.r else None
+        if h in large:
+            groups.setdefault(h, []).append(r)
+        else:
+            small.append(r)
+    sizes = {h: sum(r.s for r in parts) for h, parts in groups.items()}
+    at = 0
+    for h in sorted(groups):
+        if sizes[h] > ideal:
+            for r in groups[h]:
+                plan.append((r.r, at, -2))
+                at += r.s
+    for k in range(shards):
+        room[k] -= min(ideal, max(0.0, at - k * ideal))
+    free = [(-x, k) for k, x in enumerate(room)]
+    heapq.heapify(free)
+    for h in sorted((h for h in groups if sizes[h] <= ideal), key=lambda h: (-sizes[h], h)):  # the largest group to the emptiest shard
+        most, k = heapq.heappop(free)
+        plan += [(r.r, 0, k) for r in groups[h]]
+        room[k] -= sizes[h]
+        heapq.heappush(free, (most + sizes[h], k))
+    at = 0
+    for r in small:
+        plan.append((r.r, at, -1))
+        at += r.s
+    # small groups fill what is left; overfull shards get none
+    left = np.maximum(0.0, room)
+    ends = np.cumsum(left) * (at / left.sum() if left.sum() else 0)
+    return plan, ends.tolist()
+
+
+def shard(docs: DataFrame, shards: int, size: Column, text: Column, doc_id: Column, ranges_per_shard: int = 64, range_bytes: int = 512 << 20, seed: int = 29) -> DataFrame:
     """docs with ``shard`` (0 to shards - 1, near equal bytes) and ``slot`` (gapless from 0 in each shard).
 
-    Rows are in the order of (hash of the text, doc_id, other columns): equal texts are neighbours
-    and meet in one shard, or in successive ones where a group is larger than a shard.
-    Null texts hash like empty ones, null ids stand as the smallest long; rows that are equal in all
+    Rows are cut into ranges by (hash of the text, doc_id), at least ``ranges_per_shard`` for each shard and so many
+    that a range has about ``range_bytes``.  Equal texts meet in one shard; only a group larger than a shard is split,
+    by doc_id.  Groups of more than a range are placed first, the others fill what is left, group by group.
+    Null texts group with empty ones, null ids stand as the smallest long (doc_id must be a number); rows that are equal in all
     columns may swap slots, which changes nothing.  An empty input gives an empty result.
-    Input columns named shard or slot are replaced.
+    Input columns named shard or slot are replaced; all others stay, whatever their names.
     """
-    docs = docs.drop("shard", "slot").withColumns({"_size": size.cast("long"), "_h": F.xxhash64(F.coalesce(text, F.lit(""))), "_i": F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))})
-    known = docs.agg(F.sum("_size"), F.count("*")).first()
+    spark = docs.sparkSession
+    docs = docs.drop("shard", "slot")
+    others = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    names = private(docs, "size", "h", "i", "r", "x", "at", "to", "upto", "all", "n", "y", "z", "less")
+    s, h, i, r, x, at, to, upto, whole, n, y, z, less = names
+    docs = docs.withColumns({s: size.cast("long"), h: F.xxhash64(F.coalesce(text, F.lit(""))), i: F.coalesce(doc_id.cast("long"), F.lit(_LOW))})
+    known = docs.agg(F.sum(s), F.count("*")).first()
     total, count = int(known[0] or 0), known[1]
     # a range is bounded in bytes and in rows alike: each row also weighs the mean size
-    found = sampled_ranges(docs.select(F.col("_h").alias("h"), F.col("_i").alias("i"), (F.col("_size") + F.lit(total // max(1, count))).alias("w")), min(shards * ranges_per_shard, max(1, count // 8)), seed)
-    docs = docs.withColumn("_r", _range_of(found)("_h", "_i") if found else F.lit(0))
-    stats = sorted(docs.groupBy("_r").agg(F.sum("_size").alias("s"), F.count("*").alias("n")).collect())
-    bytes_before = np.concatenate(([0], np.cumsum([r.s for r in stats], dtype=np.int64)))
-    rows_before = np.concatenate(([0], np.cumsum([r.n for r in stats], dtype=np.int64)))
-    # bounded by the number of splitters, a parameter
-    starts = docs.sparkSession.createDataFrame([(r._r, int(bytes_before[k]), int(rows_before[k])) for k, r in enumerate(stats)], "_x int, _bytes long, _rows long")
-    docs = docs.join(F.broadcast(starts), F.col("_r") == F.col("_x"))
-    others = [F.col(c) for c, kind in docs.dtypes if not c.startswith("_") and not kind.startswith(("map", "variant"))]
-    key = [F.col("_h"), F.col("_i"), F.xxhash64(*others)] if others else [F.col("_h"), F.col("_i")]
-    within = Window.partitionBy("_r").orderBy(*key)
-    docs = docs.withColumns({"_bytes": F.col("_bytes") + F.sum("_size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size"), "_n": F.col("_rows") + F.row_number().over(within) - 1})
-    middle = F.col("_bytes").cast("double") + F.col("_size") / 2
-    docs = docs.withColumn("shard", F.least(F.lit(shards - 1), F.floor(middle * shards / max(1, total))).cast("int"))
-    # shards are intervals of the order, so the least row number of each is where its slots begin
-    first = docs.groupBy("shard").agg(F.min("_n").alias("_first")).select(F.col("shard").alias("_s"), "_first")
-    return docs.join(F.broadcast(first), F.col("shard") == F.col("_s")).withColumn("slot", F.col("_n") - F.col("_first")).drop("_size", "_h", "_i", "_r", "_x", "_bytes", "_rows", "_n", "_s", "_first")
+    weighed = docs.select(F.col(h).alias("h"), F.col(i).alias("i"), (F.col(s) + F.lit(total // max(1, count))).alias("w"))
+    ranges = min(max(shards * ranges_per_shard, total // range_bytes), max(1, count // 8))
+    splitters, large = _exclusive(sampled_ranges(weighed, ranges, seed, max(4, min(16, 400_000 // ranges))))
+    docs = docs.withColumn(r, _range_of(splitters)(h, i) if splitters else F.lit(0))
+    stats = sorted(docs.groupBy(F.col(r).alias("r")).agg(F.sum(s).alias("s")).collect())
+    plan, ends = _placed(stats, splitters, large, shards, max(1, total))
+    # both tables are bounded by the number of splitters
+    docs = docs.join(F.broadcast(spark.createDataFrame(plan, f"{x} int, {at} long, {to} int")), F.col(r) == F.col(x))
+    order = Window.partitionBy(r).orderBy(h, i, F.xxhash64(*others) if others else F.lit(0))
+    group = Window.partitionBy(r, h)
+    docs = docs.withColumns({upto: F.sum(s).over(order.rowsBetween(Window.unboundedPreceding, 0)), n: F.row_number().over(order)})
+    split = (F.col(to) == -2) | (F.col(whole) > total / shards)
+    docs = docs.withColumns({whole: F.sum(s).over(group), y: F.max(upto).over(group)})
+    middle = F.col(at) + F.when(split, F.col(upto) - F.col(s) / 2).otherwise(F.col(y) - F.col(whole) / 2)
+    filled = F.size(F.filter(F.array(*[F.lit(float(e)) for e in ends]), lambda e: e <= middle))
+    where = F.when(F.col(to) >= 0, F.col(to)).when(F.col(to) == -2, F.floor(middle * shards / max(1, total)).cast("int")).otherwise(filled)
+    docs = docs.withColumn("shard", F.least(F.lit(shards - 1), where).cast("int")).drop(y)
+    # where the slots of each part of a range begin
+    parts = docs.groupBy(F.col(r).alias("r"), "shard").agg(F.min(n).alias("n"), F.count("*").alias("c")).collect()
+    begin, rows = [0] * shards, []
+    for p in sorted(parts, key=lambda p: (p["shard"], p.r)):
+        rows.append((p.r, p["shard"], p.n - begin[p["shard"]]))
+        begin[p["shard"]] += p.c
+    starts = spark.createDataFrame(rows, f"{y} int, {z} int, {less} long")
+    docs = docs.join(F.broadcast(starts), (F.col(r) == F.col(y)) & (F.col("shard") == F.col(z)))
+    return docs.withColumn("slot", F.col(n) - F.col(less)).drop(*names)
 
 
 def record_size(text: Column) -> Column:
@@ -113,8 +186,7 @@ def record_size(text: Column) -> Column:
 
 
 def op6(spark, sf_dir):
-    from .common import table, written
-
+    """All ``documents`` in 24 shards by the law ``bytes``: only ids, sizes and hashes are moved."""
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select("doc_id", record_size(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).cast("string").alias("key"))
     docs = written(docs, "shard-keys")
