@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import kept, private, table, workspace, written
 
 #: Between words of lower-cased texts, and a word of texts as they are; Java is slow with a negated class of many ranges.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -142,36 +142,39 @@ def contamination(docs: DataFrame, items: DataFrame, keys: tuple[str, ...] = ("d
 
     A null text has no words; rows that agree in keys and text have the same result, once for each.
     """
-    tokens = tokenised(docs, keys=keys)
-    phrases = written(windows(items, size), "windows")
-    index = build_index(tokens, phrases.select(F.explode("phrase").alias("word")))
-    hits = written(phrase_matches(index, phrases), "phrase-hits")
-    spans = hits.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end")))).alias("s"))
-    # spans come by start: each adds what lies beyond the furthest end so far
-    zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
-    covered = F.aggregate("s", zero, lambda a, x: F.struct(F.greatest(a["end"], x["end"]).alias("end"), (a["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(a["end"], x["start"]))).cast("long").alias("n")), lambda a: a["n"])
-    owners = phrases.select(F.col("window").alias("w"), F.explode("items").alias("item_id"))
-    which = hits.select("doc", "window").distinct().join(owners, F.col("window") == F.col("w")).select("doc", "item_id").distinct()
-    which = which.groupBy("doc").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-    found = spans.select("doc", covered.alias("n_hit")).join(which, "doc", "left").select(F.col("doc").alias("d"), "n_hit", "items")
+    with workspace(docs.sparkSession):
+        phrases = written(windows(items, size), "windows")
+        index = build_index(tokenised(docs, keys=keys), phrases.select(F.explode("phrase").alias("word")))
+        hits = written(phrase_matches(index, phrases), "phrase-hits")
+        spans = hits.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end")))).alias("s"))
+        # spans come by start: each adds what lies beyond the furthest end so far
+        zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
+        covered = F.aggregate("s", zero, lambda a, x: F.struct(F.greatest(a["end"], x["end"]).alias("end"), (a["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(a["end"], x["start"]))).cast("long").alias("n")), lambda a: a["n"])
+        owners = phrases.select(F.col("window").alias("w"), F.explode("items").alias("item_id"))
+        which = hits.select("doc", "window").distinct().join(owners, F.col("window") == F.col("w")).select("doc", "item_id").distinct()
+        which = which.groupBy("doc").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
+        found = kept(written(spans.select("doc", covered.alias("n_hit")).join(which, "doc", "left").select(F.col("doc").alias("d"), "n_hit", "items"), "contaminated"))
     counts = docs.select(F.xxhash64(*keys, F.coalesce(F.col("text"), F.lit("")), F.col("text").isNull()).alias("doc"), *keys, word_count(F.col("text")).alias("n_words"))
     out = counts.join(found, F.col("doc") == F.col("d"), "left")
     return out.select(*keys, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.array_sort(F.coalesce("items", F.array().cast("array<string>"))).alias("items"))
 
 
 def clean(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
-    """The rows of docs, all columns as they are, that hold no window of an item."""
-    tokens = tokenised(docs)
-    phrases = written(windows(items, size), "windows")
-    index = build_index(tokens, phrases.select(F.explode("phrase").alias("word")))
-    hits = written(phrase_matches(index, phrases).select(F.col("doc").alias("_hit")).distinct(), "contaminated")
+    """The rows of docs, all columns as they are, that hold no window of an item.
+
+    Null and empty texts stay, and rows that agree in doc_id and text share their fate.
+    """
+    (name,) = private(docs, "hit")
+    with workspace(docs.sparkSession):
+        phrases = written(windows(items, size), "windows")
+        index = build_index(tokenised(docs), phrases.select(F.explode("phrase").alias("word")))
+        hits = kept(written(phrase_matches(index, phrases).select(F.col("doc").alias(name)).distinct(), "contaminated"))
     key = F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit("")), F.col("text").isNull())
-    return docs.join(hits, key == F.col("_hit"), "left_anti")
+    return docs.join(_small(hits, hits.count(), 16, 64 << 20), key == F.col(name), "left_anti")
 
 
 def op4(spark, sf_dir):
-    from .common import table
-
+    """Whole ``documents`` against whole ``benchmark``, windows of ten words."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 

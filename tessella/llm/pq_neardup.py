@@ -208,3 +208,16 @@ def op10(spark, sf_dir):
     from .common import table
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP10_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), least AS (SELECT a, min(b) AS b FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT x.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(least(x.vec_id, least.b), x.vec_id) AS component_id, coalesce(least(x.vec_id, least.b), x.vec_id) = x.vec_id AS kept
+FROM embeddings x LEFT JOIN n ON x.vec_id = n.a LEFT JOIN least ON x.vec_id = least.a
+"""

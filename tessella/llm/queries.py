@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from .decontaminate import OP4_SQL, op4
-from .jaccard_join import op8
+from .jaccard_join import OP8_SQL, op8
 from .langid import op9
 from .mixing import op1
-from .pq_neardup import op10
+from .pq_neardup import OP10_SQL, op10
 from .quality import op7
 from .secrets import op3
 from .sharding import op6
-from .suffix_dedup import op5
+from .suffix_dedup import OP5_SQL, op5
 from .toxicity import op2
 
 
@@ -30,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_benchmark_decontamination": OP4_SQL}
+    return {"op4_benchmark_decontamination": OP4_SQL, "op5_suffix_dedup": OP5_SQL, "op8_ngram_jaccard_join": OP8_SQL, "op10_embedding_near_dedup": OP10_SQL}

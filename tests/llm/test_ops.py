@@ -347,17 +347,39 @@ def test_min_cost_flow_prefers_first_copies():
     assert used == {("a",): 10, ("a", "b"): 10, ("b",): 4} or sum(max(0, used[p] - c) for p, c in {("a",): 10, ("a", "b"): 10, ("b",): 2}.items()) == 2
 
 
-def test_sharding(docs, corpus):
-    out = sharding.shard(docs, 5, sharding.record_size(F.col("text")), F.col("text"), F.col("doc_id"), ranges_per_shard=8).toPandas()
-    assert len(out) == len(corpus) and set(out.shard) <= set(range(5))
-    for _, g in out.groupby("shard"):
-        assert sorted(g.slot) == list(range(len(g)))
-    hot = out[out.doc_id.between(200, 229)]
-    assert hot.shard.nunique() <= 2
-    assert sharding.shard(empty(docs), 5, F.lit(1), F.col("text"), F.col("doc_id")).count() == 0
+@pytest.mark.parametrize("shards", [1, 5, 40])
+def test_sharding(spark, docs, corpus, shards):
+    """Near equal bytes, gapless slots, groups of equal texts whole unless larger than a shard; names that clash stay."""
+    rng = random.Random(2)
+    hot = [(1000 + i, "hot " * 50) for i in range(400)]  # several shards
+    warm = [(2000 + 100 * j + i, f"warm {j} " * 20) for j in range(6) for i in range(30 * j)]  # up to much of a shard
+    rows = hot + warm + [(3000 + i, " ".join(rng.choices(WORDS, k=rng.randrange(1, 60)))) for i in range(3000)]
+    df = spark.createDataFrame([(*r, 7, 8) for r in rows], "doc_id long, text string, _size long, _h long").repartition(4)
+    out = sharding.shard(df, shards, sharding.record_size(F.col("text")), F.col("text"), F.col("doc_id"))
+    assert out.columns == ["doc_id", "text", "_size", "_h", "shard", "slot"]
+    found = out.collect()
+    assert Counter((r.doc_id, r.text, r._size, r._h) for r in found) == Counter((*r, 7, 8) for r in rows)
+    size, slots, where, volume = Counter(), defaultdict(list), defaultdict(set), Counter()
+    for r in found:
+        n = len(r.text.encode()) + 8
+        size[r.shard] += n
+        volume[r.text] += n
+        slots[r.shard].append(r.slot)
+        where[r.text].add(r.shard)
+    ideal = sum(size.values()) / shards
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) == set(range(shards))
+    assert all(len(s) == 1 or volume[t] > ideal for t, s in where.items())
+    whole = max([v for v in volume.values() if v <= ideal], default=0)
+    assert all(abs(x - ideal) <= max(0.05 * ideal, whole) for x in size.values()), (ideal, size)
+    assert sharding.shard(empty(docs), shards, F.lit(1), F.col("text"), F.col("doc_id")).count() == 0
+
+
+def test_sharding_of_equal_and_of_few_rows(docs, corpus):
     even = docs.where("doc_id < 247").select("doc_id", F.lit("t").alias("text"))
     sizes = sharding.shard(even, 6, F.lit(10), F.col("text"), F.col("doc_id")).groupBy("shard").count().collect()
     assert max(r[1] for r in sizes) - min(r[1] for r in sizes) <= 1
+    few = sharding.shard(docs.limit(3), 24, F.lit(10), F.col("text"), F.col("doc_id")).collect()
+    assert len(few) == 3 and all(r.slot < 3 for r in few)
 
 
 def test_embeddings(spark):
