@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessella.functions import optional
+
 # The 29 code points that count as white space, and the patterns of the cleaning steps.
 WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -92,15 +94,25 @@ def bounded_chunks(pieces: Column, max_tokens: int = 512) -> Column:
     return F.flatten(F.transform(pieces, lambda p: F.when(F.length(p) <= limit, F.array(p)).otherwise(F.transform(pack(p), strip))))
 
 
-def segment_text(c: Column, mode: str = "sentence", max_tokens: int = 512) -> Column:
+def sentences(c: Column, punkt: bool = False) -> Column:
+    """By the Punkt model if asked for and there, or else by the plain rule; blank texts have none."""
+    if not punkt:
+        return naive_sentences(c)
+    found = F.coalesce(optional.punkt(c), naive_sentences(c))
+    return F.when(strip(F.coalesce(c, F.lit(""))) == "", F.array().cast("array<string>")).otherwise(found)
+
+
+def segment_text(c: Column, mode: str = "sentence", max_tokens: int = 512, punkt: bool = False) -> Column:
     """Sentences or paragraphs of a text, each within the length bound; blank texts have none."""
     if mode not in ("sentence", "paragraph"):
         raise ValueError(f"mode {mode!r} is neither sentence nor paragraph")
-    return bounded_chunks(paragraphs(c) if mode == "paragraph" else naive_sentences(c), max_tokens)
+    return bounded_chunks(paragraphs(c) if mode == "paragraph" else sentences(c, punkt), max_tokens)
 
 
-def count_tokens(c: Column) -> Column:
-    """Words, each with at most one dotted part, times 1.3, rounded down."""
+def count_tokens(c: Column, tokenizer: str | None = None) -> Column:
+    """By the named model's tokenizer if it can be had; else words, each with at most one dotted part, times 1.3, rounded down."""
+    if tokenizer:
+        return F.coalesce(optional.tokens_by_model(c, tokenizer), count_tokens(c))
     return F.floor(F.regexp_count(F.coalesce(c, F.lit("")), F.lit(rf"{WORD}+(\.{WORD}+)?")) * F.lit(TOKENS_PER_WORD)).cast("int")
 
 

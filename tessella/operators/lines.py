@@ -13,14 +13,15 @@ from pyspark.sql.window import Window
 
 from tessella.functions.text import WS, clean_text, segment_text, split_lines, strip
 
-# Patterns of lines to keep and to drop.
+# Patterns of lines to keep and to drop.  They bear white space at either end, so that no line is stripped for them.
 _EDGE = r"(?<![\p{L}\p{N}_])"
 CAPTION_LINE = rf"(?iu){_EDGE}(?:exhibit|figure|table|chart){WS}*\p{{Nd}}+{WS}*[:\-–]{WS}*"
 CONTENTS = r"(?iu)(?<![\p{L}\p{N}_])(table of contents|list of figures|list of tables)(?![\p{L}\p{N}_])"
-DOT_LEADER = rf"[._]{{4,}}{WS}*\p{{Nd}}+\z"
+DOT_LEADER = rf"[._]{{4,}}{WS}*\p{{Nd}}+{WS}*\z"
 EXHIBIT_OF = rf"(?iu){_EDGE}exhibit{WS}*<?\p{{Nd}}+>?{WS}*of{WS}*<?\p{{Nd}}+>?"
-NOISE = (r"(?iu)\Aweb" + WS + r"*<\p{Nd}{4}>", rf"(?iu)mcKinsey{WS}*&{WS}*company", rf"(?iu)scan{WS}*•{WS}*download{WS}*•{WS}*personalize")
-PAGE_NUMBER = rf"\A-?{WS}*\p{{Nd}}{{1,4}}{WS}*-?\z"
+NOISE = (rf"(?iu)\A{WS}*web" + WS + r"*<\p{Nd}{4}>", rf"(?iu)mcKinsey{WS}*&{WS}*company", rf"(?iu)scan{WS}*•{WS}*download{WS}*•{WS}*personalize")
+PAGE_NUMBER = rf"\A{WS}*+(?:-{WS}*+)?\p{{Nd}}{{1,4}}{WS}*+(?:-{WS}*+)?\z"
+NOT_BLANK = WS.replace("[", "[^", 1)
 COLUMN_GAP = rf"\t|{WS}{{2,}}"
 
 
@@ -29,14 +30,14 @@ def blocks_to_lines(blocks: DataFrame, text: str = "text", keys: Sequence[str] =
 
     Null texts have no lines.  A key without lines has no rows.
     """
-    rows = blocks.select(*keys, *order, F.posexplode(split_lines(F.coalesce(F.col(text), F.lit("")))).alias("_pos", "line")).where(strip(F.col("line")) != "")
+    rows = blocks.select(*keys, *order, F.posexplode(split_lines(F.coalesce(F.col(text), F.lit("")))).alias("_pos", "line")).where(F.col("line").rlike(NOT_BLANK))
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, "_pos")) - 1
     return rows.select(*keys, number.cast("int").alias("line_no"), "line")
 
 
 def text_lines(docs: DataFrame, text: str = "text", keys: Sequence[str] = ("doc", "page")) -> DataFrame:
     """The same for one text a key: narrow, no window needed; line_no is the place in the text and may have gaps."""
-    return docs.select(*keys, F.posexplode(split_lines(F.coalesce(F.col(text), F.lit("")))).alias("line_no", "line")).where(strip(F.col("line")) != "")
+    return docs.select(*keys, F.posexplode(split_lines(F.coalesce(F.col(text), F.lit("")))).alias("line_no", "line")).where(F.col("line").rlike(NOT_BLANK))
 
 
 def is_caption_line(line: Column) -> Column:
@@ -45,17 +46,16 @@ def is_caption_line(line: Column) -> Column:
 
 def keep_by_alpha_ratio(line: Column, least: float = 0.2) -> Column:
     """Captions, and lines of which at least that share is letters; blank lines go."""
-    s = strip(line)
-    return (s != "") & (is_caption_line(line) | (F.regexp_count(s, F.lit(r"\p{L}")) / F.length(s) >= F.lit(float(least))))
+    letters = F.regexp_count(line, F.lit(r"\p{L}"))
+    return line.rlike(NOT_BLANK) & (is_caption_line(line) | (letters / F.nullif(F.length(strip(line)), F.lit(0)) >= F.lit(float(least))))
 
 
 def keep_by_contents(line: Column, noise: Sequence[str] = NOISE) -> Column:
-    """Not blank, not a contents entry, running head, page number or noise."""
-    s = strip(line)
-    bad = s.rlike(CONTENTS) | s.rlike(DOT_LEADER) | s.rlike(EXHIBIT_OF) | s.rlike(PAGE_NUMBER)
+    """Not blank, not a contents entry, running head, page number or noise (patterns on the line as it is)."""
+    bad = line.rlike(CONTENTS) | line.rlike(DOT_LEADER) | line.rlike(EXHIBIT_OF) | line.rlike(PAGE_NUMBER)
     for pattern in noise:
-        bad = bad | s.rlike(pattern)
-    return (s != "") & ~bad
+        bad = bad | line.rlike(pattern)
+    return line.rlike(NOT_BLANK) & ~bad
 
 
 def column_gaps(line: Column) -> Column:
@@ -86,9 +86,9 @@ def page_text(lines: DataFrame, keys: Sequence[str] = ("doc", "page")) -> DataFr
     return lines.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda s: s["line"]), "\n").alias("text"))
 
 
-def clean_pages(pages: DataFrame, keys: Sequence[str] = ("doc", "page"), mode: str = "sentence", max_tokens: int = 512) -> DataFrame:
+def clean_pages(pages: DataFrame, keys: Sequence[str] = ("doc", "page"), mode: str = "sentence", max_tokens: int = 512, punkt: bool = False) -> DataFrame:
     """(*keys, cleaned, segments)."""
-    return pages.select(*keys, clean_text(F.col("text")).alias("cleaned")).withColumn("segments", segment_text(F.col("cleaned"), mode, max_tokens))
+    return pages.select(*keys, clean_text(F.col("text")).alias("cleaned")).withColumn("segments", segment_text(F.col("cleaned"), mode, max_tokens, punkt))
 
 
 def segment_records(pages: DataFrame, keys: Sequence[str] = ("doc", "page")) -> DataFrame:

@@ -62,14 +62,29 @@ def template_text(df: DataFrame, id_col: str, summary_col: str, columns: Sequenc
     return F.when((summary != "") & (fields != ""), both).when(fields != "", only_fields).when(summary != "", F.concat(head, F.lit(" Summary: "), summary)).otherwise(head)
 
 
-def render(df: DataFrame, columns: Sequence[str], id_col: str = "RiskID", summary_col: str = "Summary", expand: Mapping[str, Sequence[str]] | None = None, protect: bool = False, row_id: Column | None = None) -> DataFrame:
-    """The nine output columns of each row.  Without an id column ``row_id`` numbers rows as ``row_n``."""
-    who = cell(df, id_col) if id_col in df.columns else F.concat(F.lit("row_"), row_id if row_id is not None else F.monotonically_increasing_id())
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df with rows numbered from 0 in the order in which they are read, without a gap: one count of each partition, no window."""
+    rows = df.withColumn(name, F.monotonically_increasing_id())  # partition in the high bits, place in the low 33
+    counts = sorted(rows.groupBy(F.shiftright(name, 33).alias("p")).agg(F.count("*").alias("n")).collect())
+    before, found = 0, []
+    for p, n in counts:
+        found.append((p, before))
+        before += n
+    starts = df.sparkSession.createDataFrame(found, f"{name}_p long, {name}_before long")  # a row for each partition
+    rows = rows.join(F.broadcast(starts), F.shiftright(name, 33) == F.col(f"{name}_p"))
+    return rows.withColumn(name, F.col(f"{name}_before") + F.col(name).bitwiseAND((1 << 33) - 1)).drop(f"{name}_p", f"{name}_before")
+
+
+def render(df: DataFrame, columns: Sequence[str], id_col: str = "RiskID", summary_col: str = "Summary", expand: Mapping[str, Sequence[str]] | None = None, protect: bool = False, row_id: Column | None = None, tokenizer: str | None = None) -> DataFrame:
+    """The nine output columns of each row.  Without an id column rows are ``row_n``, by ``row_id`` or else counted from 0."""
+    if id_col not in df.columns and row_id is None:
+        df, row_id = numbered(df, "_row"), F.col("_row")
+    who = cell(df, id_col) if id_col in df.columns else F.concat(F.lit("row_"), row_id)
     rows = df.withColumn("_found", found_phrases(df, columns, expand))
     rows = rows.withColumn("_found", first_by_lower(F.col("_found")))
     text = phrases_text(F.col("_found"), protect)
     rows = rows.select(who.alias("riskid"), text.alias("text_phrases"), template_text(df, id_col, summary_col, columns).alias("text_template"), text.alias("text_mwe"), F.transform("_found", lambda s: s["field"]).alias("fields_used"), cell(df, summary_col).alias("summary"))
-    return rows.withColumns({f"tokens_{k}": count_tokens(F.col(f"text_{k}")) for k in ("phrases", "template", "mwe")})
+    return rows.withColumns({f"tokens_{k}": count_tokens(F.col(f"text_{k}"), tokenizer) for k in ("phrases", "template", "mwe")})
 
 
 def totals(rendered: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ class Options:
     text_table_min_cols: int = 3
     text_table_min_block: int = 3
     columns: int = 1
+    punkt: bool = False  #: sentences by the Punkt model where it can be had
+    per_document: bool = False  #: outputs in a directory for each document
 
 
 def filtered_lines(rows: DataFrame, options: Options, keys: Sequence[str] = ("doc", "page")) -> DataFrame:
@@ -42,7 +44,7 @@ def process_blocks(blocks: DataFrame, options: Options = Options()) -> DataFrame
     if options.columns == 2:
         blocks, order = layout.reorder_two_columns(blocks), ("reading_no",)
     rows = filtered_lines(lines.blocks_to_lines(blocks, order=order), options)
-    return lines.clean_pages(lines.page_text(rows), mode=options.segment_by, max_tokens=options.max_len)
+    return lines.clean_pages(lines.page_text(rows), mode=options.segment_by, max_tokens=options.max_len, punkt=options.punkt)
 
 
 def process_pdfs(spark: SparkSession, path: str, options: Options = Options()) -> DataFrame:
@@ -50,17 +52,22 @@ def process_pdfs(spark: SparkSession, path: str, options: Options = Options()) -
 
 
 def run_pdfs(spark: SparkSession, path: str, out_dir: str, options: Options = Options()) -> DataFrame:
-    """Writes <out_dir>/txt and <out_dir>/jsonl by document (full path, so equal names don't meet), and returns the pages."""
+    """Writes <out_dir>/pages, <out_dir>/txt and <out_dir>/jsonl, keyed by full path so that equal names don't meet; returns the pages.
+
+    Files are parsed once, for the pages, which the rest is made from.
+    """
     pages = process_pdfs(spark, path, options)
-    sinks.write_text(lines.narrative(pages), f"{out_dir}/txt")
-    sinks.write_jsonl(lines.segment_records(pages), f"{out_dir}/jsonl", by="doc")
+    pages.write.mode("overwrite").parquet(f"{out_dir}/pages")
+    pages = spark.read.schema(pages.schema).parquet(f"{out_dir}/pages")
+    sinks.write_text(lines.narrative(pages), f"{out_dir}/txt", options.per_document)
+    sinks.write_jsonl(lines.segment_records(pages), f"{out_dir}/jsonl", by="doc" if options.per_document else None)
     return pages
 
 
-def run_table(spark: SparkSession, path: str, phrase_cols: Sequence[str], out: str | None = None, sheet: str | None = None, id_col: str = "RiskID", summary_col: str = "Summary", expand: Mapping[str, Sequence[str]] | str | None = None, protect: bool = False, csv: str | None = None) -> DataFrame:
+def run_table(spark: SparkSession, path: str, phrase_cols: Sequence[str], out: str | None = None, sheet: str | None = None, id_col: str = "RiskID", summary_col: str = "Summary", expand: Mapping[str, Sequence[str]] | str | None = None, protect: bool = False, csv: str | None = None, tokenizer: str | None = None) -> DataFrame:
     """Rendered records of an attribute table, written if asked; expand is a map or the path of one."""
-    mapping = tabular.read_expand_map(expand) if isinstance(expand, str) else expand
-    rendered = phrases.render(tabular.read_table(spark, path, sheet), [c.strip() for c in phrase_cols], id_col, summary_col, mapping, protect)
+    mapping = tabular.read_expand_map(expand, spark) if isinstance(expand, str) else expand
+    rendered = phrases.render(tabular.read_table(spark, path, sheet), [c.strip() for c in phrase_cols], id_col, summary_col, mapping, protect, tokenizer=tokenizer)
     if out:
         sinks.write_jsonl(rendered, out)
     if csv:

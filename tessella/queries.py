@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import text as tx
-from tessella.functions.text import LINE_BREAK, WORD, WS
 from tessella.operators import layout, lines, phrases
-from tessella.plans.pipelines import Options, filtered_lines
+from tessella.plans.pipelines import Options, filtered_lines, process_blocks
+from tessella.sources import pdf
 
 NOISE_LINES = [
     "",
@@ -36,7 +36,13 @@ CHUNK_TOKENS = 16
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df as it is, but a table of fewer splits than cores is dealt out first; large tables never are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +101,8 @@ def full_pipeline(spark, sf_dir):
 
 
 def doc_narrative(spark, sf_dir):
-    """Pages are tens of lines of a document."""
-    rows = _noisy_lines(spark, sf_dir).withColumn("page", F.floor(F.col("line_no") / 10).cast("int"))
+    """Pages are tens of lines of a document; one distribution by document serves pages and documents."""
+    rows = _noisy_lines(spark, sf_dir).withColumn("page", F.floor(F.col("line_no") / 10).cast("int")).repartition("doc_id")
     pages = lines.page_text(rows, keys=("doc_id", "page")).select("doc_id", "page", tx.clean_text(F.col("text")).alias("cleaned"))
     return lines.narrative(pages, doc="doc_id")
 
@@ -157,12 +163,58 @@ def render_totals(spark, sf_dir):
     return phrases.totals(_rendered(spark, sf_dir))
 
 
+PDF_LINES = 40  #: of a document on each page of the PDF made from it
+
+
+def _pdf_files(spark, sf_dir):
+    """A PDF of each document, made at run time: a line is one TJ of two strings, cut anywhere, 20 below the line before."""
+    found = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    shown = F.transform("l", lambda t, i: F.concat(F.lit("1 0 0 1 72 "), (F.lit(900) - 20 * F.pmod(i, F.lit(PDF_LINES))).cast("string"), F.lit(" Tm [<"), F.hex(F.encode(F.substr(t, F.lit(1), F.floor(F.length(t) / 2).cast("int")), "UTF-8")), F.lit("> -5 <"), F.hex(F.encode(F.substr(t, (F.floor(F.length(t) / 2) + 1).cast("int")), "UTF-8")), F.lit(">] TJ")))
+    rows = documents(spark, sf_dir).select("doc_id", found.alias("l")).select("doc_id", shown.alias("s"))
+    pages = F.sequence(F.lit(0), F.floor((F.size("s") - 1) / PDF_LINES).cast("int"))
+    name = lambda k: k.cast("string")
+    kids = F.array_join(F.transform(pages, lambda k: F.concat(name(10 + 2 * k), F.lit(" 0 R"))), " ")
+    page = lambda k: F.concat(
+        name(10 + 2 * k), F.lit(" 0 obj <</Type /Page /Parent 2 0 R /Contents "), name(11 + 2 * k), F.lit(" 0 R>> endobj\n"),
+        name(11 + 2 * k), F.lit(" 0 obj <<>> stream\nBT /F1 10 Tf "), F.array_join(F.slice("s", 1 + k * PDF_LINES, F.lit(PDF_LINES)), "\n"), F.lit(" ET\nendstream endobj\n"),
+    )
+    head = F.concat(F.lit("%PDF-1.4\n1 0 obj <</Type /Catalog /Pages 2 0 R>> endobj\n2 0 obj <</Type /Pages /MediaBox [0 0 600 1000] /Kids ["), kids, F.lit("]>> endobj\n"))
+    return rows.select(F.concat(F.lit("doc/"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"), F.encode(F.concat(head, F.array_join(F.transform(pages, page), "")), "UTF-8").alias("content"))
+
+
+def pdf_blocks(spark, sf_dir):
+    return pdf.parse_binary(_pdf_files(spark, sf_dir)).select(tx.stem(F.col("doc")).alias("doc"), "page", "pages", "width", "height", "block_no", "x0", "text")
+
+
+def pdf_pipeline(spark, sf_dir):
+    pages = process_blocks(pdf.text_blocks(pdf.parse_binary(_pdf_files(spark, sf_dir))))
+    return lines.segment_records(pages).select(tx.stem(F.col("doc")).alias("doc"), "page", "segment_index", "text")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (doc_lines, drop_numeric_lines, strip_toc_footer, mask_text_tables, clean_text, sentence_segments, paragraph_segments, chunk_long, full_pipeline, doc_narrative, token_counts, column_reorder, find_captions, phrases_normalised, phrases_mwe, fields_used, record_template, render_totals)}
+    return {f.__name__: f for f in (pdf_blocks, pdf_pipeline, doc_lines, drop_numeric_lines, strip_toc_footer, mask_text_tables, clean_text, sentence_segments, paragraph_segments, chunk_long, full_pipeline, doc_narrative, token_counts, column_reorder, find_captions, phrases_normalised, phrases_mwe, fields_used, record_template, render_totals)}
 
 
 # The same in SQL for an engine without lookaround: boundaries are captured and put back, or marked with chr(1).
 
+# Fixed values of the SQL side, written out here from the rules and not taken from the operators.
+_WS = r"[\t\n\v\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_WORD = r"[\p{L}\p{N}_]"
+_LINE_BREAK = r"\r\n|[\n\v\f\r\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
+_DASHES = "[‐–—]+"
+_EDGE = r"(?:\A|[^\p{L}\p{N}_])"
+_CAPTION_LINE = rf"(?i){_EDGE}(exhibit|figure|table|chart){_WS}*\p{{Nd}}+{_WS}*[:\-–]"
+_CAPTION = rf"(?i){_EDGE}(exhibit|figure|table|chart){_WS}*(\p{{Nd}}+)(?:{_WS}*[:\-–]{_WS}*|{_WS}+|\z)"
+_DROPPED = (
+    r"(?i)(?:\A|[^\p{L}\p{N}_])(?:table of contents|list of figures|list of tables)(?:[^\p{L}\p{N}_]|\z)",
+    rf"[._]{{4,}}{_WS}*\p{{Nd}}+\z",
+    rf"(?i){_EDGE}exhibit{_WS}*<?\p{{Nd}}+>?{_WS}*of{_WS}*<?\p{{Nd}}+>?",
+    rf"\A-?{_WS}*\p{{Nd}}{{1,4}}{_WS}*-?\z",
+    rf"(?i)\Aweb{_WS}*<\p{{Nd}}{{4}}>",
+    rf"(?i)mckinsey{_WS}*&{_WS}*company",
+    rf"(?i)scan{_WS}*•{_WS}*download{_WS}*•{_WS}*personalize",
+)
+
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -173,18 +225,18 @@ def _re(c: str, pattern: str, to: str) -> str:
 
 
 def _strip(c: str) -> str:
-    return _re(c, rf"\A{WS}+|{WS}+\z", "")
+    return _re(c, rf"\A{_WS}+|{_WS}+\z", "")
 
 
 def _clean(c: str) -> str:
-    for old, new in tx.LIGATURES:
-        c = f"replace({c}, {_q(old)}, {_q(new)})"
-    c = f"replace({_re(c, tx.HYPHEN_BREAK, chr(92) + '1' + chr(92) + '2')}, chr(160), ' ')"
+    for code, new in ((0xFB01, "fi"), (0xFB02, "fl"), (0xAD, "")):
+        c = f"replace({c}, chr({code}), {_q(new)})"
+    c = f"replace({_re(c, rf'({_WORD})-{_WS}*' + chr(92) + 'n' + rf'{_WS}*({_WORD})', chr(92) + '1' + chr(92) + '2')}, chr(160), ' ')"
     both = r"\1 \2"
     for pattern in (r"([a-z])([A-Z][a-z])", r"([a-z])([A-Z][a-z])", r"([a-zA-Z])([0-9])", r"([0-9])([A-Za-z])", r"([A-Za-z0-9])(\()", r"(\))([A-Za-z0-9])"):
         c = _re(c, pattern, both)
-    c = _re(_re(_re(c, tx.DASHES, "-"), tx.BULLETS, "-"), rf"{WS}+", " ")
-    return _strip(_re(c, tx.DOT_CAPITAL, r". \1"))
+    c = _re(_re(_re(c, _DASHES, "-"), "[•·∙◦*]+", "-"), rf"{_WS}+", " ")
+    return _strip(_re(c, rf"\.{_WS}*([A-Z])", r". \1"))
 
 
 def _pieces(c: str) -> str:
@@ -192,44 +244,38 @@ def _pieces(c: str) -> str:
 
 
 def _sentences(c: str) -> str:
-    marked = _re(c, rf"([.!?]){WS}+([A-Z(0-9])", r"'\1' || chr(1) || '\2'")
-    cut = f"CASE WHEN length(s) > {tx.LONG_SENTENCE} THEN string_split_regex(s, {_q(';' + WS + '+')}) ELSE [s] END"
+    marked = _re(c, rf"([.!?]){_WS}+([A-Z(0-9])", r"'\1' || chr(1) || '\2'")
+    cut = f"CASE WHEN length(s) > {1200} THEN string_split_regex(s, {_q(';' + _WS + '+')}) ELSE [s] END"
     return _pieces(f"flatten(list_transform(string_split({marked}, chr(1)), lambda s: {cut}))")
 
 
 def _tokens(c: str) -> str:
-    return f"CAST(floor(len(regexp_extract_all({c}, {_q(WORD + '+(?:[.]' + WORD + '+)?')})) * CAST(1.3 AS DOUBLE)) AS INTEGER)"
+    return f"CAST(floor(len(regexp_extract_all({c}, {_q(_WORD + '+(?:[.]' + _WORD + '+)?')})) * CAST(1.3 AS DOUBLE)) AS INTEGER)"
 
 
-_EDGE = r"(?:\A|[^\p{L}\p{N}_])"
-_CAPTION_LINE = "(?i)" + _EDGE + lines.CAPTION_LINE.partition(")")[2].removeprefix(lines._EDGE)
-_CONTENTS = "(?i)" + _EDGE + r"(?:table of contents|list of figures|list of tables)(?:[^\p{L}\p{N}_]|\z)"
-_EXHIBIT = "(?i)" + _EDGE + lines.EXHIBIT_OF.partition(")")[2].removeprefix(lines._EDGE)
-_CAPTION = "(?i)" + _EDGE + rf"(exhibit|figure|table|chart){WS}*(\p{{Nd}}+)(?:{WS}*[:\-–]{WS}*|{WS}+|\z)"
-
 _DOCS = "SELECT doc_id, text FROM documents"
 _NOISY = "SELECT doc_id, text || chr(10) || CASE doc_id % 16 " + " ".join(f"WHEN {k} THEN {_q(s)}" for k, s in enumerate(NOISE_LINES)) + " END AS text FROM documents"
 
 
 def _lines(source: str) -> str:
-    return f"SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split_regex(text, {_q(LINE_BREAK)}) AS l FROM ({source}))) WHERE {_strip('l[i]')} <> ''"
+    return f"SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split_regex(text, {_q(_LINE_BREAK)}) AS l FROM ({source}))) WHERE {_strip('l[i]')} <> ''"
 
 
 _ALPHA = f"(regexp_matches(line, {_q(_CAPTION_LINE)}) OR len(regexp_extract_all({_strip('line')}, '\\p{{L}}')) / length({_strip('line')}) >= CAST(0.2 AS DOUBLE))"
-_TOC = "NOT (" + " OR ".join(f"regexp_matches({_strip('line')}, {_q(p.replace('(?iu)', '(?i)'))})" for p in (_CONTENTS, lines.DOT_LEADER, _EXHIBIT, lines.PAGE_NUMBER, *lines.NOISE)) + ")"
+_TOC = "NOT (" + " OR ".join(f"regexp_matches({_strip('line')}, {_q(p)})" for p in _DROPPED) + ")"
 
 
 def _masked(source: str) -> str:
-    wide = f"CAST(len(regexp_extract_all({_strip('line')}, {_q(lines.COLUMN_GAP)})) >= 2 AS INTEGER)"
+    wide = f"CAST(len(regexp_extract_all({_strip('line')}, {_q(rf"\t|{_WS}{{2,}}")})) >= 2 AS INTEGER)"
     return f"SELECT doc_id, line_no, line, w = 1 AND sum(w) OVER (PARTITION BY doc_id, g) >= 3 AS masked FROM (SELECT *, sum(1 - w) OVER (PARTITION BY doc_id ORDER BY line_no) AS g FROM (SELECT *, {wide} AS w FROM ({source})))"
 
 
-def _exploded(source: str, pieces: str) -> str:
-    return f"SELECT doc_id, CAST(i - 1 AS INTEGER) AS segment_index, s[i] AS segment FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, {pieces} AS s FROM ({source})))"
+def _exploded(source: str, pieces: str, keys: str = "doc_id") -> str:
+    return f"SELECT {keys}, CAST(i - 1 AS INTEGER) AS segment_index, s[i] AS segment FROM (SELECT {keys}, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT {keys}, {pieces} AS s FROM ({source})))"
 
 
 def _chunks(pieces: str, limit: int) -> str:
-    parts = f"string_split({_re('p', '([;:,])' + WS + '+', chr(39) + chr(92) + '1' + chr(39) + ' || chr(1)')}, chr(1))"
+    parts = f"string_split({_re('p', '([;:,])' + _WS + '+', chr(39) + chr(92) + '1' + chr(39) + ' || chr(1)')}, chr(1))"
     step = f"CASE WHEN a.buf <> '' AND length(a.buf) + length(x) >= {limit} THEN {{'out': list_append(a.out, a.buf), 'buf': x}} WHEN a.buf = '' THEN {{'out': a.out, 'buf': x}} ELSE {{'out': a.out, 'buf': a.buf || ' ' || x}} END"
     fold = f"list_reduce({parts}, lambda a, x: {step}, {{'out': CAST([] AS VARCHAR[]), 'buf': ''}})"
     done = f"list_transform([{fold}], lambda r: CASE WHEN r.buf <> '' THEN list_append(r.out, r.buf) ELSE r.out END)[1]"
@@ -243,11 +289,11 @@ _RECORDS = "SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS riskid, CASE WH
 
 
 def _norm(c: str) -> str:
-    return _re(_re(_strip(c), rf"{WS}+", " "), tx.DASHES, "-")
+    return _re(_re(_strip(c), rf"{_WS}+", " "), _DASHES, "-")
 
 
 _CELLS = f"SELECT k, riskid, f, name, c FROM (SELECT k, riskid, unnest([1, 2, 3]) AS f, unnest(['L1', 'K', 'D']) AS name, unnest([l1, kk, d]) AS c FROM ({_RECORDS})) WHERE {_strip('c')} <> ''"
-_PARTS = f"SELECT *, CASE WHEN len(q) = 0 THEN [c] ELSE q END AS parts FROM (SELECT *, list_filter(string_split_regex(c, {_q(phrases.PHRASE_DELIMITERS)}), lambda s: {_strip('s')} <> '') AS q FROM ({_CELLS}))"
+_PARTS = f"SELECT *, CASE WHEN len(q) = 0 THEN [c] ELSE q END AS parts FROM (SELECT *, list_filter(string_split_regex(c, {_q("[;,/|]")}), lambda s: {_strip('s')} <> '') AS q FROM ({_CELLS}))"
 _EACH = f"SELECT k, riskid, f, name, i, {_norm('parts[i]')} AS p FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM ({_PARTS}))"
 _GROWN = "SELECT k, riskid, f, name, i, unnest(range(1, len(g) + 1)) AS j, unnest(g) AS p FROM (SELECT *, CASE p " + " ".join(f"WHEN {_q(x)} THEN [p, {', '.join(map(_q, v))}]" for x, v in EXPAND.items()) + f" ELSE [p] END AS g FROM ({_EACH}))"
 _FORMS = f"SELECT k, riskid, f, name, i, j, unnest([1, 2]) AS v, unnest([p, CASE WHEN contains(p, '-') THEN replace(p, '-', ' ') END]) AS p FROM ({_GROWN})"
@@ -262,11 +308,19 @@ _FIELDS = "concat_ws('; ', " + ", ".join(f"CASE WHEN {_strip(c)} <> '' THEN '{n}
 _TEMPLATE = f"SELECT riskid, summary, 'RiskID ' || riskid || '.' || CASE WHEN summary <> '' AND x <> '' THEN ' Summary: ' || summary || ' Related attributes — ' || x || '.' WHEN x <> '' THEN ' Attributes — ' || x || '.' WHEN summary <> '' THEN ' Summary: ' || summary ELSE '' END AS text_template FROM (SELECT riskid, summary, {_FIELDS} AS x FROM ({_RECORDS}))"
 
 
+_PDF_LINES = f"SELECT doc_id, (i - 1) // 40 AS page, i, {_strip(_re('l[i]', '[' + chr(92) + 'x00-' + chr(92) + 'x1f]', ' '))} AS t, (len(l) - 1) // 40 + 1 AS pages FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))"
+_PDF_PAGES = f"SELECT doc_id, page, string_agg(t, chr(10) ORDER BY i) AS t FROM ({_PDF_LINES}) WHERE t <> '' GROUP BY doc_id, page"
+
+
 def oracle_sql() -> dict[str, str]:
     side = "CASE WHEN c > a[CAST(len(a) // 2 + 1 AS BIGINT)] THEN 1 ELSE 0 END"
     blocks = "SELECT l_orderkey AS doc, l_linenumber AS block_no, l_quantity * 10 AS x0, (l_quantity * 10 + (l_quantity * 10 + l_tax * 1000)) / 2 AS c, l_discount * 7000 AS y0 FROM lineitem"
-    mwe = _re("p", rf"{WS}+", "_")
+    mwe = _re("p", rf"{_WS}+", "_")
+    pdf_text = f"SELECT doc_id, page, {_sentences('c')} AS z FROM (SELECT doc_id, page, {_clean('t')} AS c FROM ({_PDF_PAGES}))"
+    size = "CAST(page AS INTEGER) AS page, CAST(pages AS INTEGER) AS pages, CAST(600 AS DOUBLE) AS width, CAST(1000 AS DOUBLE) AS height"
     return {
+        "pdf_blocks": f"SELECT CAST(doc_id AS VARCHAR) AS doc, {size}, CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY i) - 1 AS INTEGER) AS block_no, CAST(72 AS DOUBLE) AS x0, t AS text FROM ({_PDF_LINES}) WHERE t <> '' UNION ALL SELECT CAST(doc_id AS VARCHAR), {size}, NULL, NULL, '' FROM ({_PDF_LINES}) GROUP BY doc_id, page, pages HAVING max(t) = ''",
+        "pdf_pipeline": f"SELECT CAST(doc_id AS VARCHAR) AS doc, CAST(page AS INTEGER) AS page, segment_index, segment AS text FROM ({_exploded(pdf_text, _chunks('z', 512 * 6), 'doc_id, page')})",
         "doc_lines": _lines(_DOCS),
         "drop_numeric_lines": f"SELECT * FROM ({_lines(_NOISY)}) WHERE {_ALPHA}",
         "strip_toc_footer": f"SELECT * FROM ({_lines(_NOISY)}) WHERE {_TOC}",
@@ -274,8 +328,8 @@ def oracle_sql() -> dict[str, str]:
         "clean_text": f"SELECT doc_id, {_clean('text')} AS cleaned FROM ({_NOISY})",
         "sentence_segments": _exploded(f"SELECT doc_id, {_clean('text')} AS t FROM ({_NOISY})", _sentences("t")),
         "paragraph_segments": _exploded(_NOISY, _pieces("string_split(" + _re(_re("text", r"\n{2,}", "chr(1)"), r"\.\n", "'.' || chr(1)") + ", chr(1))")),
-        "chunk_long": _exploded(f"SELECT doc_id, {_sentences('t')} AS z FROM (SELECT doc_id, {_clean('text')} AS t FROM ({_NOISY}))", _chunks("z", CHUNK_TOKENS * tx.CHARS_PER_TOKEN)),
-        "full_pipeline": _exploded(f"SELECT doc_id, {_sentences('t')} AS z FROM (SELECT doc_id, {_clean('text')} AS t FROM ({_FULL}))", _chunks("z", 512 * tx.CHARS_PER_TOKEN)),
+        "chunk_long": _exploded(f"SELECT doc_id, {_sentences('t')} AS z FROM (SELECT doc_id, {_clean('text')} AS t FROM ({_NOISY}))", _chunks("z", CHUNK_TOKENS * 6)),
+        "full_pipeline": _exploded(f"SELECT doc_id, {_sentences('t')} AS z FROM (SELECT doc_id, {_clean('text')} AS t FROM ({_FULL}))", _chunks("z", 512 * 6)),
         "doc_narrative": f"SELECT doc_id, string_agg(t, chr(10) ORDER BY page) AS text FROM (SELECT doc_id, page, {_clean('text')} AS t FROM ({_NARRATIVE})) WHERE t <> '' GROUP BY doc_id",
         "token_counts": f"SELECT 'documents' AS origin, doc_id AS id, CAST(0 AS BIGINT) AS part, {_tokens('text')} AS tokens FROM documents UNION ALL SELECT 'conversations', conv_id, turn, {_tokens('text')} FROM conversations",
         "column_reorder": f"SELECT doc, block_no, CAST(row_number() OVER (PARTITION BY doc ORDER BY {side}, floor(y0 * 10 + CAST(0.5 AS DOUBLE)), floor(x0 * 10 + CAST(0.5 AS DOUBLE)), block_no) - 1 AS INTEGER) AS reading_no FROM (SELECT *, list_sort(list(c) OVER (PARTITION BY doc)) AS a FROM ({blocks}))",

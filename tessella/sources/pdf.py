@@ -13,12 +13,13 @@ import base64
 import re
 import zlib
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.sources import files
+
 SCHEMA = "doc string, page int, pages int, width double, height double, block_no int, x0 double, y0 double, x1 double, y1 double, text string"
 
 
@@ -218,11 +219,11 @@ def _product(a: list[float], b: list[float]) -> list[float]:
     return [a[0] * b[0] + a[1] * b[2], a[0] * b[1] + a[1] * b[3], a[2] * b[0] + a[3] * b[2], a[2] * b[1] + a[3] * b[3], a[4] * b[0] + a[5] * b[2] + b[4], a[4] * b[1] + a[5] * b[3] + b[5]]
 
 
-def pieces(content: bytes) -> list[tuple[float, float, float, float, str]]:
-    """(x, baseline y, width, font size, text) of every string shown, y growing upwards."""
+def pieces(content: bytes) -> list[tuple[float, float, float, float, float, str]]:
+    """(x, baseline y, width, height, font size, text) of every string shown, y growing upwards; the strings of a TJ are one."""
     unit = [1.0, 0.0, 0.0, 1.0, 0.0, 0.0]
     matrix, line, size, leading = unit, unit, 12.0, 0.0
-    out: list[tuple[float, float, float, float, str]] = []
+    out: list[tuple[float, float, float, float, float, str]] = []
     args: list[object] = []
 
     def number(k: int) -> float:
@@ -230,15 +231,20 @@ def pieces(content: bytes) -> list[tuple[float, float, float, float, str]]:
         return float(found[k]) if -len(found) <= k < len(found) else 0.0
 
     def show(x: object) -> None:
+        """A string, or an array of strings and kerns, from here on; what follows stands after its width."""
         nonlocal matrix
-        if not isinstance(x, bytes) or isinstance(x, (Name, Word)):
-            return
-        text = re.sub(r"[\x00-\x1f]", " ", _text(x))
-        wide = _width(text, size) if text else 0.0
-        if text.strip():
-            scale = (matrix[2] ** 2 + matrix[3] ** 2) ** 0.5 or 1.0
-            out.append((matrix[4], matrix[5], wide * ((matrix[0] ** 2 + matrix[1] ** 2) ** 0.5 or 1.0), size * scale, text.strip()))
-        matrix = _product([1, 0, 0, 1, wide, 0], matrix)
+        found, wide = [], 0.0
+        for part in x if isinstance(x, list) else [x]:
+            if isinstance(part, (int, float)) and not isinstance(part, bool):
+                wide -= part / 1000 * size
+            elif isinstance(part, bytes) and not isinstance(part, (Name, Word)):
+                found.append(_text(part))
+                wide += _width(found[-1], size) if found[-1] else 0.0
+        text = re.sub(r"[\x00-\x1f]", " ", "".join(found)).strip()
+        if text:
+            across, up = ((matrix[k] ** 2 + matrix[k + 1] ** 2) ** 0.5 or 1.0 for k in (0, 2))
+            out.append((matrix[4], matrix[5], _width(text, size) * across, size * up, size, text))
+        matrix = _product([1, 0, 0, 1, max(0.0, wide), 0], matrix)
 
     def move(x: float, y: float) -> None:
         nonlocal matrix, line
@@ -266,33 +272,27 @@ def pieces(content: bytes) -> list[tuple[float, float, float, float, str]]:
             move(0, -leading)
             if op != b"T*" and args:
                 show(args[-1])
-        elif op == b"Tj" and args:
+        elif (op == b"Tj" and args) or (op == b"TJ" and args and isinstance(args[-1], list)):
             show(args[-1])
-        elif op == b"TJ" and args and isinstance(args[-1], list):
-            for part in args[-1]:
-                if isinstance(part, (int, float)):
-                    matrix = _product([1, 0, 0, 1, -part / 1000 * size, 0], matrix)
-                else:
-                    show(part)
         args = []
     return out
 
 
-def line_blocks(found: list[tuple[float, float, float, float, str]], top: float) -> list[tuple[float, float, float, float, str]]:
+def line_blocks(found: list[tuple[float, float, float, float, float, str]], top: float) -> list[tuple[float, float, float, float, str]]:
     """(x0, y0, x1, y1, text) of each line, from the top down: pieces whose baseline is near the line's mean."""
     lines: list[list] = []
     for piece in sorted(found, key=lambda p: (-p[1], p[0])):
-        if lines and abs(piece[1] - sum(p[1] for p in lines[-1]) / len(lines[-1])) <= 0.6 * max(piece[3], lines[-1][0][3]):
+        if lines and abs(piece[1] - sum(p[1] for p in lines[-1]) / len(lines[-1])) <= 0.6 * max(piece[4], lines[-1][0][4]):
             lines[-1].append(piece)
         else:
             lines.append([piece])
     out = []
     for line in lines:
         line.sort(key=lambda p: p[0])
-        text, end = "", None
-        for x, _, w, size, t in line:
-            text += (" " if end is not None and x - end > 0.3 * size else "") + t
-            end = x + w
+        text, end, before = "", None, 0.0
+        for x, _, w, _, size, t in line:
+            text += (" " if end is not None and x - end > 0.3 * max(size, before) else "") + t
+            end, before = x + w, size
         out.append((min(p[0] for p in line), min(top - p[1] - p[3] for p in line), max(p[0] + p[2] for p in line), max(top - p[1] + 0.2 * p[3] for p in line), text))
     return out
 
@@ -310,22 +310,22 @@ def blocks_of(data: bytes) -> Iterator[tuple]:
             yield (page, len(doc.pages), width, height, None, None, None, None, None, "")
 
 
-def collect_pdf_paths(path: str) -> list[str]:
-    """The PDF files of a directory (not below it, by name), or the one file given."""
-    p = Path(path)
-    if not p.exists():
+def collect_pdf_paths(path: str, spark: SparkSession | None = None) -> list[str]:
+    """The PDF files of a directory (not below it, by name), or the one file given, in any store that Spark reads."""
+    spark = spark or SparkSession.active()
+    if not files.exists(spark, path):
         raise FileNotFoundError(path)
-    if p.is_file():
-        if p.suffix.lower() != ".pdf":
+    if files.is_file(spark, path):
+        if not path.lower().endswith(".pdf"):
             raise ValueError(f"not a PDF file: {path}")
-        return [str(p)]
-    found = sorted(str(x) for x in p.iterdir() if x.is_file() and x.name.endswith(".pdf"))
+        return [files.full_path(spark, path)]
+    found = [x for x in files.files_in(spark, path) if x.endswith(".pdf")]
     if not found:
         raise ValueError(f"no PDF files in {path}")
     return found
 
 
-def parse_binary(files: DataFrame) -> DataFrame:
+def parse_binary(rows: DataFrame) -> DataFrame:
     """Blocks of files (path, content), as binaryFile reads them; batch or stream."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,16 +336,17 @@ def parse_binary(files: DataFrame) -> DataFrame:
                 rows = [(path, *row) for row in blocks_of(content.as_py() or b"")]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
-    return files.select("path", "content").mapInArrow(run, SCHEMA)
+    return rows.select("path", "content").mapInArrow(run, SCHEMA)
 
 
 def read_pdf(spark: SparkSession, path: str) -> DataFrame:
     """Blocks of a PDF file or of the PDF files in a directory."""
-    files = collect_pdf_paths(path)
-    hidden = [f for f in files if Path(f).name[0] in "._"]  # file listings skip these
-    rows = spark.read.format("binaryFile").load([f for f in files if f not in hidden]).select("path", "content") if len(files) > len(hidden) else None
+    found = collect_pdf_paths(path, spark)
+    hidden = [f for f in found if files.name(f)[0] in "._"]  # file listings skip these
+    plain = [files.literal(f) for f in found if f not in hidden]
+    rows = spark.read.format("binaryFile").load(plain).select("path", "content") if plain else None
     if hidden:
-        more = spark.createDataFrame([(f"file:{Path(f).resolve()}", bytearray(Path(f).read_bytes())) for f in hidden], "path string, content binary")
+        more = spark.createDataFrame([(f, bytearray(files.read_bytes(spark, f))) for f in hidden], "path string, content binary")
         rows = more if rows is None else rows.unionByName(more)
     return parse_binary(rows)
 

@@ -1,4 +1,7 @@
-"""Text, JSONL and CSV outputs; directories of part files, written anew each time."""
+"""Text, JSONL and CSV outputs; directories of part files, written anew each time.
+
+A directory for each document suits few documents only: it is for those who ask for it.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_text(narratives: DataFrame, path: str) -> None:
-    """One directory for each document (doc, text)."""
-    narratives.select("doc", F.col("text").alias("value")).write.mode("overwrite").partitionBy("doc").text(path)
+def write_text(narratives: DataFrame, path: str, per_document: bool = False) -> None:
+    """The texts (doc, text) as JSON lines, or plain in one directory for each document."""
+    if per_document:
+        narratives.select("doc", F.col("text").alias("value")).repartition("doc").write.mode("overwrite").partitionBy("doc").text(path)
+    else:
+        narratives.select("doc", "text").write.mode("overwrite").json(path)
 
 
 def write_jsonl(records: DataFrame, path: str, by: str | None = None) -> None:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import io
 import json
 import re
 import zipfile
-from pathlib import Path
 from xml.etree import ElementTree
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.sources import files
+
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
@@ -27,7 +29,7 @@ def _column(cell: str) -> int:
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
     """A sheet by name, or the first; its first row has the names.  Read on the driver: a workbook is one small file."""
     tag = lambda x: x.tag.rpartition("}")[2]
-    with zipfile.ZipFile(path) as z:
+    with zipfile.ZipFile(io.BytesIO(files.read_bytes(spark, path))) as z:
         book = ElementTree.fromstring(z.read("xl/workbook.xml"))
         sheets = [(x.get("name"), next(v for k, v in x.attrib.items() if k.endswith("}id"))) for x in book.iter() if tag(x) == "sheet"]
         targets = {x.get("Id"): x.get("Target") for x in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
@@ -55,9 +57,10 @@ def read_table(spark: SparkSession, path: str, sheet: str | None = None) -> Data
     return read_xlsx(spark, path, sheet) if path.lower().endswith(".xlsx") else read_csv(spark, path)
 
 
-def read_expand_map(path: str | None) -> dict[str, list[str]]:
+def read_expand_map(path: str | None, spark: SparkSession | None = None) -> dict[str, list[str]]:
     """A JSON object of lists; a missing file is an empty one."""
-    return json.loads(Path(path).read_text("utf-8")) if path and Path(path).exists() else {}
+    spark = spark or SparkSession.active()
+    return json.loads(files.read_bytes(spark, path).decode("utf-8")) if path and files.exists(spark, path) else {}
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:

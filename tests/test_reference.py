@@ -117,6 +117,60 @@ def test_pdf_reader():
     assert [t for _, t in texts(packed)] == ["packed"]
 
 
+def test_strings_of_a_tj_are_one_text():
+    """Spaces at the ends of its strings stay, whatever the kerns; a wide gap between operators makes a space by the larger font."""
+    show = lambda body: texts(make_pdf(b"BT /F1 10 Tf 72 700 Td " + body + b" ET"))
+    assert show(b"[(Hello ) -20 (big) 15 ( world)] TJ") == [(0, "Hello big world")]
+    assert show(b"[( a) -2000 (b )] TJ") == [(0, "ab")]
+    assert show(b"[-50 ( ) ()] TJ (x) Tj [] TJ") == [(0, "x")]
+    assert show(b"[<48> 5 <69>] TJ 40 0 Td (there) Tj") == [(0, "Hi there")]
+    assert show(b"(aaaaaaaa) Tj 38.9 0 Td (b) Tj") == [(0, "aaaaaaaab")]  # a gap of 3, no more than 0.3 of the font
+    assert show(b"(aaaaaaaa) Tj /F1 20 Tf 41 0 Td (b) Tj") == [(0, "aaaaaaaab")] and show(b"(aaaaaaaa) Tj 41 0 Td (b) Tj") == [(0, "aaaaaaaa b")]
+
+
+def test_optional_libraries(spark, monkeypatch):
+    """Nothing without them; with them, what they say.  Stand-ins are put where the library would be."""
+    import sys
+    import types
+
+    from tessella.functions import optional
+
+    for name in ("pytesseract", "fitz", "nltk", "transformers"):
+        monkeypatch.setitem(sys.modules, name, None)
+    monkeypatch.setattr(optional, "_tokenizers", {})
+    assert optional.ocr_text(b"x") == "" and optional.page_png(b"x", 0) is None and optional.punkt_sentences("a. b") is None and optional.model_tokens("a", "m") is None
+    df = spark.createDataFrame([("One. Two words here.", b"x"), (None, None), (" ", b"")], "s string, b binary")
+    row = df.select(optional.ocr(F.col("b")).alias("o"), optional.rasters(F.col("b"), F.lit(0)).alias("r"), tx.segment_text(F.col("s"), punkt=True).alias("p"), tx.count_tokens(F.col("s"), "no/such-model").alias("n")).collect()
+    assert [tuple(r) for r in row] == [("", None, ["One.", "Two words here."], 5), ("", None, [], 0), ("", None, [], 0)]
+    monkeypatch.setitem(sys.modules, "nltk", types.SimpleNamespace(sent_tokenize=lambda s: s.split("|")))
+    model = types.SimpleNamespace(encode=lambda s, add_special_tokens: list(s))
+    monkeypatch.setitem(sys.modules, "transformers", types.SimpleNamespace(AutoTokenizer=types.SimpleNamespace(from_pretrained=lambda name: model)))
+    monkeypatch.setattr(optional, "_tokenizers", {})
+    assert optional.punkt_sentences("a|b") == ["a", "b"] and optional.model_tokens("abc", "m") == 3
+
+
+def test_rows_are_numbered_without_gaps(spark):
+    df = spark.range(1000).repartition(7).select(F.col("id").cast("string").alias("K")).where("id % 3 > 0")
+    assert sorted(int(r.riskid[4:]) for r in phrases.render(df, ["K"]).collect()) == list(range(666))
+    assert phrases.render(df.where("false"), ["K"]).count() == 0
+
+
+def test_command_lines(spark, tmp_path, capsys):
+    from tessella.plans import cli
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a[1].pdf").write_bytes(make_pdf(b"BT /F1 12 Tf 72 700 Td (Table of Contents) Tj 0 -20 Td (One. Two.) Tj ET"))
+    cli.main(["pdf", "--input_pdf", f"file:{tmp_path}/in", "--out_dir", str(tmp_path / "o"), "--drop_toc"])
+    assert [r.text for r in spark.read.json(str(tmp_path / "o/jsonl")).orderBy("segment_index").collect()] == ["One.", "Two."]
+    assert [r.text for r in spark.read.json(str(tmp_path / "o/txt")).collect()] == ["One. Two."]
+    cli.main(["pdf", "--input_path", str(tmp_path / "in"), "--out_dir", str(tmp_path / "p"), "--per_document"])
+    assert len([d for d in os.listdir(tmp_path / "p/txt") if d.startswith("doc=")]) == 1
+    (tmp_path / "t.csv").write_text("RiskID,Summary,K\n1,Sum.,a-b; c\n2,,\n", "utf-8")
+    cli.main(["table", "--input_file", str(tmp_path / "t.csv"), "--phrase_cols", "K, ", "--output_jsonl", str(tmp_path / "r.jsonl"), "--make_csv"])
+    assert spark.read.json(str(tmp_path / "r.jsonl")).count() == 2 and spark.read.csv(str(tmp_path / "r.csv"), header=True, lineSep="\r\n").count() == 2
+    assert "Wrote 2 records" in capsys.readouterr().out
+
+
 def test_pdf_pipeline_and_stream(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
