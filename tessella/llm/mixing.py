@@ -1,7 +1,7 @@
 """Mixing sources to target weights by min-cost flow over membership patterns.
 
 Documents are aggregated by their membership pattern (the set of sources that may
-claim them).  A small flow network routes each pattern's token capacity to source
+claim them, or that hold the same text).  A small flow network routes each pattern's token capacity to source
 quotas; the k-th pass over a pattern costs k, so repetition is convex and is spread
 before it is deepened.  What flows out of a pattern fixes how many whole passes all
 its documents get and how many tokens of one further pass a seeded order selects.
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import kept, small, table, workspace, written
 
 #: Bits of the hash that orders documents, so that sums of bounds stay in a long.
 ORDER_BITS = 62
@@ -53,10 +53,24 @@ def weighted_targets(sizes: Mapping[str | None, int], weights: Sequence[float] =
     return out
 
 
-def min_cost_flow(capacity: Mapping[tuple, int], quotas: Mapping, passes: int = 2) -> dict[tuple, dict]:
+def _passes(once: int, total: int, single: int = 8) -> list[tuple[int, int]]:
+    """(tokens, cost of each) of the passes over ``once`` tokens that ``total`` takes: the k-th costs k; past ``single`` they are
+    taken together in doubling numbers, at the cost of the middle one, so that a thousand copies are a few arcs."""
+    out, k = [], 1
+    while total > 0:
+        many = 1 if k <= single else k - 1
+        out.append((min(total, many * once), k + (many - 1) // 2))
+        total -= many * once
+        k += many
+    return out
+
+
+def min_cost_flow(capacity: Mapping[tuple, int], quotas: Mapping, passes: int = 2, cells: Mapping[tuple, int] | None = None) -> dict[tuple, dict]:
     """Tokens from each pattern (a tuple of sources) to each source: the most that fits, at the least repetition cost.
 
-    Successive shortest paths with Dijkstra's algorithm on reduced costs; the k-th pass over a pattern costs k.
+    Successive shortest paths with Dijkstra's algorithm on reduced costs; the k-th pass over a pattern's capacity costs k.
+    cells: the most that may go from a pattern to a source, by (pattern, source); by default ``passes`` times the capacity,
+    for each source and in all.
     """
     patterns, sources = list(capacity), list(quotas)
     start, end = 0, 1 + len(patterns) + len(sources)
@@ -70,11 +84,11 @@ def min_cost_flow(capacity: Mapping[tuple, int], quotas: Mapping, passes: int =
             to.append(y), room.append(m), cost.append(c)
 
     for i, p in enumerate(patterns):
-        for k in range(passes):
-            arc(start, 1 + i, capacity[p], k + 1)
-        for s in p:
-            if s in at:
-                arc(1 + i, at[s], passes * capacity[p], 0)
+        limits = {s: passes * capacity[p] if cells is None else cells.get((p, s), 0) for s in p if s in at}
+        for much, price in _passes(max(1, capacity[p]), passes * capacity[p] if cells is None else sum(limits.values())):
+            arc(start, 1 + i, much, price)
+        for s, limit in limits.items():
+            arc(1 + i, at[s], limit, 0)
     for s in sources:
         arc(at[s], end, round(quotas[s]), 0)
     potential = [0] * (end + 1)
@@ -117,73 +131,89 @@ def mix_sources(
     passes: int = 2,
     seed: int = 17,
     cut: bool = False,
-    max_patterns: int = 100_000,
+    max_patterns: int = 10_000,
     weights: Sequence[float] = (5, 2, 1),
     share: float = 1.5,
+    own: Column | None = None,
+    copies: Column | None = None,
 ) -> DataFrame:
     """docs with ``mix_size``, ``mix_taken`` (tokens, repeats counted), ``mix_copies`` (whole copies) and ``mix_pattern``.
 
     members: array of the sources that may claim a document (its elements may be null).
     order: columns that tell documents apart; with the seed they fix the selection, so reruns agree.
-    targets: tokens per source; by default ``weighted_targets`` of the sizes of documents by first member.
+    targets: tokens per source; by default ``weighted_targets`` of the sizes of documents by own source or first member.
     cut: the one document of a pattern that straddles its quota gives only the tokens still missing;
     else it is taken whole if at least half of it is wanted.
+    own: the one member that a document is counted for; others of its pattern hold copies of it.
+    copies: how many rows hold the same text; passes then repeat a pattern's distinct texts.
     A null or empty text has size 0 and takes nothing; a document of no source is never taken.
     Rows with equal ``order`` columns tie: where they straddle, all give the same share, or all are taken or none.
     Input columns with names beginning ``mix_`` are dropped.
     """
-    columns = {"mix_pattern": F.array_sort(F.array_distinct(members)), "mix_size": size.cast("long"), "mix_order": F.shiftrightunsigned(F.xxhash64(F.lit(seed), *order), 64 - ORDER_BITS)}
-    docs = docs.drop(*[c for c in docs.columns if c.lower().startswith("mix_")]).withColumns(columns)
-    keys = written(docs.select(*columns), "mix-keys")  # texts are read once for this, and once for the result
-    totals = keys.groupBy("mix_pattern").agg(F.sum("mix_size").alias("s"), F.count("*").alias("n")).limit(max_patterns + 1).collect()
+    spark = docs.sparkSession
+    columns = {"mix_pattern": F.array_sort(F.array_distinct(members)), "mix_own": F.array_sort(F.array_distinct(members)) if own is None else F.array(own), "mix_size": size.cast("long"), "mix_order": F.shiftrightunsigned(F.xxhash64(F.lit(seed), *order), 64 - ORDER_BITS)}
+    once = (F.lit(1.0) if copies is None else 1.0 / copies).alias("mix_once")
+    docs = docs.drop(*[c for c in docs.columns if c.lower().startswith("mix_")]).withColumns(columns | {"mix_once": once})
+    keys = kept(written(docs.select(*columns, "mix_once"), "mix-keys"))  # texts are read once for this, and once for the result
+    totals = keys.groupBy("mix_pattern", "mix_own").agg(F.sum("mix_size").alias("s"), F.sum(F.col("mix_size") * F.col("mix_once")).alias("d")).limit(max_patterns + 1).collect()
     if len(totals) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
-    capacity = {tuple(r[0]): r[1] for r in totals if r[0] is not None}
+    # a cell is the part of a pattern that serves the same sources: all its members, or the one that holds the row
+    held = {(tuple(r[0]), tuple(r[1])): r.s for r in totals if r[0] and r.s}
+    distinct: dict[tuple, float] = {}
+    sizes: dict = {}
+    for r in totals:
+        if r[0]:
+            distinct[tuple(r[0])] = distinct.get(tuple(r[0]), 0) + (r.d or 0)
+            sizes[r[1][0]] = sizes.get(r[1][0], 0) + (r.s or 0)
     if targets is None:
-        sizes: dict = {}
-        for p, s in capacity.items():
-            if p:
-                sizes[p[0]] = sizes.get(p[0], 0) + s
         targets = weighted_targets(sizes, weights, share, passes)
-    flow = min_cost_flow({p: s for p, s in capacity.items() if s}, targets, passes)
-    plan = {p: divmod(sum(flow[p].values()), s) for p, s in capacity.items() if p and s}
-    ends = _straddling(keys, {p: rest for p, (_, rest) in plan.items() if rest})
-    rows = [(list(p), whole, *ends.get(p, (-1, 0, 1))) for p, (whole, _) in plan.items()]
-    element = docs.schema["mix_pattern"].dataType.simpleString()
-    # a row for each pattern, of which there are at most max_patterns
-    plan = docs.sparkSession.createDataFrame(rows, f"mix_p {element}, mix_whole long, mix_at long, mix_need long, mix_tied long")
-    docs = docs.join(F.broadcast(plan), docs.mix_pattern.eqNullSafe(plan.mix_p), "left")
+    if own is None:
+        flow = min_cost_flow({p: s for (p, _), s in held.items()}, targets, passes)
+        wanted = {(p, o): sum(flow[p].values()) for p, o in held}
+    else:
+        cells = {(p, o[0]): passes * s for (p, o), s in held.items()}
+        flow = min_cost_flow({p: round(d) for p, d in distinct.items() if any(p == q for q, _ in held)}, targets, passes, cells)
+        wanted = {(p, o): flow[p].get(o[0], 0) for p, o in held}
+    plan = {c: divmod(wanted[c], s) for c, s in held.items()}
+    ends = _straddling(keys, {c: rest for c, (_, rest) in plan.items() if rest})
+    rows = [(list(p), list(o), whole, *ends.get((p, o), (-1, 0, 1))) for (p, o), (whole, _) in plan.items()]
+    element = keys.schema["mix_pattern"].dataType.simpleString()
+    # a row for each cell, of which there are at most max_patterns
+    plan = spark.createDataFrame(rows, f"mix_p {element}, mix_o {element}, mix_whole long, mix_at long, mix_need long, mix_tied long")
+    docs = docs.join(F.broadcast(plan), docs.mix_pattern.eqNullSafe(plan.mix_p) & docs.mix_own.eqNullSafe(plan.mix_o), "left")
     last = F.expr("cast(cast(mix_size as decimal(38,0)) * mix_need div mix_tied as long)") if cut else F.when(2 * F.col("mix_need") >= F.col("mix_tied"), F.col("mix_size")).otherwise(0)
     more = F.when(F.col("mix_order") < F.col("mix_at"), F.col("mix_size")).when(F.col("mix_order") == F.col("mix_at"), last).otherwise(0)
     docs = docs.withColumn("mix_taken", F.coalesce(F.col("mix_whole") * F.col("mix_size") + more, F.lit(0)).cast("long"))
     docs = docs.withColumn("mix_copies", F.when(F.col("mix_size") > 0, F.ceil(F.col("mix_taken") / F.col("mix_size"))).otherwise(0).cast("int"))
-    return docs.drop("mix_order", "mix_p", "mix_whole", "mix_at", "mix_need", "mix_tied")
+    return docs.drop("mix_order", "mix_own", "mix_once", "mix_p", "mix_o", "mix_whole", "mix_at", "mix_need", "mix_tied")
 
 
 def _straddling(keys: DataFrame, rest: Mapping[tuple, int], parts: int = 1024) -> dict[tuple, tuple[int, int, int]]:
-    """Where each pattern's seeded order reaches ``rest`` tokens: (mix_order there, tokens still missing, tokens of that order).
+    """Where the seeded order of each cell (pattern, own) reaches ``rest`` tokens: (mix_order there, tokens still missing, tokens of that order).
 
-    A search by ``parts`` intervals of the order at a time, all patterns at once: a round adds sizes up by
-    pattern and interval, combined map-side, and brings back the one interval of each pattern that straddles.
+    A search by ``parts`` intervals of the order at a time, all cells at once: a round adds sizes up by
+    cell and interval, combined map-side, and brings back the one interval of each cell that straddles.
     No row is moved, and no window holds more than ``parts`` rows.
     """
     spark, element = keys.sparkSession, keys.schema["mix_pattern"].dataType.simpleString()
     out: dict[tuple, tuple[int, int, int]] = {}
-    open_ = {p: (0, (1 << ORDER_BITS) - 1, much) for p, much in rest.items()}
+    open_ = {c: (0, (1 << ORDER_BITS) - 1, much) for c, much in rest.items()}
     while open_:
-        rows = [(list(p), a, b, -(-(b - a + 1) // parts), much) for p, (a, b, much) in open_.items()]
-        now = spark.createDataFrame(rows, f"_p {element}, _a long, _b long, _width long, _much long")
-        sums = keys.join(F.broadcast(now), keys.mix_pattern.eqNullSafe(now._p)).where("mix_order between _a and _b")
-        sums = sums.groupBy("_p", "_much", F.expr("(mix_order - _a) div _width").alias("part")).agg(F.sum("mix_size").alias("s"), F.min("mix_order").alias("a"), F.max("mix_order").alias("b"))
-        upto = Window.partitionBy("_p").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+        cells = list(open_)
+        rows = [(k, list(p), list(o), a, b, -(-(b - a + 1) // parts), much) for k, (p, o) in enumerate(cells) for a, b, much in [open_[p, o]]]
+        now = spark.createDataFrame(rows, f"_k int, _p {element}, _o {element}, _a long, _b long, _width long, _much long")
+        sums = keys.join(F.broadcast(now), keys.mix_pattern.eqNullSafe(now._p) & keys.mix_own.eqNullSafe(now._o)).where("mix_order between _a and _b")
+        sums = sums.groupBy("_k", "_much", F.expr("(mix_order - _a) div _width").alias("part")).agg(F.sum("mix_size").alias("s"), F.min("mix_order").alias("a"), F.max("mix_order").alias("b"))
+        upto = Window.partitionBy("_k").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
         found = sums.withColumn("upto", F.sum("s").over(upto)).where("upto > _much and upto - s <= _much").collect()
         open_ = {}
         for r in found:
             missing = r._much - (r.upto - r.s)
             if r.a == r.b:
-                out[tuple(r._p)] = (r.a, missing, r.s)
+                out[cells[r._k]] = (r.a, missing, r.s)
             else:
-                open_[tuple(r._p)] = (r.a, r.b, missing)
+                open_[cells[r._k]] = (r.a, r.b, missing)
     return out
 
 
@@ -192,13 +222,27 @@ def repeated(mixed: DataFrame) -> DataFrame:
     return mixed.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).drop("mix_copy", "mix_copies", "mix_taken", "mix_size", "mix_pattern")
 
 
-def op1(spark, sf_dir):
-    from .common import table
+def holders(rows: DataFrame, text: str, source: str) -> DataFrame:
+    """rows with ``mix_members``, the sources that hold the same text (a column of hashes), and ``mix_rows``, how many rows do.
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    docs = written(docs, "mix-sizes")
+    Only hashes and sources are shuffled, and copies are added up by source before.  Both sides of the join are tables, so
+    that adaptive execution can split the rows of a frequent text.
+    """
+    groups = rows.groupBy(F.col(text).alias("mix_t"), F.col(source).alias("mix_s")).agg(F.count("*").alias("mix_n")).groupBy("mix_t")
+    groups = groups.agg(F.sum("mix_n").alias("mix_rows"), F.collect_set(F.struct("mix_s")).alias("mix_members")).where("mix_rows > 1")
+    groups = small(written(groups.withColumn("mix_members", F.transform("mix_members", lambda x: x["mix_s"])), "mix-holders"), 200)
+    out = rows.join(groups, F.col(text) == F.col("mix_t"), "left").drop("mix_t")
+    return out.withColumns({"mix_members": F.coalesce("mix_members", F.array(source)), "mix_rows": F.coalesce("mix_rows", F.lit(1))})
+
+
+def op1(spark, sf_dir):
+    """All ``documents``; sources overlap where they hold equal texts, and a row counts for the source that holds it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("same"))
+    with workspace(spark):
+        docs = written(docs, "mix-sizes")
+        docs = kept(written(holders(docs, "same", "source").select("doc_id", "source", "size", F.col("mix_members").alias("members"), F.col("mix_rows").alias("copies")), "mix-overlap"))
     sizes = {r[0]: r[1] for r in docs.groupBy("source").agg(F.sum("size")).collect()}
     targets = weighted_targets(sizes)
-    mixed = mix_sources(docs, F.array("source"), F.col("size"), [F.col("doc_id")], targets, cut=True)
+    mixed = mix_sources(docs, F.col("members"), F.col("size"), [F.col("doc_id")], targets, cut=True, own=F.col("source"), copies=F.col("copies"))
     known = spark.createDataFrame([(s, int(sizes[s]), float(targets[s])) for s in sizes], "s string, source_size long, target double")
-    return mixed.join(F.broadcast(known), mixed.source.eqNullSafe(known.s)).select("doc_id", "source", "size", "source_size", "target", F.col("mix_taken").alias("taken"))
+    return mixed.join(small(known, 1000), mixed.source.eqNullSafe(known.s)).select("doc_id", "source", "size", "source_size", "target", F.col("mix_taken").alias("taken"))
