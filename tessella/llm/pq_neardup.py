@@ -1,12 +1,13 @@
 """Embedding near-duplicates by product quantisation.
 
-A bounded sample trains a coarse quantiser and codebooks for the residuals.  Every vector
-is then coded; equal vectors of a label are one class first.  Each (label, cell) is an
-inverted list, cut into blocks of about ``block`` members, so that a hot list is several
-tasks.  A vector visits the blocks of its own cell and of every cell whose centroid scores
-within ``margin`` of its best one.  Inside a block, asymmetric distances come from lookup
-tables.  A pair is pruned only if its table distance exceeds the link distance by more than
-the coding error of the member, which is stored: the tables themselves lose no link.
+A sample trains a coarse quantiser, of about the square root of the number of rows in cells,
+and codebooks for the residuals.  Every vector is coded once; equal vectors of a label are
+one class first.  Each (label, cell) is an inverted list of codes, cut into blocks of about
+``block`` members.  A vector is a query to the lists of its own cell and of every cell whose
+centroid scores within ``margin`` of its best one; queries come in blocks too, and a task has
+one block of members and one of queries, however long the list is.  Asymmetric distances come
+from lookup tables.  A pair is pruned only if its table distance exceeds the link distance by
+more than the coding error of the member, which is stored: the tables themselves lose no link.
 All others get the exact cosine in double precision.
 
 Each unordered pair of cells is looked at from one side, counts are added up by class, and
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, kept, table, workspace, written
 
 
 @dataclass(frozen=True)
@@ -32,7 +33,8 @@ class Settings:
     codes: int = 128
     margin: float = 0.22  #: in inner product with unit centroids
     block: int = 1024
-    sample: int = 16_384  #: rows to fit on, at most
+    sample: int = 16_384  #: rows to fit on, or eight for each cell if that is more
+    most_sample: int = 262_144  #: but never more than that
     iterations: int = 8
 
 
@@ -56,10 +58,15 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator, unit:
     return c
 
 
+def wanted_cells(rows: int) -> int:
+    """A power of two of about the square root."""
+    return 1 << int(np.log2(max(rows, 1)) / 2)
+
+
 def train(x: np.ndarray, rows: int, settings: Settings, seed: int = 0) -> Index:
     """x: sampled unit vectors; rows: how many are to be indexed, which sets the number of cells."""
     rng = np.random.default_rng(seed)
-    cells = int(max(1, min(512, len(x) // 8, 1 << int(np.log2(max(rows, 1)) / 2))))
+    cells = max(1, min(len(x) // 8, wanted_cells(rows)))
     centroids = _kmeans(x, cells, settings.iterations, rng, True)
     residual = x - centroids[np.argmax(x @ centroids.T, 1)]
     parts = np.array_split(np.arange(x.shape[1]), min(settings.subspaces, x.shape[1]))
@@ -104,21 +111,21 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def block_links(index: Index, cell: int, members: np.ndarray, visitors: np.ndarray, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of one block: numbers into members followed by visitors; each pair once."""
-    _, codes, error = encode(index, members) if len(members) else (None, np.zeros((0, len(index.books)), np.uint8), np.zeros(0))
-    # members of a block share its cell by construction; unit vectors at cosine t are sqrt(2 - 2 t) apart
+def block_links(index: Index, cell: int, members: np.ndarray, codes: np.ndarray, error: np.ndarray, queries: np.ndarray | None, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(query, member) numbers of the linked pairs of one block of a cell; without queries its members are, each pair once."""
+    # unit vectors at cosine t are sqrt(2 - 2 t) apart
     reach = np.sqrt(2 - 2 * index.settings.threshold) + error + 1e-9
-    every, left, right = np.concatenate((members, visitors)), [], []
+    every, left, right = members if queries is None else queries, [], []
     for s in range(0, len(every), step):
-        queries = every[s : s + step]
-        near = table_distances(index, queries, cell, codes) <= reach
-        near &= (np.arange(s, s + len(queries))[:, None] > np.arange(len(members)))  # members among themselves: once
+        part = every[s : s + step]
+        near = table_distances(index, part, cell, codes) <= reach
+        if queries is None:
+            near &= np.arange(s, s + len(part))[:, None] > np.arange(len(members))
         if near.mean() > 0.03:
-            i, j = np.nonzero(near & (queries @ members.T >= index.settings.threshold))
+            i, j = np.nonzero(near & (part @ members.T >= index.settings.threshold))
         else:
             i, j = np.nonzero(near)
-            ok = np.einsum("ij,ij->i", queries[i], members[j]) >= index.settings.threshold
+            ok = np.einsum("ij,ij->i", part[i], members[j]) >= index.settings.threshold
             i, j = i[ok], j[ok]
         left.append(i + s)
         right.append(j)
@@ -134,31 +141,35 @@ def _unit(column: pa.Array) -> np.ndarray:
 def near_duplicates(vectors: DataFrame, settings: Settings = Settings(), seed: int = 7) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row (vec_id, embedding, label).
 
-    Rows whose vector or label is null, or whose vector is empty, zero or holds a null or a value that
+    vec_id must be a number.  Rows whose vector or label is null, or whose vector is empty, zero or holds a null or a value that
     isn't finite, link with nothing.  Vectors of different lengths don't link.  Equal vectors of a label
-    link with each other; a vec_id that occurs twice counts as two vectors.
+    link with each other; a vec_id that occurs twice counts as two vectors.  Other columns are ignored, and an
+    empty table gives an empty result.
     """
     spark = vectors.sparkSession
     e = F.col("embedding")
     fine = F.col("label").isNotNull() & e.isNotNull() & (F.size(e) > 0) & ~F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists(e, lambda v: v != 0)
-    vectors = vectors.select("vec_id", "embedding", "label", F.coalesce(fine, F.lit(False)).alias("fine"))
+    vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label", F.coalesce(fine, F.lit(False)).alias("fine"))
     vectors = vectors.withColumn("node", F.when(F.col("fine"), F.xxhash64("label", "embedding")))
-    classes = vectors.where("fine").groupBy("node").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    classes = written(classes.withColumn("dims", F.size("embedding")), "pq-classes")
-    edges = spark.createDataFrame([], "a long, b long")
-    counts = spark.createDataFrame([], "node long, links long")
-    for dims, rows in sorted((r[0], r[1]) for r in classes.groupBy("dims").count().collect()):
-        mine = classes.where(F.col("dims") == dims)
-        sample = mine.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(settings.sample).select("embedding").toArrow()["embedding"].combine_chunks()
-        found = written(_links(mine, train(_unit(sample), rows, settings), settings), "pq-links")
-        edges = edges.unionByName(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-        counts = counts.unionByName(found.groupBy("node").agg(F.sum("links").alias("links")))
-    roots = written(components(edges, "pq-cc").select(F.col("node").alias("x"), "root"), "pq-roots")
-    labelled = classes.select("node", "n", "least").join(roots, F.col("node") == F.col("x"), "left").withColumn("root", F.coalesce("root", "node"))
-    # tables on both sides of the join, so that adaptive execution can split the rows of a hot component
-    labelled = written(labelled.select("node", "n", "least", "root"), "pq-labelled")
-    ids = written(labelled.groupBy("root").agg(F.min("least").alias("component_id")), "pq-ids")
-    labelled = labelled.join(ids, "root").join(counts.select(F.col("node").alias("y"), "links"), F.col("node") == F.col("y"), "left")
+    with workspace(spark):
+        classes = vectors.where("fine").groupBy("node").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+        classes = written(classes.withColumn("dims", F.size("embedding")), "pq-classes")
+        edges = spark.createDataFrame([], "a long, b long")
+        counts = spark.createDataFrame([], "node long, links long")
+        for dims, rows in sorted((r[0], r[1]) for r in classes.groupBy("dims").count().collect()):
+            mine = classes.where(F.col("dims") == dims)
+            drawn = min(settings.most_sample, max(settings.sample, 8 * wanted_cells(rows)))
+            sample = mine.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(drawn).select("embedding").toArrow()["embedding"].combine_chunks()
+            found = written(_links(mine, train(_unit(sample), rows, settings), settings), "pq-links")
+            edges = edges.unionByName(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+            counts = counts.unionByName(found.groupBy("node").agg(F.sum("links").alias("links")))
+        roots = written(components(edges, "pq-cc").select(F.col("node").alias("x"), "root"), "pq-roots")
+        labelled = classes.select("node", "n", "least").join(roots, F.col("node") == F.col("x"), "left").withColumn("root", F.coalesce("root", "node"))
+        # tables on both sides of the join, so that adaptive execution can split the rows of a hot component
+        labelled = written(labelled.select("node", "n", "least", "root"), "pq-labelled")
+        ids = written(labelled.groupBy("root").agg(F.min("least").alias("component_id")), "pq-ids")
+        labelled = labelled.join(ids, "root").join(counts.select(F.col("node").alias("y"), "links"), F.col("node") == F.col("y"), "left")
+        labelled = kept(written(labelled.select("node", "n", "component_id", "links"), "pq-found"))
     out = vectors.select("vec_id", F.col("node").alias("z")).join(labelled, F.col("z") == F.col("node"), "left")
     out = out.select("vec_id", F.coalesce(F.col("n") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
@@ -172,23 +183,33 @@ def _links(classes: DataFrame, index: Index, settings: Settings) -> DataFrame:
     def assign(batches):
         index = shipped.value
         for batch in batches:
-            x = _unit(batch.column("embedding"))
-            score = x @ index.centroids.T
-            best = score.argmax(1)
-            visit = (score >= score.max(1, keepdims=True) - settings.margin) & (np.arange(score.shape[1]) > best[:, None])
-            i, j = np.nonzero(visit)
-            cells = pa.ListArray.from_arrays(pa.array(np.searchsorted(i, np.arange(len(x) + 1)), pa.int32()), pa.array(j, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), batch.column("label"), batch.column("embedding"), pa.array(best, pa.int32()), cells], names=["node", "n", "label", "embedding", "cell", "visits"])
+            for a in range(0, batch.num_rows, 1024):  # scores of a piece against all cells at once
+                piece = batch.slice(a, 1024)
+                x = _unit(piece.column("embedding"))
+                score = x @ index.centroids.T
+                best = score.argmax(1)
+                visit = (score >= score.max(1, keepdims=True) - settings.margin) & (np.arange(score.shape[1]) > best[:, None])
+                i, j = np.nonzero(visit)
+                cells = pa.ListArray.from_arrays(pa.array(np.searchsorted(i, np.arange(len(x) + 1)), pa.int32()), pa.array(j, pa.int32()))
+                _, codes, error = encode(index, x)
+                columns = [piece.column(c) for c in ("node", "n", "label", "embedding")] + [pa.array(best, pa.int32()), cells, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "label", "embedding", "cell", "visits", "codes", "error"])
 
     kind = classes.schema["embedding"].dataType.simpleString()
-    assigned = written(classes.select("node", "n", "label", "embedding").mapInArrow(assign, f"node long, n long, label {classes.schema['label'].dataType.simpleString()}, embedding {kind}, cell int, visits array<int>"), "pq-assigned")
-    sizes = assigned.groupBy("label", "cell").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks")).select(F.col("label").alias("l"), F.col("cell").alias("c"), "blocks")
-    sizes = written(sizes, "pq-sizes")
+    coded = written(classes.select("node", "n", "label", "embedding").mapInArrow(assign, f"node long, n long, label {classes.schema['label'].dataType.simpleString()}, embedding {kind}, cell int, visits array<int>, codes binary, error double"), "pq-coded")
+    in_blocks = lambda c: F.ceil(c / settings.block).cast("int")
+    members = coded.groupBy("label", F.col("cell").alias("c")).agg(in_blocks(F.count("*")).alias("blocks"))
+    queries = coded.select("label", F.explode("visits").alias("c")).groupBy("label", "c").agg(in_blocks(F.count("*")).alias("more"))
+    sizes = written(members.join(queries, ["label", "c"], "left").select(F.col("label").alias("l"), "c", "blocks", F.coalesce("more", F.lit(0)).alias("more")), "pq-sizes")
     at = (F.col("label") == F.col("l")) & (F.col("to") == F.col("c"))
-    own = assigned.withColumn("to", F.col("cell")).join(sizes, at).withColumn("own", F.pmod(F.col("node"), F.col("blocks")).cast("int"))
-    own = own.select("node", "n", "label", "embedding", "to", F.explode(F.sequence("own", F.col("blocks") - 1)).alias("block"), "own").withColumn("member", F.col("block") == F.col("own")).drop("own")
-    other = assigned.withColumn("to", F.explode("visits")).join(sizes, at)
-    other = other.select("node", "n", "label", "embedding", "to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("member"))
+    vector, code = ["node", "n", "label", "embedding"], ["codes", "error"]
+    none = [F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error")]
+    # a task is a pair (i, j): members of block i, and as queries themselves (j = i), a later block of the cell, or a block of visitors
+    own = coded.withColumn("to", F.col("cell")).join(sizes, at).withColumn("i", F.pmod("node", F.col("blocks")).cast("int"))
+    as_member = own.select(*vector, "to", "i", F.explode(F.sequence(F.col("i"), F.col("blocks") + F.col("more") - 1)).alias("j"), F.lit(True).alias("member"), *code)
+    as_query = own.where("i > 0").select(*vector, "to", F.explode(F.sequence(F.lit(0), F.col("i") - 1)).alias("b"), F.col("i").alias("j"), F.lit(False).alias("member"), *none).withColumnRenamed("b", "i")
+    visitor = coded.withColumn("to", F.explode("visits")).join(sizes, at).withColumn("j", F.col("blocks") + F.pmod(F.xxhash64("node"), F.col("more")).cast("int"))
+    visitor = visitor.select(*vector, "to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), "j", F.lit(False).alias("member"), *none)
 
     def run(table: pa.Table) -> pa.Table:
         index = shipped.value
@@ -196,17 +217,19 @@ def _links(classes: DataFrame, index: Index, settings: Settings) -> DataFrame:
         table = table.take(pa.array(order))
         x, n, node = _unit(table["embedding"].combine_chunks()), table["n"].to_numpy(), table["node"].to_numpy()
         m = int(table["member"].to_numpy().sum())
-        a, b = block_links(index, table["to"][0].as_py(), x[:m], x[m:])
+        codes = np.frombuffer(b"".join(table["codes"][:m].to_pylist()), np.uint8).reshape(m, -1) if m else np.zeros((0, len(index.books)), np.uint8)
+        alone = table["i"][0].as_py() == table["j"][0].as_py()
+        a, b = block_links(index, table["to"][0].as_py(), x[:m], codes, table["error"][:m].to_numpy(), None if alone else x[m:])
+        a = a if alone else a + m
         links = np.bincount(a, n[b], len(x)) + np.bincount(b, n[a], len(x))
         root, live = forest(len(x), a, b), np.flatnonzero(links)
         return pa.table({"node": node[live], "links": links[live].astype(np.int64), "root": node[root[live]]})
 
-    return own.unionByName(other).groupBy("label", "to", "block").applyInArrow(run, "node long, links long, root long")
+    return as_member.unionByName(as_query).unionByName(visitor).groupBy("label", "to", "i", "j").applyInArrow(run, "node long, links long, root long")
 
 
 def op10(spark, sf_dir):
-    from .common import table
-
+    """All rows of ``embeddings``, equal labels only, cosine of 0.93 or more."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
