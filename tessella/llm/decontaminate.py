@@ -39,7 +39,10 @@ def word_count(text: Column) -> Column:
     return (F.size(F.split(F.coalesce(text, F.lit("")), WORD, -1)) - 1).cast("long")
 
 
-def _small(df: DataFrame, rows: int, row_bytes: int, broadcast_bytes: int) -> DataFrame:
+ROW = 96  #: bytes of a row of up to six numbers in a broadcast hash table, keys and free places included
+
+
+def _small(df: DataFrame, rows: int, broadcast_bytes: int, row_bytes: int = ROW) -> DataFrame:
     """Broadcast while the counted rows prove it small."""
     return F.broadcast(df) if rows * row_bytes <= broadcast_bytes else df
 
@@ -66,15 +69,16 @@ def build_index(tokens: DataFrame, terms: DataFrame | None = None, broadcast_byt
     postings = tokens.select("doc", F.posexplode("words").alias("pos", "word"))
     if terms is not None:
         known = terms.select(F.col("word").alias("w")).distinct()
-        postings = postings.join(_small(known, known.count(), 100, broadcast_bytes), F.col("word") == F.col("w"), "left_semi")
+        rows, size = known.agg(F.count("*"), F.sum(F.octet_length("w"))).first()
+        postings = postings.join(_small(known, 1, broadcast_bytes, rows * ROW + (size or 0)), F.col("word") == F.col("w"), "left_semi")
     return written(postings.select("doc", F.xxhash64("word").alias("term"), "pos"), "postings")
 
 
-def _ranked(phrases: DataFrame, index: DataFrame) -> tuple[DataFrame, int]:
+def _ranked(phrases: DataFrame, index: DataFrame, broadcast_bytes: int) -> tuple[DataFrame, int]:
     """(window, len, rank, term, offset): the terms of each phrase from the rarest on; phrases with an absent term can't occur and go."""
     parts = phrases.select("window", "len", F.posexplode("phrase").alias("offset", "word")).select("window", "len", "offset", F.xxhash64("word").alias("term"))
-    counts = index.groupBy("term").agg(F.count("*").alias("n"))
-    parts = parts.join(counts, "term", "left")
+    counts = written(index.groupBy("term").agg(F.count("*").alias("n")), "term-counts")
+    parts = parts.join(_small(counts, counts.count(), broadcast_bytes), "term", "left")
     rarest = Window.partitionBy("window").orderBy(F.coalesce("n", F.lit(0)), "term", "offset")
     parts = parts.withColumns({"rank": F.row_number().over(rarest), "least": F.min(F.coalesce("n", F.lit(0))).over(Window.partitionBy("window"))})
     parts = written(parts.where("least > 0").select("window", "len", "rank", "term", "offset"), "phrase-terms")
@@ -87,33 +91,33 @@ def phrase_matches(index: DataFrame, phrases: DataFrame, broadcast_bytes: int =
     The two rarest terms are intersected first, one after the other; what is left is checked against
     all other terms at once by counting the offsets that agree.
     """
-    parts, n = _ranked(phrases, index)
+    parts, n = _ranked(phrases, index, broadcast_bytes)
     if not n:
         return index.sparkSession.createDataFrame([], "doc long, window long, start int, len int")
 
     def part(rank: int) -> DataFrame:
         return parts.where(F.col("rank") == rank)
 
-    first = _small(part(1).select("window", "len", F.col("term").alias("t"), "offset"), n, 64, broadcast_bytes)
+    first = _small(part(1).select("window", "len", F.col("term").alias("t"), "offset"), n, broadcast_bytes)
     found = index.join(first, F.col("term") == F.col("t")).select("doc", "window", F.col("len").alias("len"), (F.col("pos") - F.col("offset")).alias("start")).where("start >= 0").distinct()
     def postings_of(candidates: DataFrame, terms: DataFrame | None) -> DataFrame:
         """The postings (d, t2, p) that candidates may ask for: of their terms, in their documents."""
         lists = index
         if terms is not None:
-            lists = lists.join(_small(terms, n, 16, broadcast_bytes), F.col("term") == F.col("x"), "left_semi")
+            lists = lists.join(_small(terms, n, broadcast_bytes), F.col("term") == F.col("x"), "left_semi")
         docs = candidates.select(F.col("doc").alias("d")).distinct()
-        lists = lists.join(_small(docs, docs.count(), 16, broadcast_bytes), F.col("doc") == F.col("d"), "left_semi")
+        lists = lists.join(_small(docs, docs.count(), broadcast_bytes), F.col("doc") == F.col("d"), "left_semi")
         return lists.select(F.col("doc").alias("d"), F.col("term").alias("t2"), F.col("pos").alias("p"))
 
     for rank in (2, 3):
         # candidates that have such a term need its posting at the adjusted position; shorter phrases pass
-        want = written(found.join(_small(part(rank).select(F.col("window").alias("w"), F.col("term").alias("t"), "offset"), n, 64, broadcast_bytes), F.col("window") == F.col("w"), "left").drop("w"), f"candidates-{rank}")
+        want = written(found.join(_small(part(rank).select(F.col("window").alias("w"), F.col("term").alias("t"), "offset"), n, broadcast_bytes), F.col("window") == F.col("w"), "left").drop("w"), f"candidates-{rank}")
         lists = postings_of(want, part(rank).select(F.col("term").alias("x")).distinct())
         must = want.where("t is not null")
         kept = must.join(lists, (F.col("doc") == F.col("d")) & (F.col("t") == F.col("t2")) & (F.col("start") + F.col("offset") == F.col("p")), "left_semi")
         found = kept.select("doc", "window", "len", "start").unionByName(want.where("t is null").select("doc", "window", "len", "start"))
     found = written(found, "candidates")
-    rest = _small(parts.where("rank > 3").select(F.col("window").alias("w"), F.col("term").alias("t"), "offset"), n, 64, broadcast_bytes)
+    rest = _small(parts.where("rank > 3").select(F.col("window").alias("w"), F.col("term").alias("t"), "offset"), n, broadcast_bytes)
     wanted = found.where("len > 3").join(rest, F.col("window") == F.col("w")).select("doc", "window", "len", "start", "t", (F.col("start") + F.col("offset")).alias("at"))
     lists = postings_of(found, parts.where("rank > 3").select(F.col("term").alias("x")).distinct())
     agreed = wanted.join(lists, (F.col("doc") == F.col("d")) & (F.col("at") == F.col("p")) & (F.col("t") == F.col("t2")), "left_semi")
@@ -126,12 +130,12 @@ def proximity_matches(index: DataFrame, phrases: DataFrame, slack: int = 5, broa
 
     Terms may come in any order; a term that the phrase holds twice must be there once.
     """
-    parts, n = _ranked(phrases, index)
-    first = _small(parts.where("rank = 1").select("window", "len", F.col("term").alias("t")), n, 64, broadcast_bytes)
+    parts, n = _ranked(phrases, index, broadcast_bytes)
+    first = _small(parts.where("rank = 1").select("window", "len", F.col("term").alias("t")), n, broadcast_bytes)
     anchors = index.join(first, F.col("term") == F.col("t")).select("doc", "window", "len", F.col("pos").alias("anchor")).distinct()
     others = parts.select(F.col("window").alias("w"), F.col("term").alias("t")).distinct()
     sizes = others.groupBy("w").agg(F.count("*").alias("terms"))
-    wanted = anchors.join(_small(others.join(sizes, "w"), n, 64, broadcast_bytes), F.col("window") == F.col("w"))
+    wanted = anchors.join(_small(others.join(sizes, "w"), n, broadcast_bytes), F.col("window") == F.col("w"))
     near = wanted.join(index.select(F.col("doc").alias("d"), F.col("term").alias("t2"), "pos"), (F.col("doc") == F.col("d")) & (F.col("t") == F.col("t2")) & (F.abs(F.col("pos") - F.col("anchor")) < F.col("len") + slack))
     got = near.groupBy("doc", "window", "anchor", "terms").agg(F.countDistinct("t").alias("n"))
     return got.where("n = terms").select("doc", "window", "anchor")
@@ -170,7 +174,7 @@ def clean(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
         index = build_index(tokenised(docs), phrases.select(F.explode("phrase").alias("word")))
         hits = kept(written(phrase_matches(index, phrases).select(F.col("doc").alias(name)).distinct(), "contaminated"))
     key = F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit("")), F.col("text").isNull())
-    return docs.join(_small(hits, hits.count(), 16, 64 << 20), key == F.col(name), "left_anti")
+    return docs.join(_small(hits, hits.count(), 64 << 20), key == F.col(name), "left_anti")
 
 
 def op4(spark, sf_dir):
