@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from .common import fold, private, ship, table, workspace, written
+from .common import kept as kept_table
 from .kernel import BYTE_CODE, FOLDED_CODE, NON_SPACE, owners, prefix_hash, slices, span_hash, string_buffer, words
 
 _KINDS = {
@@ -70,17 +72,19 @@ def statistics(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def document_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The kept columns and ``stats`` (array of doubles) of each whole text; null counts as empty."""
+    ship(docs.sparkSession)
     schema = docs.select(*keep).schema.add("stats", ArrayType(DoubleType()))
+    (hidden,) = private(docs, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offsets = string_buffer(batch.column("_text"))
+            buf, offsets = string_buffer(batch.column(hidden))
             parts = [statistics(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in slices(offsets)]
             flat = np.concatenate(parts).ravel() if parts else np.zeros(0)
             arrays = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * len(STATS), pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), arrays], names=[*keep, "stats"])
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias(hidden)).mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)
@@ -187,7 +191,8 @@ def score(stats: DataFrame, model: Model | None, keep: list[str], name: str = "s
 
 
 def kept(docs: DataFrame, model: Model | None, least: float = 0.3, text: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they are, whose text scores ``least`` or more: one narrow pass."""
+    """The rows of docs, all columns as they are, whose text scores ``least`` or more: one narrow pass; null texts count as empty."""
+    ship(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -206,12 +211,16 @@ def training_rows(stats: DataFrame, labels: DataFrame, label: str = "quality") -
     return stats.where("doc_id is not null").select("doc_id", "stats").join(known, "doc_id")
 
 
+def learned(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model | None:
+    """The model of all documents with a label: statistics are taken first, and only they are shuffled."""
+    with workspace(docs.sparkSession):
+        return fit(written(training_rows(document_statistics(docs, ["doc_id"]), labels, label), "quality-rows"))
+
+
 def op7(spark, sf_dir):
-    from .common import fold, table, written
-
-    docs = table(spark, sf_dir, "documents")
-    stats = written(document_statistics(docs, ["doc_id"]), "quality-stats")
-    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0)
-    model = fit(written(training_rows(stats, labels), "quality-rows"))
-    scored = score(stats, model, ["doc_id"])
-    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    """Quality of every whole text of ``documents``, learned from labels outside the held-out fifth."""
+    docs, held = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
+    with workspace(spark):
+        stats = kept_table(written(document_statistics(docs, ["doc_id"]), "quality-stats"))
+        model = fit(written(training_rows(stats, table(spark, sf_dir, "labels").where(~held)), "quality-rows"))
+    return score(stats, model, ["doc_id"]).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
