@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 
 from test_ops import WORDS, corpus, docs, groups, shingles  # noqa: F401
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tessella.llm import mixing
 
@@ -13,8 +15,12 @@ def words10(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
 
 
+CLASHES = ("_d", "_kept", "_hit", "_size", "_r", "_h", "_text", "mix_size", "mix_p", "r", "root", "doc", "d")
+
+
 def test_stages_and_run(spark, docs, tmp_path):  # noqa: F811
     at = str(tmp_path)
+    docs = docs.withColumns({c: F.lit(k) for k, c in enumerate(CLASHES)})  # noqa: F811
     docs.write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame([(i, int(i not in (245, 246)), 0) for i in range(0, 249)] + [(None, 1, 1), (1, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
     item = " ".join(WORDS[5:30])
@@ -65,3 +71,18 @@ def test_stages_and_run(spark, docs, tmp_path):  # noqa: F811
 
     again = Counter(tuple(r)[:-2] for r in corpus_pipeline.run(spark, at).collect())
     assert again == Counter(mixed)
+
+
+def test_stages_of_empty_tables(spark, docs, tmp_path):  # noqa: F811
+    at = str(tmp_path)
+    none = docs.where("false")
+    none.write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, at).count() == 0
+    few = docs.where("doc_id in (0, 5, 200, 240, 241)")
+    assert corpus_pipeline.quality_stage(spark, few, at).count() == 5  # nothing to learn from: all stay
+    assert {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, few, at).collect()} == {0, 5, 240, 241}
+    assert corpus_pipeline.decontamination_stage(spark, few, at).count() == 5
+    assert corpus_pipeline.run(spark, at).count() == 0
