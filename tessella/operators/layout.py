@@ -33,7 +33,8 @@ def reorder_two_columns(blocks: DataFrame, keys: Sequence[str] = ("doc", "page")
 
 
 def find_captions(blocks: DataFrame, keys: Sequence[str] = ("doc", "page")) -> DataFrame:
-    """(*keys, block_no, x0, y0, x1, y1, text, kind, ordinal) of caption blocks; in a page they go by y0, block_no."""
+    """(*keys, block_no, x0, y0, x1, y1, text, kind, ordinal, caption_no) of caption blocks; caption_no counts a page's from 0 by y0, block_no."""
     s = strip(F.coalesce(F.col("text"), F.lit("")))
     found = blocks.where(s.rlike(CAPTION))
-    return found.select(*keys, "block_no", "x0", "y0", "x1", "y1", s.alias("text"), F.lower(F.regexp_extract(s, CAPTION, 1)).alias("kind"), F.regexp_extract(s, CAPTION, 2).cast("int").alias("ordinal"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("y0", "block_no")) - 1
+    return found.select(*keys, "block_no", "x0", "y0", "x1", "y1", s.alias("text"), F.lower(F.regexp_extract(s, CAPTION, 1)).alias("kind"), F.regexp_extract(s, CAPTION, 2).cast("int").alias("ordinal"), number.cast("int").alias("caption_no"))

@@ -124,7 +124,7 @@ def column_reorder(spark, sf_dir):
 
 def find_captions(spark, sf_dir):
     rows = _noisy_lines(spark, sf_dir).select(F.col("doc_id").alias("doc"), F.lit(0).alias("page"), F.col("line_no").alias("block_no"), *[F.lit(0.0).alias(c) for c in ("x0", "x1", "y1")], F.col("line_no").cast("double").alias("y0"), F.col("line").alias("text"))
-    return layout.find_captions(rows).select("doc", "block_no", F.col("text").alias("caption"), "kind", "ordinal")
+    return layout.find_captions(rows).select("doc", "block_no", F.col("text").alias("caption"), "kind", "ordinal", "caption_no")
 
 
 def _records(spark, sf_dir):
@@ -333,7 +333,7 @@ def oracle_sql() -> dict[str, str]:
         "doc_narrative": f"SELECT doc_id, string_agg(t, chr(10) ORDER BY page) AS text FROM (SELECT doc_id, page, {_clean('text')} AS t FROM ({_NARRATIVE})) WHERE t <> '' GROUP BY doc_id",
         "token_counts": f"SELECT 'documents' AS origin, doc_id AS id, CAST(0 AS BIGINT) AS part, {_tokens('text')} AS tokens FROM documents UNION ALL SELECT 'conversations', conv_id, turn, {_tokens('text')} FROM conversations",
         "column_reorder": f"SELECT doc, block_no, CAST(row_number() OVER (PARTITION BY doc ORDER BY {side}, floor(y0 * 10 + CAST(0.5 AS DOUBLE)), floor(x0 * 10 + CAST(0.5 AS DOUBLE)), block_no) - 1 AS INTEGER) AS reading_no FROM (SELECT *, list_sort(list(c) OVER (PARTITION BY doc)) AS a FROM ({blocks}))",
-        "find_captions": f"SELECT doc_id AS doc, line_no AS block_no, s AS caption, lower(regexp_extract(s, {_q(_CAPTION)}, 1)) AS kind, CAST(regexp_extract(s, {_q(_CAPTION)}, 2) AS INTEGER) AS ordinal FROM (SELECT doc_id, line_no, {_strip('line')} AS s FROM ({_lines(_NOISY)})) WHERE regexp_matches(s, {_q(_CAPTION)})",
+        "find_captions": f"SELECT doc_id AS doc, line_no AS block_no, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS INTEGER) AS caption_no, s AS caption, lower(regexp_extract(s, {_q(_CAPTION)}, 1)) AS kind, CAST(regexp_extract(s, {_q(_CAPTION)}, 2) AS INTEGER) AS ordinal FROM (SELECT doc_id, line_no, {_strip('line')} AS s FROM ({_lines(_NOISY)})) WHERE regexp_matches(s, {_q(_CAPTION)})",
         "phrases_normalised": f"SELECT riskid, s AS text_phrases, {_tokens('s')} AS tokens_phrases FROM ({_phrases('p')})",
         "phrases_mwe": f"SELECT riskid, s AS text_phrases, s AS text_mwe, {_tokens('s')} AS tokens_mwe FROM ({_phrases(mwe)})",
         "fields_used": f"SELECT r.riskid, coalesce(t.s, '') AS used FROM ({_RECORDS}) r LEFT JOIN (SELECT k, string_agg(name, ',' ORDER BY f, i, j, v) AS s FROM ({_FOUND}) GROUP BY k) t ON r.k = t.k",
