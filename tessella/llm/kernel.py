@@ -147,3 +147,13 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, size: int = 5, table: np.
 def owners(first: np.ndarray) -> np.ndarray:
     """For items laid out by ``first``, the document number of each."""
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+
+def planes(x: np.ndarray) -> bytes:
+    """The bytes of an array, first those that are the lowest of each value, and so on: bytes that hardly vary stand together and pack well."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T).tobytes()
+
+
+def from_planes(data: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()

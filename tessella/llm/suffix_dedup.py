@@ -7,8 +7,9 @@ wherever they are in the corpus:
 1. each document sends two keys for each minimiser, the gram with half of what surrounds it on
    the left and on the right: equal strings agree on one of them.  Lists answer with the keys
    that another document holds too; copies of a key in one batch are sent once;
-2. only around these, documents send contexts: the bytes of those strings of a minimiser that a
-   shared key covers.  Equal contexts of some megabytes of text are sent once;
+2. only around these, documents send contexts: where those strings of a minimiser are that a
+   shared key covers, with a hash of their bytes.  Where all contexts of a minimiser are equal,
+   the least document is known.  Of the others, one document for each sends the bytes;
 3. a task builds the suffix array and the Burrows-Wheeler transform of its distinct
    contexts and splits suffix intervals by backward extension, one more byte for each
    round.  The round in which a boundary appears is the length of the common prefix of
@@ -34,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, kept, partitions, workspace, written
+from .common import discard, kept, partitions, ship, table, workspace, written
 from .jaccard_join import _dealt, _gathered
-from .kernel import BYTE_CODE, U64, mix, pieces, powers, prefix_hash, span_hash, string_buffer
+from .kernel import BYTE_CODE, U64, mix, pieces, planes, powers, prefix_hash, slices, span_hash, string_buffer
 
 GRAM = 20
 LAST = (1 << 63) - 1  #: where a null doc_id stands in the order
@@ -57,11 +58,12 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
 def minimiser_runs(buf: np.ndarray, offsets: np.ndarray, length: int, frequent: np.ndarray | None = None, gram: int = GRAM) -> dict[str, np.ndarray]:
     """Runs of starts that share a minimiser: ``of`` (document), ``first`` and ``last`` start, ``place`` and ``hash``
     of the gram, and ``left`` and ``right``, the hashes of the gram with half of the rest on that side, where a start
-    of the run has that much (``has_left``, ``has_right``): those from ``place - half`` back, and the others."""
+    of the run has that much (``has_left``, ``has_right``): those from ``place - half`` back, and the others; and the
+    ``prefix`` hashes of buf."""
     window, half, n = length - gram + 1, (length - gram) // 2, len(buf) - length + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return {k: none for k in ("of", "first", "last", "place")} | {k: none.astype(U64) for k in ("hash", "left", "right")} | {k: none.astype(bool) for k in ("has_left", "has_right")}
+        return {k: none for k in ("of", "first", "last", "place")} | {k: none.astype(U64) for k in ("hash", "left", "right")} | {k: none.astype(bool) for k in ("has_left", "has_right")} | {"prefix": prefix_hash(buf, BYTE_CODE)}
     prefix = prefix_hash(buf, BYTE_CODE)
     hashes = _gram_hashes(buf, prefix, gram)
     order = hashes >> U64(1)
@@ -92,7 +94,7 @@ def minimiser_runs(buf: np.ndarray, offsets: np.ndarray, length: int, frequent:
     left[has_left] = mix(span_hash(prefix, at - half, at + gram) + U64(1))
     at = place[has_right]
     right[has_right] = mix(span_hash(prefix, at, at + gram + half) + U64(2))
-    return {"of": np.searchsorted(offsets, first, "right") - 1, "first": first, "last": last, "place": place, "hash": hashes[place], "left": left, "right": right, "has_left": has_left, "has_right": has_right}
+    return {"of": np.searchsorted(offsets, first, "right") - 1, "first": first, "last": last, "place": place, "hash": hashes[place], "left": left, "right": right, "has_left": has_left, "has_right": has_right, "prefix": prefix}
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -186,6 +188,10 @@ def frequent_grams(docs: DataFrame, rows: int, sample: int = 1000, share: float
     return table
 
 
+def _packed(arrays: list[np.ndarray]) -> pa.Array:
+    return pa.array([planes(x) for x in arrays], pa.binary())
+
+
 def _key_ids(hashes: np.ndarray, dests: int) -> np.ndarray:
     """The list that a key belongs to, and 32 bits that tell it from others there."""
     return (hashes >> U64(32)) | ((hashes % U64(dests)) << U64(32))
@@ -200,7 +206,7 @@ def _send(docs: DataFrame, length: int, dests: int, frequent) -> DataFrame:
             offsets = string_buffer(batch.column("text"))[1]
             a = 0
             while a < batch.num_rows:  # a chunk is some megabytes of text
-                b = min(batch.num_rows, a + MULTI, max(a + 1, int(np.searchsorted(offsets, offsets[a] + (1 << 25), "right")) - 1))
+                b = min(batch.num_rows, a + MULTI, max(a + 1, int(np.searchsorted(offsets, offsets[a] + (1 << 24), "right")) - 1))
                 piece, chunk = batch.slice(a, b - a), uuid.uuid4().int & ((1 << 62) - 1)
                 a = b
                 k, none = piece.num_rows, pa.nulls
@@ -222,7 +228,7 @@ def _send(docs: DataFrame, length: int, dests: int, frequent) -> DataFrame:
                 held = np.diff(np.append(first, len(ids)))
                 many = np.repeat(held > 1, held)
                 sent = _dealt((ids[first] >> U64(32)).astype(np.int64), {"keys": ids[first].astype(np.uint32), "ords": (ords[first] | np.where(held > 1, MULTI, 0)).astype(np.uint16)}, {"chunk": chunk})
-                here = pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([chunk], pa.int64()), pa.array([ids[many].tobytes()], pa.binary()), pa.array([ords[many].astype(np.uint16).tobytes()], pa.binary())], names=["dest", "chunk", "keys", "ords"])
+                here = pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([chunk], pa.int64()), _packed([ids[many]]), _packed([ords[many].astype(np.uint16)])], names=["dest", "chunk", "keys", "ords"])
                 for out in (sent, here):
                     m = out.num_rows
                     yield pa.RecordBatch.from_arrays([*(out.column(c) for c in ("dest", "chunk", "keys", "ords")), none(m, pa.int64()), none(m, pa.int32())], names=["dest", "chunk", "keys", "ords", "rid", "ord"])
@@ -266,12 +272,8 @@ def _document_keys(rows: DataFrame, answers: DataFrame) -> DataFrame:
     return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, "rid long, keys binary")
 
 
-def _packed(arrays: list[np.ndarray]) -> pa.Array:
-    return pa.array([x.tobytes() for x in arrays], pa.binary())
-
-
 def _contexts(texts: DataFrame, length: int, dests: int, spread: int, frequent) -> DataFrame:
-    """(dest, keys, sizes, data, ctx, rids, docs, starts, times): distinct contexts of some megabytes of texts (rid, doc, text, keys),
+    """(dest, keys, sizes, digests, ctx, rids, docs, starts, times): distinct contexts of some megabytes of texts (rid, doc, text, keys),
     and where they occur: ``times`` times in a row, each at the first start after the last of the one before."""
 
     def emit(found: list[dict], rid: np.ndarray, doc: np.ndarray):
@@ -279,8 +281,6 @@ def _contexts(texts: DataFrame, length: int, dests: int, spread: int, frequent)
         if not len(at["of"]):
             return
         size = at["count"] + length - 1
-        raw = np.concatenate([x["raw"] for x in found])
-        total = np.concatenate(([0], np.cumsum(size)))
         _, one, which = np.unique(at["digest"], return_index=True, return_inverse=True)
         # what follows itself in a document is one occurrence with a count
         new = np.ones(len(which), bool)
@@ -297,13 +297,12 @@ def _contexts(texts: DataFrame, length: int, dests: int, spread: int, frequent)
         order = np.argsort(ctx, kind="stable")
         ctx, head, times = ctx[order], head[order], times[order]
         among = np.searchsorted(ctx, cuts)
-        out = {k: [] for k in ("keys", "sizes", "data", "ctx", "rids", "docs", "starts", "times")}
+        out = {k: [] for k in ("keys", "sizes", "digests", "ctx", "rids", "docs", "starts", "times")}
         for a, b, c, d in zip(cuts[:-1], cuts[1:], among[:-1], among[1:], strict=True):
-            mine, span = one[by[a:b]], size[one[by[a:b]]]
-            ends = np.concatenate(([0], np.cumsum(span)))
-            out["keys"].append(at["key"][mine])
-            out["sizes"].append(span.astype(np.uint16))
-            out["data"].append(raw[np.repeat(total[mine] - ends[:-1], span) + np.arange(ends[-1])])
+            mine = one[by[a:b]]
+            out["keys"].append((at["key"][mine] >> U64(32)).astype(np.uint32))
+            out["sizes"].append(size[mine].astype(np.uint16))
+            out["digests"].append(at["digest"][mine])
             who = head[c:d]
             out["ctx"].append((ctx[c:d] - a).astype(np.uint32))
             out["rids"].append(rid[at["of"][who]])
@@ -333,19 +332,16 @@ def _contexts(texts: DataFrame, length: int, dests: int, spread: int, frequent)
                 if not len(live):
                     continue
                 of, first, last = of[live], first[live], last[live]
-                size = last - first + length
-                total = np.concatenate(([0], np.cumsum(size)))
-                raw = part[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
-                digest = span_hash(prefix_hash(raw, BYTE_CODE), total[:-1], total[1:])
-                found.append({"of": of + top, "first": first - at[of] + shift, "count": last - first + 1, "key": runs["hash"][live], "digest": digest, "raw": raw})
-                filled += total[-1]
-                if filled > 1 << 24:
+                digest = span_hash(runs["prefix"], first, last + length)
+                found.append({"of": of + top, "first": first - at[of] + shift, "count": last - first + 1, "key": runs["hash"][live], "digest": digest})
+                filled += len(live)
+                if filled > 1 << 18:
                     yield from emit(found, rid, doc)
                     found, filled = [], 0
             if found:
                 yield from emit(found, rid, doc)
 
-    return texts.mapInArrow(run, "dest int, keys binary, sizes binary, data binary, ctx binary, rids binary, docs binary, starts binary, times binary")
+    return texts.mapInArrow(run, "dest int, keys binary, sizes binary, digests binary, ctx binary, rids binary, docs binary, starts binary, times binary")
 
 
 def _bounded(values: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
@@ -397,26 +393,105 @@ def least_of_starts(data: np.ndarray, begin: np.ndarray, keys: np.ndarray, least
     return out
 
 
-def _removed(contexts: DataFrame, length: int, groups: int) -> DataFrame:
-    """(dest, rids, lows, highs): runs of starts whose string also starts in an earlier document."""
+_RESOLVED = "kind int, dest int, part int, " + ", ".join(f"c{k} binary" for k in range(8))
+_RUNS, _OPEN, _WANTED = range(3)  #: kinds of rows
+
+
+def _grouped(kind: int, dest: int, part: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Columns as rows of one kind, one for each value of part."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(part)])) if len(part) else np.zeros(1, np.int64)
+    m = len(cuts) - 1
+    packed = [_packed([c[order][a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]) for c in columns]
+    arrays = [pa.array([kind] * m, pa.int32()), pa.array([dest] * m, pa.int32()), pa.array(part[cuts[:-1]].astype(np.int32)), *packed, *[pa.nulls(m, pa.binary())] * (8 - len(columns))]
+    return pa.RecordBatch.from_arrays(arrays, names=["kind", "dest", "part", *(f"c{k}" for k in range(8))])
+
+
+def _part(rids: np.ndarray, groups: int) -> np.ndarray:
+    return (rids.view(U64) % U64(groups)).astype(np.int64)
+
+
+def _resolve(contexts: DataFrame, length: int, groups: int) -> DataFrame:
+    """What contexts say by their hashes: a minimiser whose contexts are all equal is done, and gives runs of starts (kind _RUNS).
+
+    Of the others, where they occur is kept (_OPEN), and one document is asked for the bytes of each (_WANTED).
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        keys, sizes, data = _gathered(table["keys"], U64), _gathered(table["sizes"], np.uint16).astype(np.int64), _gathered(table["data"], np.uint8)
-        held = np.array([len(x) // 8 for x in table["keys"].to_pylist()])
-        before = np.concatenate(([0], np.cumsum(held)))[:-1]
-        owners_ = np.repeat(before, [len(x) // 4 for x in table["ctx"].to_pylist()])
-        ctx = _gathered(table["ctx"], np.uint32) + owners_
+        dest = table["dest"][0].as_py()
+        keys, sizes, digests = _gathered(table["keys"], np.uint32), _gathered(table["sizes"], np.uint16).astype(np.int64), _gathered(table["digests"], U64)
+        before = np.concatenate(([0], np.cumsum([len(x) // 4 for x in table["keys"].to_pylist()])))[:-1]
+        ctx = _gathered(table["ctx"], np.uint32) + np.repeat(before, [len(x) // 4 for x in table["ctx"].to_pylist()])
         rids, docs = _gathered(table["rids"], np.int64), _gathered(table["docs"], np.int64)
         starts, times = _gathered(table["starts"], np.uint32).astype(np.int64), _gathered(table["times"], np.uint32).astype(np.int64)
-        begin = np.concatenate(([0], np.cumsum(sizes)))
-        digest = mix(span_hash(prefix_hash(data, BYTE_CODE), begin[:-1], begin[1:]) + mix(keys))
-        _, one, which = np.unique(digest, return_index=True, return_inverse=True)
+        _, one, which = np.unique(digests, return_index=True, return_inverse=True)
         which = which[ctx]  # the distinct context of each occurrence
         least = np.full(len(one), LAST, np.int64)
         np.minimum.at(least, which, docs)
-        span = sizes[one]
+        _, key, alike = np.unique(keys[one], return_inverse=True, return_counts=True)
+        open_ = alike[key] > 1
+        gone = ~open_[which] & (least[which] < docs)
+        highs = (starts + (sizes[one][which] - length + 1) * times - 1)[gone]
+        out = [_grouped(_RUNS, dest, _part(rids[gone], groups), [rids[gone], starts[gone].astype(np.uint32), highs.astype(np.uint32)])]
+        some, number = np.flatnonzero(open_[which]), np.cumsum(open_) - 1
+        if len(some):
+            place = number[which[some]]
+            _, asked = np.unique(place, return_index=True)
+            asked = some[asked]
+            state = (place.astype(np.uint32), rids[some], docs[some], starts[some].astype(np.uint32), times[some].astype(np.uint32), keys[one][open_], sizes[one][open_].astype(np.uint16), least[open_])
+            packed = [_packed([x]) for x in state]
+            out.append(pa.RecordBatch.from_arrays([pa.array([_OPEN], pa.int32()), pa.array([dest], pa.int32()), pa.array([dest], pa.int32()), *packed], names=out[0].schema.names))
+            out.append(_grouped(_WANTED, dest, _part(rids[asked], groups), [rids[asked], np.arange(len(asked), dtype=np.uint32), starts[asked].astype(np.uint32), sizes[one][open_].astype(np.uint16)]))
+        return pa.Table.from_batches(out)
+
+    return contexts.groupBy("dest").applyInArrow(run, _RESOLVED)
+
+
+def _wanted_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(dest, idx, data): the bytes that were asked for, as (dest, rids, idx, starts, sizes) in c0 to c3 of wanted."""
+
+    def by_row(table: pa.Table) -> pa.Table:
+        dest = np.repeat(table["dest"].to_numpy(), [len(x) // 8 for x in table["c0"].to_pylist()]).astype(np.int32)
+        rids, idx, starts, sizes = (_gathered(table[c], kind) for c, kind in (("c0", np.int64), ("c1", np.uint32), ("c2", np.uint32), ("c3", np.uint16)))
+        order = np.argsort(rids, kind="stable")
+        rids, found = rids[order], [x[order] for x in (dest, idx, starts, sizes)]
+        cuts = np.append(np.flatnonzero(np.concatenate(([True], np.diff(rids) != 0))), len(rids))
+        return pa.table({"r": rids[cuts[:-1]], **{k: pa.array([x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()) for k, x in zip(("dests", "idx", "starts", "sizes"), found, strict=True)}})
+
+    def read(batches):
+        for batch in batches:
+            buf, offsets = string_buffer(batch.column("text"))
+            asked = np.array([len(x) // 4 for x in batch.column("dests").to_pylist()])
+            dest, idx, starts, sizes = (np.frombuffer(string_buffer(batch.column(c))[0].tobytes(), kind) for c, kind in (("dests", np.int32), ("idx", np.uint32), ("starts", np.uint32), ("sizes", np.uint16)))
+            starts, sizes = starts.astype(np.int64) + np.repeat(offsets[:-1], asked), sizes.astype(np.int64)
+            for a, b in slices(np.concatenate(([0], np.cumsum(sizes))), 1 << 22):
+                order = a + np.argsort(dest[a:b], kind="stable")
+                span = sizes[order]
+                total = np.concatenate(([0], np.cumsum(span)))
+                raw = buf[np.repeat(starts[order] - total[:-1], span) + np.arange(total[-1])]
+                cuts = np.concatenate(([0], np.flatnonzero(np.diff(dest[order])) + 1, [len(order)]))
+                rows = list(zip(cuts[:-1], cuts[1:], strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(dest[order][cuts[:-1]]), _packed([idx[order][x:y] for x, y in rows]), _packed([raw[total[x] : total[y]] for x, y in rows])], names=["dest", "idx", "data"])
+
+    rows = wanted.select("part", "dest", "c0", "c1", "c2", "c3").groupBy("part").applyInArrow(by_row, "r long, dests binary, idx binary, starts binary, sizes binary")
+    found = docs.select("rid", "text").join(rows.hint("shuffle_hash"), F.col("rid") == F.col("r")).select("text", "dests", "idx", "starts", "sizes")
+    return found.mapInArrow(read, "dest int, idx binary, data binary")
+
+
+def _searched(state: DataFrame, found: DataFrame, length: int, groups: int) -> DataFrame:
+    """(part, c0, c1, c2): runs of starts whose string also starts in an earlier document, for the contexts of state and their bytes."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        which, rids, docs, starts, times, keys, sizes, least = (_gathered(left[f"c{k}"], kind) for k, kind in enumerate((np.uint32, np.int64, np.int64, np.uint32, np.uint32, np.uint32, np.uint16, np.int64)))
+        starts, times, span = starts.astype(np.int64), times.astype(np.int64), sizes.astype(np.int64)
+        idx, data = _gathered(right["idx"], np.uint32), _gathered(right["data"], np.uint8)
+        known, at = np.unique(idx, return_index=True)  # rows of a document that is there twice say the same
+        if len(known) != len(span):
+            raise RuntimeError("bytes of a context are missing")
+        begin = np.concatenate(([0], np.cumsum(span[idx])))[at]
         total = np.concatenate(([0], np.cumsum(span)))
-        minima = least_of_starts(data[np.repeat(begin[one] - total[:-1], span) + np.arange(total[-1])], total, keys[one], least, length)
+        minima = least_of_starts(data[np.repeat(begin - total[:-1], span) + np.arange(total[-1])], total, keys, least, length)
         count = span - length + 1
         first = np.concatenate(([0], np.cumsum(count)))
         # all starts of an occurrence go, none, or some
@@ -439,19 +514,18 @@ def _removed(contexts: DataFrame, length: int, groups: int) -> DataFrame:
         shift = starts[again[owner]] + turn[owner] * n[owner] - ends[owner]
         rid.append(rids[again[owner]]), low.append(lows + shift), high.append(highs + shift)
         rid = np.concatenate(rid)
-        out = _dealt((rid.view(U64) % U64(groups)).astype(np.int64), {"rids": rid, "lows": np.concatenate(low).astype(np.uint32), "highs": np.concatenate(high).astype(np.uint32)})
-        if out is None:
-            return pa.table({"dest": pa.array([], pa.int32()), **{k: pa.array([], pa.binary()) for k in ("rids", "lows", "highs")}})
-        return pa.Table.from_batches([out])
+        out = _grouped(_RUNS, 0, _part(rid, groups), [rid, np.concatenate(low).astype(np.uint32), np.concatenate(high).astype(np.uint32)])
+        return pa.Table.from_batches([out]).select(["part", "c0", "c1", "c2"])
 
-    return contexts.groupBy("dest").applyInArrow(run, "dest int, rids binary, lows binary, highs binary")
+    kinds = "part int, c0 binary, c1 binary, c2 binary"
+    return state.groupBy("dest").cogroup(found.groupBy("dest")).applyInArrow(run, kinds)
 
 
 def _by_document(runs: DataFrame) -> DataFrame:
     """(r, runs): the runs of each document, by start; those that touch are one."""
 
     def run(table: pa.Table) -> pa.Table:
-        rids, lows, highs = _gathered(table["rids"], np.int64), _gathered(table["lows"], np.uint32).astype(np.int64), _gathered(table["highs"], np.uint32).astype(np.int64)
+        rids, lows, highs = _gathered(table["c0"], np.int64), _gathered(table["c1"], np.uint32).astype(np.int64), _gathered(table["c2"], np.uint32).astype(np.int64)
         order = np.lexsort((lows, rids))
         rids, lows, highs = rids[order], lows[order], highs[order]
         new = np.ones(len(rids), bool)
@@ -462,7 +536,7 @@ def _by_document(runs: DataFrame) -> DataFrame:
         cuts = np.append(np.flatnonzero(np.concatenate(([True], np.diff(rids) != 0))), len(rids))
         return pa.table({"r": rids[cuts[:-1]], "runs": pa.array([pairs[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
-    return runs.groupBy("dest").applyInArrow(run, "r long, runs binary")
+    return runs.select("part", "c0", "c1", "c2").groupBy("part").applyInArrow(run, "r long, runs binary")
 
 
 def spans(runs: bytes | None, length: int) -> np.ndarray:
@@ -486,21 +560,26 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
     if length < GRAM + 2:
         raise ValueError(f"length must be at least {GRAM + 2}")
     spark = docs.sparkSession
+    ship(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text.alias("text"), F.xxhash64("doc_id", text).alias("rid"))
     known = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     dests = int(max(partitions(spark), (known[0] or 0) // 4_000_000))
     with workspace(spark):
-        table = frequent_grams(docs, known[1])
-        frequent = spark.sparkContext.broadcast(table) if table is not None else None  # of fixed size
+        grams = frequent_grams(docs, known[1])
+        frequent = spark.sparkContext.broadcast(grams) if grams is not None else None  # of fixed size
         sent = written(_send(docs, length, dests, frequent), "suffix-keys")
         answers = _answers(sent.where("dest >= 0")).unionByName(sent.where("dest = -1").select("chunk", "ords", "keys"))
         keys = written(_document_keys(sent.where("dest is null").select("rid", "chunk", "ord"), answers), "suffix-shared")
         discard(sent)
         some = keys.groupBy(F.col("rid").alias("r")).agg(F.max("keys").alias("keys"))
         found = docs.select("rid", "doc", "text").join(some.hint("shuffle_hash"), F.col("rid") == F.col("r")).select("rid", "doc", "text", "keys")
-        removed = _by_document(_removed(_contexts(found, length, dests, dests, frequent), length, dests))
-        info = kept(written(removed, "suffix-runs"))
+        resolved = written(_resolve(_contexts(found, length, dests, dests, frequent), length, dests), "suffix-resolved")
+        discard(keys)
+        state = resolved.where(F.col("kind") == _OPEN)
+        searched = _searched(state, _wanted_bytes(docs, resolved.where(F.col("kind") == _WANTED)), length, dests)
+        searched = written(searched, "suffix-searched")
+        info = kept(written(_by_document(resolved.where(F.col("kind") == _RUNS).select("part", "c0", "c1", "c2").unionByName(searched)), "suffix-runs"))
 
     def cut(batches):
         for batch in batches:
@@ -522,7 +601,24 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
 
 def op5(spark, sf_dir):
     """The contract's digest of remove_repeated(): whole ``documents``, strings of 50 bytes, sha256 of what is left."""
-    from .common import table
-
     out = remove_repeated(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP5_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), p AS (  -- pieces of 500 starts each, as substring() takes as long as its text is
+  SELECT doc_id, b, least(500, n - 49 - 500 * b) AS m, substring(h, 1000 * b + 1, 1098) AS q FROM (SELECT *, unnest(range(0, (n - 50) // 500 + 1)) AS b FROM d WHERE n >= 50)
+), s AS (
+  SELECT doc_id, 500 * b + j AS i, substring(q, 2 * j - 1, 100) AS g FROM (SELECT doc_id, b, q, unnest(range(1, m + 1)) AS j FROM p)
+), firsts AS (SELECT g, min(doc_id) AS least FROM s GROUP BY g
+), gone AS (SELECT s.doc_id, s.i, lag(s.i) OVER (PARTITION BY s.doc_id ORDER BY s.i) AS b FROM s JOIN firsts ON s.g = firsts.g WHERE firsts.least < s.doc_id
+), islands AS (SELECT doc_id, i, sum(CASE WHEN b IS NULL OR i > b + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM gone
+), spans AS (SELECT doc_id, k, min(i) AS a, max(i) + 49 AS z FROM islands GROUP BY doc_id, k
+), cut AS (
+  SELECT d.doc_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed, string_agg(substring(h, 2 * y + 1, 2 * (a - y - 1)), '' ORDER BY a) || substring(any_value(h), 2 * max(z) + 1) AS rest
+  FROM (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS y FROM spans) s JOIN d ON s.doc_id = d.doc_id GROUP BY d.doc_id
+)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(cut.n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(cut.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(cut.rest, d.h))) AS kept_sha256
+FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id
+"""
