@@ -457,7 +457,7 @@ def test_embeddings(spark):
     label = rng.integers(0, 3, 300)
     label[100:200], label[200:230] = label[:100], label[5]
     rows = [(i, x[i].tolist(), int(label[i])) for i in range(300)]
-    bad = [(300, None, 1), (301, [0.0] * 16, 1), (302, [float("nan")] * 16, 1), (303, x[0].tolist(), None), (304, [None] * 16, 1), (305, [], 1), (306, [1.0, 2.0], 1), (307, [2.0, 4.0], 1)]
+    bad = [(300, None, 1), (301, [0.0] * 16, 1), (302, [float("nan")] * 16, 1), (303, x[0].tolist(), None), (304, [None] * 16, 1), (305, [], 1), (306, [1.0, 2.0], 1), (307, [2.0, 4.0], 1), (308, [5.0, 5.0, 0.0], 1), (308, [5.0, 5.0, 0.0], 1)]
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, label int")
     unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
     near = (unit @ unit.T >= 0.93) & (label[:, None] == label)
@@ -466,7 +466,7 @@ def test_embeddings(spark):
     exact = {i: (int(near[i].sum()) - 1, want[i], want[i] == i) for i in range(300)}
     assert sum(got[i][0] for i in range(300)) >= 0.9 * sum(v[0] for v in exact.values())
     assert all(got[i][0] <= exact[i][0] for i in range(300)) and all(got[i] == (0, i, True) for i in range(300, 306))
-    assert got[306] == (1, 306, True) and got[307] == (1, 306, False)
+    assert got[306] == (1, 306, True) and got[307] == (1, 306, False) and got[308] == (1, 308, True)
     assert pq_neardup.near_duplicates(df.where("false")).count() == 0
 
 
@@ -554,6 +554,27 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score(df, neutral, F.col("text"), ["doc_id"]).collect()} == {0.5}
 
 
+def test_toxicity_samples_labelled_documents(spark):
+    """Labels of ids that no document has take no place in the sample; repeated rows count once; a byte bound is kept."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choices(WORDS, k=40)) + (" vile" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows * 3, "doc_id long, text string, toxic int")
+    labels = df.select("doc_id", "toxic").unionByName(spark.range(1000, 51000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic")))
+    one, many = (toxicity.fit(d, k, "toxic", toxicity.Settings(max_rows=200)) for d, k in ((df.distinct(), df.select("doc_id", "toxic").distinct()), (df, labels)))
+    assert len(many.index) and many.index.tolist() == one.index.tolist() and np.allclose(many.weight, one.weight)
+    from tessella.llm.common import sampled
+
+    found = sampled(df.withColumn("o", F.xxhash64("doc_id")), "o", "text", 1000, 5000)
+    assert 5 < found.num_rows < 200 and sum(len(t.encode()) for t in found["text"].to_pylist()) <= 5000
+
+
+def test_language_table_has_a_bound():
+    import pyarrow as pa
+
+    with pytest.raises(ValueError, match="bytes"):
+        langid.train({"x": pa.array(["abcdefgh" * 50])}, table_bytes=100)
+
+
 def test_quality(spark):
     rng = random.Random(0)
     good = lambda: " ".join(rng.choices(WORDS, k=60)).capitalize() + "."
