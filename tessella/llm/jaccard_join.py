@@ -428,7 +428,7 @@ def _labelled(docs: DataFrame, size: int, block: int) -> tuple[DataFrame, DataFr
             yield pa.RecordBatch.from_arrays([batch.column("root").take(at), batch.column("node").take(at), batch.column("blocks").take(at), pa.array(found, pa.binary())], names=["root", "node", "blocks", "entries"])
 
     # few documents are candidates: their ids go to the texts while they are proved to be small
-    named = small(written(chosen.where("doc_id is not null").select(F.col("doc_id").alias("d"), "node", "root", "blocks"), "jaccard-named"), 64)
+    named = small(written(chosen.where("doc_id is not null").select(F.col("doc_id").alias("d"), "node", "root", "blocks"), "jaccard-named"), 128)
     texts = docs.where("doc_id is not null").join(named, F.col("doc_id") == F.col("d")).select("text", "node", "root", "blocks")
     nameless = chosen.where("doc_id is null").drop("doc_id").withColumnRenamed("blank", "d")
     if nameless.limit(1).count():
@@ -458,7 +458,7 @@ def distinct_documents(docs: DataFrame, size: int = 5) -> DataFrame:
         ids = jaccard_components(docs, size).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows"))
         ids = kept(written(ids.withColumnRenamed("doc_id", name), "jaccard-kept"))
     named = docs.where("doc_id is not null")
-    out = named.join(small(ids.where("rows = 1").select(name), 24), F.col("doc_id") == F.col(name), "left_semi")
+    out = named.join(small(ids.where("rows = 1").select(name), 64), F.col("doc_id") == F.col(name), "left_semi")
     if (many := ids.where("rows > 1")).limit(1).count():
         out = out.unionByName(named.join(many, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id", "text"]))
     return out.unionByName(docs.where("doc_id is null"))
