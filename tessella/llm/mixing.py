@@ -6,8 +6,9 @@ quotas; the k-th pass over a pattern costs k, so repetition is convex and is spr
 before it is deepened.  What flows out of a pattern fixes how many whole passes all
 its documents get and how many tokens of one further pass a seeded order selects.
 
-Only the pattern totals reach the driver; ``max_patterns`` bounds them and the call
-fails beyond it.  No document is shuffled: a search over sums finds where the seeded order of
+Only pattern totals reach the driver: of the ``max_patterns`` patterns with the most tokens,
+and of all others as one where each row counts for a source of its own (else the call fails
+beyond that number).  No document is shuffled: a search over sums finds where the seeded order of
 each pattern reaches its quota, and each row is held against that.
 """
 
@@ -131,7 +132,7 @@ def mix_sources(
     passes: int = 2,
     seed: int = 17,
     cut: bool = False,
-    max_patterns: int = 10_000,
+    max_patterns: int = 128,
     weights: Sequence[float] = (5, 2, 1),
     share: float = 1.5,
     own: Column | None = None,
@@ -146,6 +147,7 @@ def mix_sources(
     else it is taken whole if at least half of it is wanted.
     own: the one member that a document is counted for; others of its pattern hold copies of it.
     copies: how many rows hold the same text; passes then repeat a pattern's distinct texts.
+    max_patterns: with own, patterns beyond the largest ones are one; without, they are an error.
     A null or empty text has size 0 and takes nothing; a document of no source is never taken.
     Rows with equal ``order`` columns tie: where they straddle, all give the same share, or all are taken or none.
     Input columns with names beginning ``mix_`` are dropped.
@@ -155,9 +157,21 @@ def mix_sources(
     once = (F.lit(1.0) if copies is None else 1.0 / copies).alias("mix_once")
     docs = docs.drop(*[c for c in docs.columns if c.lower().startswith("mix_")]).withColumns(columns | {"mix_once": once})
     keys = kept(written(docs.select(*columns, "mix_once"), "mix-keys"))  # texts are read once for this, and once for the result
-    totals = keys.groupBy("mix_pattern", "mix_own").agg(F.sum("mix_size").alias("s"), F.sum(F.col("mix_size") * F.col("mix_once")).alias("d")).limit(max_patterns + 1).collect()
-    if len(totals) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns")
+    top = keys.groupBy("mix_pattern").agg(F.sum("mix_size").alias("s")).where("s > 0").orderBy(F.desc("s"), "mix_pattern").limit(max_patterns + 1).collect()
+    if len(top) > max_patterns:
+        if own is None:
+            raise ValueError(f"more than {max_patterns} membership patterns")
+        # the others are one pattern: a row serves its own source whatever the pattern, which only sets the cost of repeats
+        kind = keys.schema["mix_pattern"].dataType
+        everyone = F.array(*[F.lit(r[0]).cast(kind.elementType) for r in keys.select(F.col("mix_own")[0].alias("s")).distinct().orderBy("s").collect()])  # the sources
+        named = spark.createDataFrame([(list(r[0]),) for r in top[:max_patterns]], f"mix_top {kind.simpleString()}")
+
+        def coarser(rows: DataFrame) -> DataFrame:
+            rows = rows.join(F.broadcast(named), rows.mix_pattern.eqNullSafe(named.mix_top), "left")
+            return rows.withColumn("mix_pattern", F.when(F.col("mix_top").isNotNull() | F.col("mix_pattern").isNull(), F.col("mix_pattern")).otherwise(everyone)).drop("mix_top")
+
+        keys, docs = coarser(keys), coarser(docs)
+    totals = keys.groupBy("mix_pattern", "mix_own").agg(F.sum("mix_size").alias("s"), F.sum(F.col("mix_size") * F.col("mix_once")).alias("d")).collect()
     # a cell is the part of a pattern that serves the same sources: all its members, or the one that holds the row
     held = {(tuple(r[0]), tuple(r[1])): r.s for r in totals if r[0] and r.s}
     distinct: dict[tuple, float] = {}
@@ -179,7 +193,7 @@ def mix_sources(
     ends = _straddling(keys, {c: rest for c, (_, rest) in plan.items() if rest})
     rows = [(list(p), list(o), whole, *ends.get((p, o), (-1, 0, 1))) for (p, o), (whole, _) in plan.items()]
     element = keys.schema["mix_pattern"].dataType.simpleString()
-    # a row for each cell, of which there are at most max_patterns
+    # a row for each cell: at most one for each of the patterns and sources
     plan = spark.createDataFrame(rows, f"mix_p {element}, mix_o {element}, mix_whole long, mix_at long, mix_need long, mix_tied long")
     docs = docs.join(F.broadcast(plan), docs.mix_pattern.eqNullSafe(plan.mix_p) & docs.mix_own.eqNullSafe(plan.mix_o), "left")
     last = F.expr("cast(cast(mix_size as decimal(38,0)) * mix_need div mix_tied as long)") if cut else F.when(2 * F.col("mix_need") >= F.col("mix_tied"), F.col("mix_size")).otherwise(0)

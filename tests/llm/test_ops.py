@@ -407,6 +407,14 @@ def test_mixing_spares_texts_that_sources_share(spark):
         taken[r.source] += r.mix_taken
         assert r.mix_taken <= 2 * r.mix_size
     assert taken == targets
+    few = mixing.mix_sources(held, F.col("members"), F.col("size"), [F.col("doc_id")], targets, cut=True, own=F.col("source"), copies=F.col("copies"), max_patterns=2).collect()
+    again = Counter()
+    for r in few:  # all but the two largest patterns are one; targets and limits are as exact
+        again[r.source] += r.mix_taken
+        assert r.mix_taken <= 2 * r.mix_size
+    assert again == targets and len({tuple(r.mix_pattern) for r in few}) == 3
+    with pytest.raises(ValueError, match="2 membership"):
+        mixing.mix_sources(held, F.col("members"), F.col("size"), [F.col("doc_id")], targets, max_patterns=2)
     # 1000 distinct words in each source's own and 1000 that both hold: one pass over all is 3000, and 2705 are wanted
     shared = sum(r.mix_taken for r in mixed if len(r.members) > 1)
     assert 705 <= shared <= 1000
