@@ -56,6 +56,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def folder(spark: SparkSession, tag: str) -> str:
+    """The path of a new folder in the shared one, for files of other kinds than tables; it goes with the innermost workspace."""
+    ship(spark)
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    if stack := _open_workspaces():
+        stack[-1].append(path)
+    return path
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
