@@ -47,7 +47,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     of the sources.  Rows that agree in doc_id and text tie.  Equal texts have gone before, so each source is its own pattern.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # no column can clash
-    mixed = mixing.mix_sources(rows, F.array("row.source"), mixing.word_count(F.col("row.text")), [F.col("row.doc_id"), F.xxhash64("row.text")])
+    mixed = mixing.mix_sources(rows, None, mixing.word_count(F.col("row.text")), [F.col("row.doc_id"), F.xxhash64("row.text")], own=F.col("row.source"))
     return mixing.repeated(mixed).select("row.*")
 
 

@@ -1,22 +1,22 @@
 """Mixing sources to target weights by min-cost flow over membership patterns.
 
 Documents are aggregated by their membership pattern (the set of sources that may
-claim them, or that hold the same text).  A small flow network routes each pattern's token capacity to source
+claim them, or that hold the same text).  A flow network routes each pattern's token capacity to source
 quotas; the k-th pass over a pattern costs k, so repetition is convex and is spread
 before it is deepened.  What flows out of a pattern fixes how many whole passes all
 its documents get and how many tokens of one further pass a seeded order selects.
 
-Only pattern totals reach the driver: of the ``max_patterns`` patterns with the most tokens,
-and of all others as one where each row counts for a source of its own (else the call fails
-beyond that number).  No document is shuffled: a search over sums finds where the seeded order of
-each pattern reaches its quota, and each row is held against that.
+Only totals reach the driver: one number for each cell, which is a source within a pattern that holds or may claim tokens.  There is
+no bound on sources or patterns, and all that is held is linear in cells; where documents count for one source, a pattern is
+an identifier of fixed size.  No document is shuffled: a search over sums finds where the seeded order of
+each cell reaches its quota, and each row is held against that.
 """
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -54,170 +54,225 @@ def weighted_targets(sizes: Mapping[str | None, int], weights: Sequence[float] =
     return out
 
 
-def _passes(once: int, total: int, single: int = 8) -> list[tuple[int, int]]:
-    """(tokens, cost of each) of the passes over ``once`` tokens that ``total`` takes: the k-th costs k; past ``single`` they are
-    taken together in doubling numbers, at the cost of the middle one, so that a thousand copies are a few arcs."""
-    out, k = [], 1
-    while total > 0:
-        many = 1 if k <= single else k - 1
-        out.append((min(total, many * once), k + (many - 1) // 2))
-        total -= many * once
-        k += many
-    return out
-
+def _levels(most: float, single: int = 8) -> Iterator[int]:
+    """Whole passes up to which each price level goes: one more each, and past ``single`` twice as many, so that a thousand copies are few levels."""
+    k = 0
+    while k < most:
+        k = k + 1 if k < single else 2 * k
+        yield k
 
-def min_cost_flow(capacity: Mapping[tuple, int], quotas: Mapping, passes: int = 2, cells: Mapping[tuple, int] | None = None) -> dict[tuple, dict]:
-    """Tokens from each pattern (a tuple of sources) to each source: the most that fits, at the least repetition cost.
 
-    Successive shortest paths with Dijkstra's algorithm on reduced costs; the k-th pass over a pattern's capacity costs k.
-    cells: the most that may go from a pattern to a source, by (pattern, source); by default ``passes`` times the capacity,
-    for each source and in all.
+def _augment(start: list[int], left: list[int], flow: list[int], room: list[int], arc_p: list[int], arc_s: list[int], of_p: list[list[int]], of_s: list[list[int]]) -> None:
+    """Dinic's algorithm between patterns with tokens to ``start`` and sources with quota ``left``: the most that fits on top of ``flow``."""
+    while True:
+        level_p, level_s = [-1] * len(start), [-1] * len(left)
+        starts = frontier = [p for p, n in enumerate(start) if n > 0]
+        for p in frontier:
+            level_p[p] = 0
+        depth, found = 0, False
+        while frontier and not found:
+            reached = []
+            for p in frontier:
+                for e in of_p[p]:
+                    s = arc_s[e]
+                    if level_s[s] < 0 and flow[e] < room[e]:
+                        level_s[s] = depth + 1
+                        reached.append(s)
+                        found = found or left[s] > 0
+            depth, frontier = depth + 2, []
+            for s in reached if not found else ():
+                for e in of_s[s]:
+                    if flow[e] > 0 and level_p[arc_p[e]] < 0:
+                        level_p[arc_p[e]] = depth
+                        frontier.append(arc_p[e])
+        if not found:
+            return
+        next_p, next_s = [0] * len(start), [0] * len(left)
+        for origin in starts:
+            path: list[int] = []  # arcs to a source at even places, back from one at odd places
+            at, is_pattern = origin, True
+            while start[origin] > 0:
+                if not is_pattern and left[at] > 0:
+                    amount = min(start[origin], left[at], *(room[e] - flow[e] if i % 2 == 0 else flow[e] for i, e in enumerate(path)))
+                    for i, e in enumerate(path):
+                        flow[e] += amount if i % 2 == 0 else -amount
+                    start[origin] -= amount
+                    left[at] -= amount
+                    path, at, is_pattern = [], origin, True
+                    continue
+                arcs, place, k = (of_p[at], next_p, next_p[at]) if is_pattern else (of_s[at], next_s, next_s[at])
+                while k < len(arcs):
+                    e = arcs[k]
+                    if (flow[e] < room[e] and level_s[arc_s[e]] == level_p[at] + 1) if is_pattern else (flow[e] > 0 and level_p[arc_p[e]] == level_s[at] + 1):
+                        break
+                    k += 1
+                place[at] = k
+                if k < len(arcs):
+                    path.append(e)
+                    at, is_pattern = (arc_s[e], False) if is_pattern else (arc_p[e], True)
+                elif path:  # a dead end: one step back, and on to the next arc there
+                    e = path.pop()
+                    at, is_pattern = (arc_s[e], False) if is_pattern else (arc_p[e], True)
+                    (next_p if is_pattern else next_s)[at] += 1
+                else:
+                    break
+
+
+def min_cost_flow(capacity: Mapping, quotas: Mapping, passes: int = 2, cells: Mapping[tuple, int] | None = None) -> dict:
+    """Tokens from each pattern to each source: the most that fits, at the least repetition cost.
+
+    The k-th pass over a pattern's capacity costs k, and no other arc has a cost.  So a shortest path costs what its first arc
+    does, and successive shortest paths are maximal flows level by level: with one pass of every pattern, then with two, and so on.
+    cells: the most that may go from a pattern to a source, by (pattern, source); by default patterns are tuples of sources, and
+    the most is ``passes`` times the capacity, for each source and in all.
     """
     patterns, sources = list(capacity), list(quotas)
-    start, end = 0, 1 + len(patterns) + len(sources)
-    at = {s: 1 + len(patterns) + i for i, s in enumerate(sources)}
-    head: list[list[int]] = [[] for _ in range(end + 1)]
-    to, room, cost = [], [], []
-
-    def arc(a: int, b: int, much: int, price: int) -> None:
-        for x, y, m, c in ((a, b, much, price), (b, a, 0, -price)):
-            head[x].append(len(to))
-            to.append(y), room.append(m), cost.append(c)
-
-    for i, p in enumerate(patterns):
-        limits = {s: passes * capacity[p] if cells is None else cells.get((p, s), 0) for s in p if s in at}
-        for much, price in _passes(max(1, capacity[p]), passes * capacity[p] if cells is None else sum(limits.values())):
-            arc(start, 1 + i, much, price)
-        for s, limit in limits.items():
-            arc(1 + i, at[s], limit, 0)
-    for s in sources:
-        arc(at[s], end, round(quotas[s]), 0)
-    potential = [0] * (end + 1)
-    while True:
-        far, via, queue = {start: 0}, {}, [(0, start)]
-        while queue:
-            d, x = heapq.heappop(queue)
-            if d > far[x]:
-                continue
-            for e in head[x]:
-                if room[e] and (new := d + cost[e] + potential[x] - potential[to[e]]) < far.get(to[e], 1 << 62):
-                    far[to[e]], via[to[e]] = new, e
-                    heapq.heappush(queue, (new, to[e]))
-        if end not in far:
+    place_p, place_s = {p: i for i, p in enumerate(patterns)}, {s: i for i, s in enumerate(sources)}
+    arc_p, arc_s, room = [], [], []
+    for (p, s), much in cells.items() if cells is not None else (((p, s), passes * n) for p, n in capacity.items() for s in p):
+        if p in place_p and s in place_s and much > 0:
+            arc_p.append(place_p[p]), arc_s.append(place_s[s]), room.append(much)
+    of_p, of_s, total = [[] for _ in patterns], [[] for _ in sources], [0] * len(patterns)
+    for e, (p, s) in enumerate(zip(arc_p, arc_s, strict=True)):
+        of_p[p].append(e), of_s[s].append(e)
+        total[p] += room[e]
+    once = [max(1, capacity[p]) for p in patterns]
+    if cells is None:
+        total = [passes * capacity[p] for p in patterns]
+    flow, left = [0] * len(room), [max(0, round(quotas[s])) for s in sources]
+    used = [0] * len(patterns)
+    for level in _levels(max((t / n for t, n in zip(total, once, strict=True)), default=0)):
+        start = [min(t, level * n) - u for t, n, u in zip(total, once, used, strict=True)]
+        given = start.copy()
+        _augment(start, left, flow, room, arc_p, arc_s, of_p, of_s)
+        used = [u + g - x for u, g, x in zip(used, given, start, strict=True)]
+        if not any(left):
             break
-        most = max(far.values())
-        potential = [p + far.get(i, most) for i, p in enumerate(potential)]
-        path, x = [], end
-        while x != start:
-            path.append(via[x])
-            x = to[via[x] ^ 1]
-        amount = min(room[e] for e in path)
-        for e in path:
-            room[e] -= amount
-            room[e ^ 1] += amount
-    out: dict[tuple, dict] = {p: {} for p in patterns}
-    for i, p in enumerate(patterns):
-        for e in head[1 + i]:
-            if e % 2 == 0 and room[e ^ 1]:
-                out[p][sources[to[e] - 1 - len(patterns)]] = room[e ^ 1]
+    out: dict = {p: {} for p in patterns}
+    for e, n in enumerate(flow):
+        if n:
+            out[patterns[arc_p[e]]][sources[arc_s[e]]] = n
     return out
 
 
+def pattern_of(source: Column) -> Column:
+    """The identifier of the pattern of one source; sets of sources have the exclusive ors of the same hashes."""
+    return _identifier(F.xxhash64(source), F.xxhash64(source, F.lit(1)))
+
+
+def _identifier(a: Column, b: Column) -> Column:
+    return F.concat_ws(":", F.hex(a), F.hex(b))
+
+
+def _beside(rows: pa.Table, spark) -> DataFrame:
+    """Rows of the driver as a DataFrame, broadcast if their bytes (three times over, for what a hashed relation adds) are few."""
+    df = spark.createDataFrame(rows)
+    return F.broadcast(df) if 3 * rows.nbytes + 100 * rows.num_rows <= 64 << 20 else df
+
+
 def mix_sources(
     docs: DataFrame,
-    members: Column,
+    members: Column | None,
     size: Column,
     order: Sequence[Column],
     targets: Mapping[str | None, float] | None = None,
     passes: int = 2,
     seed: int = 17,
     cut: bool = False,
-    max_patterns: int = 128,
     weights: Sequence[float] = (5, 2, 1),
     share: float = 1.5,
     own: Column | None = None,
     copies: Column | None = None,
+    pattern: Column | None = None,
 ) -> DataFrame:
     """docs with ``mix_size``, ``mix_taken`` (tokens, repeats counted), ``mix_copies`` (whole copies) and ``mix_pattern``.
 
-    members: array of the sources that may claim a document (its elements may be null).
+    members: array of the sources that may claim a document (its elements may be null); not needed with own.
     order: columns that tell documents apart; with the seed they fix the selection, so reruns agree.
     targets: tokens per source; by default ``weighted_targets`` of the sizes of documents by own source or first member.
     cut: the one document of a pattern that straddles its quota gives only the tokens still missing;
     else it is taken whole if at least half of it is wanted.
-    own: the one member that a document is counted for; others of its pattern hold copies of it.
+    own: the one source that a document is counted for; others of its pattern hold copies of it.
+    pattern: with own, the identifier of a document's pattern (``holders``); by default that of its own source alone.
     copies: how many rows hold the same text; passes then repeat a pattern's distinct texts.
-    max_patterns: with own, patterns beyond the largest ones are one; without, they are an error.
     A null or empty text has size 0 and takes nothing; a document of no source is never taken.
     Rows with equal ``order`` columns tie: where they straddle, all give the same share, or all are taken or none.
     Input columns with names beginning ``mix_`` are dropped.
     """
     spark = docs.sparkSession
-    columns = {"mix_pattern": F.array_sort(F.array_distinct(members)), "mix_own": F.array_sort(F.array_distinct(members)) if own is None else F.array(own), "mix_size": size.cast("long"), "mix_order": F.shiftrightunsigned(F.xxhash64(F.lit(seed), *order), 64 - ORDER_BITS)}
-    once = (F.lit(1.0) if copies is None else 1.0 / copies).alias("mix_once")
-    docs = docs.drop(*[c for c in docs.columns if c.lower().startswith("mix_")]).withColumns(columns | {"mix_once": once})
-    keys = kept(written(docs.select(*columns, "mix_once"), "mix-keys"))  # texts are read once for this, and once for the result
-    top = keys.groupBy("mix_pattern").agg(F.sum("mix_size").alias("s")).where("s > 0").orderBy(F.desc("s"), "mix_pattern").limit(max_patterns + 1).collect()
-    if len(top) > max_patterns:
-        if own is None:
-            raise ValueError(f"more than {max_patterns} membership patterns")
-        # the others are one pattern: a row serves its own source whatever the pattern, which only sets the cost of repeats
-        kind = keys.schema["mix_pattern"].dataType
-        everyone = F.array(*[F.lit(r[0]).cast(kind.elementType) for r in keys.select(F.col("mix_own")[0].alias("s")).distinct().orderBy("s").collect()])  # the sources
-        named = spark.createDataFrame([(list(r[0]),) for r in top[:max_patterns]], f"mix_top {kind.simpleString()}")
-
-        def coarser(rows: DataFrame) -> DataFrame:
-            rows = rows.join(F.broadcast(named), rows.mix_pattern.eqNullSafe(named.mix_top), "left")
-            return rows.withColumn("mix_pattern", F.when(F.col("mix_top").isNotNull() | F.col("mix_pattern").isNull(), F.col("mix_pattern")).otherwise(everyone)).drop("mix_top")
-
-        keys, docs = coarser(keys), coarser(docs)
-    totals = keys.groupBy("mix_pattern", "mix_own").agg(F.sum("mix_size").alias("s"), F.sum(F.col("mix_size") * F.col("mix_once")).alias("d")).collect()
-    # a cell is the part of a pattern that serves the same sources: all its members, or the one that holds the row
-    held = {(tuple(r[0]), tuple(r[1])): r.s for r in totals if r[0] and r.s}
-    distinct: dict[tuple, float] = {}
+    if own is None:
+        columns, cell = {"mix_pattern": F.array_sort(F.array_distinct(members))}, ["mix_pattern"]
+    else:
+        columns, cell = {"mix_pattern": pattern_of(own) if pattern is None else pattern, "mix_own": own}, ["mix_pattern", "mix_own"]
+    columns |= {"mix_size": size.cast("long"), "mix_order": F.shiftrightunsigned(F.xxhash64(F.lit(seed), *order), 64 - ORDER_BITS)}
+    once = F.lit(1.0) if copies is None else 1.0 / copies
+    docs = docs.drop(*[c for c in docs.columns if c.lower().startswith("mix_")]).withColumns(columns)
+    keys = kept(written(docs.select(*columns, once.alias("mix_once")), "mix-keys"))  # texts are read once for this, and once for the result
+    totals = keys.groupBy(*cell).agg(F.sum("mix_size").alias("s"), F.sum(F.col("mix_size") * F.col("mix_once")).alias("d")).toArrow()
+    kinds = {c: totals.schema.field(c).type for c in cell}
+    keyed = totals.column("mix_pattern").to_pylist()
+    keyed = [tuple(p) if isinstance(p, list) else p for p in keyed]
+    owns = totals.column("mix_own").to_pylist() if own is not None else [None] * len(keyed)
+    held: dict[tuple, int] = {}
+    distinct: dict = {}
     sizes: dict = {}
-    for r in totals:
-        if r[0]:
-            distinct[tuple(r[0])] = distinct.get(tuple(r[0]), 0) + (r.d or 0)
-            sizes[r[1][0]] = sizes.get(r[1][0], 0) + (r.s or 0)
+    for p, o, s, d in zip(keyed, owns, totals.column("s").to_pylist(), totals.column("d").to_pylist(), strict=True):
+        if own is not None or p:  # else a document of no source
+            source = o if own is not None else p[0]
+            sizes[source] = sizes.get(source, 0) + (s or 0)
+            if s:
+                held[p, o] = s
+                distinct[p] = distinct.get(p, 0) + (d or 0)
     if targets is None:
         targets = weighted_targets(sizes, weights, share, passes)
     if own is None:
         flow = min_cost_flow({p: s for (p, _), s in held.items()}, targets, passes)
         wanted = {(p, o): sum(flow[p].values()) for p, o in held}
     else:
-        cells = {(p, o[0]): passes * s for (p, o), s in held.items()}
-        flow = min_cost_flow({p: round(d) for p, d in distinct.items() if any(p == q for q, _ in held)}, targets, passes, cells)
-        wanted = {(p, o): flow[p].get(o[0], 0) for p, o in held}
+        flow = min_cost_flow({p: round(d) for p, d in distinct.items()}, targets, passes, {c: passes * s for c, s in held.items()})
+        wanted = {(p, o): flow[p].get(o, 0) for p, o in held}
     plan = {c: divmod(wanted[c], s) for c, s in held.items()}
-    ends = _straddling(keys, {c: rest for c, (_, rest) in plan.items() if rest})
-    rows = [(list(p), list(o), whole, *ends.get((p, o), (-1, 0, 1))) for (p, o), (whole, _) in plan.items()]
-    element = keys.schema["mix_pattern"].dataType.simpleString()
-    # a row for each cell: at most one for each of the patterns and sources
-    plan = spark.createDataFrame(rows, f"mix_p {element}, mix_o {element}, mix_whole long, mix_at long, mix_need long, mix_tied long")
-    docs = docs.join(F.broadcast(plan), docs.mix_pattern.eqNullSafe(plan.mix_p) & docs.mix_own.eqNullSafe(plan.mix_o), "left")
+    ends = _straddling(keys, cell, kinds, {c: rest for c, (_, rest) in plan.items() if rest})
+    cells = _cells(list(plan), kinds)
+    for name, values in zip(("mix_whole", "mix_at", "mix_need", "mix_tied"), zip(*((whole, *ends.get(c, (-1, 0, 1))) for c, (whole, _) in plan.items()), strict=True) if plan else ((),) * 4, strict=True):
+        cells = cells.append_column(name, pa.array(values, pa.int64()))
+    docs = _by_cell(docs, _beside(cells, spark), cell, "left")
     last = F.expr("cast(cast(mix_size as decimal(38,0)) * mix_need div mix_tied as long)") if cut else F.when(2 * F.col("mix_need") >= F.col("mix_tied"), F.col("mix_size")).otherwise(0)
     more = F.when(F.col("mix_order") < F.col("mix_at"), F.col("mix_size")).when(F.col("mix_order") == F.col("mix_at"), last).otherwise(0)
     docs = docs.withColumn("mix_taken", F.coalesce(F.col("mix_whole") * F.col("mix_size") + more, F.lit(0)).cast("long"))
     docs = docs.withColumn("mix_copies", F.when(F.col("mix_size") > 0, F.ceil(F.col("mix_taken") / F.col("mix_size"))).otherwise(0).cast("int"))
-    return docs.drop("mix_order", "mix_own", "mix_once", "mix_p", "mix_o", "mix_whole", "mix_at", "mix_need", "mix_tied")
+    return docs.drop("mix_order", "mix_own", "mix_whole", "mix_at", "mix_need", "mix_tied")
+
+
+def _cells(cells: list[tuple], kinds: Mapping[str, pa.DataType]) -> pa.Table:
+    """Cells (pattern, own) as columns named _mix_pattern and, if there is one, _mix_own."""
+    return pa.table({f"_{c}": pa.array([list(x[k]) if isinstance(x[k], tuple) else x[k] for x in cells], kind) for k, (c, kind) in enumerate(kinds.items())})
+
+
+def _by_cell(rows: DataFrame, cells: DataFrame, cell: Sequence[str], how: str) -> DataFrame:
+    on = F.lit(True)
+    for c in cell:
+        on = on & rows[c].eqNullSafe(cells[f"_{c}"])
+    return rows.join(cells, on, how).drop(*[f"_{c}" for c in cell])
 
 
-def _straddling(keys: DataFrame, rest: Mapping[tuple, int], parts: int = 1024) -> dict[tuple, tuple[int, int, int]]:
+def _straddling(keys: DataFrame, cell: Sequence[str], kinds: Mapping[str, pa.DataType], rest: Mapping[tuple, int], parts: int = 1024) -> dict[tuple, tuple[int, int, int]]:
     """Where the seeded order of each cell (pattern, own) reaches ``rest`` tokens: (mix_order there, tokens still missing, tokens of that order).
 
     A search by ``parts`` intervals of the order at a time, all cells at once: a round adds sizes up by
     cell and interval, combined map-side, and brings back the one interval of each cell that straddles.
-    No row is moved, and no window holds more than ``parts`` rows.
+    No row is moved while the cells are few enough to broadcast, and no window holds more than ``parts`` rows.
     """
-    spark, element = keys.sparkSession, keys.schema["mix_pattern"].dataType.simpleString()
+    spark = keys.sparkSession
     out: dict[tuple, tuple[int, int, int]] = {}
     open_ = {c: (0, (1 << ORDER_BITS) - 1, much) for c, much in rest.items()}
     while open_:
         cells = list(open_)
-        rows = [(k, list(p), list(o), a, b, -(-(b - a + 1) // parts), much) for k, (p, o) in enumerate(cells) for a, b, much in [open_[p, o]]]
-        now = spark.createDataFrame(rows, f"_k int, _p {element}, _o {element}, _a long, _b long, _width long, _much long")
-        sums = keys.join(F.broadcast(now), keys.mix_pattern.eqNullSafe(now._p) & keys.mix_own.eqNullSafe(now._o)).where("mix_order between _a and _b")
+        now = _cells(cells, kinds)
+        columns = {"_k": range(len(cells)), "_a": [open_[c][0] for c in cells], "_b": [open_[c][1] for c in cells], "_width": [-(-(b - a + 1) // parts) for a, b, _ in open_.values()], "_much": [open_[c][2] for c in cells]}
+        for name, values in columns.items():
+            now = now.append_column(name, pa.array(values, pa.int64()))
+        sums = _by_cell(keys, _beside(now, spark), cell, "inner").where("mix_order between _a and _b")
         sums = sums.groupBy("_k", "_much", F.expr("(mix_order - _a) div _width").alias("part")).agg(F.sum("mix_size").alias("s"), F.min("mix_order").alias("a"), F.max("mix_order").alias("b"))
         upto = Window.partitionBy("_k").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
         found = sums.withColumn("upto", F.sum("s").over(upto)).where("upto > _much and upto - s <= _much").collect()
@@ -237,16 +292,17 @@ def repeated(mixed: DataFrame) -> DataFrame:
 
 
 def holders(rows: DataFrame, text: str, source: str) -> DataFrame:
-    """rows with ``mix_members``, the sources that hold the same text (a column of hashes), and ``mix_rows``, how many rows do.
+    """rows with ``mix_pattern``, the identifier of the set of sources that hold the same text (a column of hashes), and ``mix_rows``, how many rows do.
 
-    Only hashes and sources are shuffled, and copies are added up by source before.  Both sides of the join are tables, so
+    The identifier is made of exclusive ors of two hashes of each source, so that no set is gathered and each row of the join has a
+    fixed size.  Only hashes and sources are shuffled, and copies are added up by source before.  Both sides of the join are tables, so
     that adaptive execution can split the rows of a frequent text.
     """
     groups = rows.groupBy(F.col(text).alias("mix_t"), F.col(source).alias("mix_s")).agg(F.count("*").alias("mix_n")).groupBy("mix_t")
-    groups = groups.agg(F.sum("mix_n").alias("mix_rows"), F.collect_set(F.struct("mix_s")).alias("mix_members")).where("mix_rows > 1")
-    groups = small(written(groups.withColumn("mix_members", F.transform("mix_members", lambda x: x["mix_s"])), "mix-holders"), 200)
+    groups = groups.agg(F.sum("mix_n").alias("mix_rows"), _identifier(F.bit_xor(F.xxhash64("mix_s")), F.bit_xor(F.xxhash64("mix_s", F.lit(1)))).alias("mix_pattern")).where("mix_rows > 1")
+    groups = small(written(groups, "mix-holders"), 200)
     out = rows.join(groups, F.col(text) == F.col("mix_t"), "left").drop("mix_t")
-    return out.withColumns({"mix_members": F.coalesce("mix_members", F.array(source)), "mix_rows": F.coalesce("mix_rows", F.lit(1))})
+    return out.withColumns({"mix_pattern": F.coalesce("mix_pattern", pattern_of(F.col(source))), "mix_rows": F.coalesce("mix_rows", F.lit(1))})
 
 
 def op1(spark, sf_dir):
@@ -254,9 +310,10 @@ def op1(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("same"))
     with workspace(spark):
         docs = written(docs, "mix-sizes")
-        docs = kept(written(holders(docs, "same", "source").select("doc_id", "source", "size", F.col("mix_members").alias("members"), F.col("mix_rows").alias("copies")), "mix-overlap"))
-    sizes = {r[0]: r[1] for r in docs.groupBy("source").agg(F.sum("size")).collect()}
+        docs = kept(written(holders(docs, "same", "source").select("doc_id", "source", "size", F.col("mix_pattern").alias("pattern"), F.col("mix_rows").alias("copies")), "mix-overlap"))
+    sizes = {r[0]: r[1] for r in docs.groupBy("source").agg(F.sum("size")).collect()}  # a number for each source
     targets = weighted_targets(sizes)
-    mixed = mix_sources(docs, F.col("members"), F.col("size"), [F.col("doc_id")], targets, cut=True, own=F.col("source"), copies=F.col("copies"))
-    known = spark.createDataFrame([(s, int(sizes[s]), float(targets[s])) for s in sizes], "s string, source_size long, target double")
-    return mixed.join(small(known, 1000), mixed.source.eqNullSafe(known.s)).select("doc_id", "source", "size", "source_size", "target", F.col("mix_taken").alias("taken"))
+    mixed = mix_sources(docs, None, F.col("size"), [F.col("doc_id")], targets, cut=True, own=F.col("source"), pattern=F.col("pattern"), copies=F.col("copies"))
+    known = pa.table({"s": pa.array(list(sizes), pa.string()), "source_size": pa.array([int(sizes[s]) for s in sizes], pa.int64()), "target": pa.array([float(targets[s]) for s in sizes], pa.float64())})
+    known = _beside(known, spark)
+    return mixed.join(known, mixed.source.eqNullSafe(known.s)).select("doc_id", "source", "size", "source_size", "target", F.col("mix_taken").alias("taken"))

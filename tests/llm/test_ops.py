@@ -393,33 +393,85 @@ def test_min_cost_flow_is_least():
     assert sum(cost(p, sum(f.values())) for p, f in flow.items()) == best
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_no_move_betters_a_flow(seed):
+    """Random networks: the flow is maximal (no path augments it) and the least (no cycle improves it)."""
+    rng = random.Random(seed)
+    sources = [f"s{i}" for i in range(6)]
+    capacity = {k: rng.randrange(1, 12) for k in range(9)}
+    cells = {(p, s): rng.randrange(1, 25) for p in capacity for s in rng.sample(sources, rng.randrange(1, 5))}
+    quotas = {s: rng.randrange(0, 40) for s in sources}
+    flow = mixing.min_cost_flow(capacity, quotas, cells=cells)
+    used = {p: sum(f.values()) for p, f in flow.items()}
+    got = {s: sum(f.get(s, 0) for f in flow.values()) for s in sources}
+    assert all(0 < n <= cells[p, s] for p, f in flow.items() for s, n in f.items()) and all(got[s] <= quotas[s] for s in sources)
+
+    def reach(first):
+        """Patterns and sources that a token more out of pattern ``first`` can reach by moving others."""
+        p_seen, s_seen, queue = {first}, set(), [first]
+        while queue:
+            p = queue.pop()
+            for s in sources:
+                if s not in s_seen and flow[p].get(s, 0) < cells.get((p, s), 0):
+                    s_seen.add(s)
+                    for q in capacity:
+                        if q not in p_seen and flow[q].get(s, 0) > 0:
+                            p_seen.add(q)
+                            queue.append(q)
+        return p_seen, s_seen
+
+    pass_of = lambda p, n: -(-n // capacity[p])
+    for p in capacity:
+        patterns, reached = reach(p)
+        if used[p] < sum(cells.get((p, s), 0) for s in sources):
+            assert all(got[s] == quotas[s] for s in reached)
+            assert all(pass_of(p, used[p] + 1) >= pass_of(q, used[q]) for q in patterns if q != p)  # moving a token here from there gains nothing
+
+
 def test_mixing_spares_texts_that_sources_share(spark):
     """The rows of one text repeat each other: sources take what only they hold first."""
     rows = [(i, "a" if i < 100 else "b", 10, 1000 + i) for i in range(200)] + [(200 + i, "ab"[i % 2], 10, i // 2) for i in range(200)]
     rows += [(400, None, 10, 0), (401, "a", 0, 5000), (402, None, 0, 5000)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, size long, same long")
-    held = mixing.holders(docs, "same", "source").select("doc_id", "source", "size", F.col("mix_members").alias("members"), F.col("mix_rows").alias("copies"))
-    assert {(r.doc_id, tuple(sorted(r.members, key=str)), r.copies) for r in held.where("doc_id in (0, 200, 202, 400)").collect()} == {(0, ("a",), 1), (200, (None, "a", "b"), 3), (202, ("a", "b"), 2), (400, (None, "a", "b"), 3)}
+    held = mixing.holders(docs, "same", "source").select("doc_id", "source", "size", F.col("mix_pattern").alias("pattern"), F.col("mix_rows").alias("copies"))
+    pattern = {r.doc_id: (r.pattern, r.copies) for r in held.collect()}
+    assert [pattern[i][1] for i in (0, 200, 202, 400, 401)] == [1, 3, 2, 3, 2]
+    assert pattern[0][0] == pattern[1][0] and pattern[401] == pattern[402] and pattern[200] == pattern[400] and len({pattern[i][0] for i in (0, 100, 200, 202, 402)}) == 5
     targets = {"a": 1500, "b": 1200, None: 5}
-    mixed = mixing.mix_sources(held, F.col("members"), F.col("size"), [F.col("doc_id")], targets, cut=True, own=F.col("source"), copies=F.col("copies")).collect()
+    mixed = mixing.mix_sources(held, None, F.col("size"), [F.col("doc_id")], targets, cut=True, own=F.col("source"), pattern=F.col("pattern"), copies=F.col("copies")).collect()
     taken = Counter()
     for r in mixed:
         taken[r.source] += r.mix_taken
         assert r.mix_taken <= 2 * r.mix_size
     assert taken == targets
-    few = mixing.mix_sources(held, F.col("members"), F.col("size"), [F.col("doc_id")], targets, cut=True, own=F.col("source"), copies=F.col("copies"), max_patterns=2).collect()
-    again = Counter()
-    for r in few:  # all but the two largest patterns are one; targets and limits are as exact
-        again[r.source] += r.mix_taken
-        assert r.mix_taken <= 2 * r.mix_size
-    assert again == targets and len({tuple(r.mix_pattern) for r in few}) == 3
-    with pytest.raises(ValueError, match="2 membership"):
-        mixing.mix_sources(held, F.col("members"), F.col("size"), [F.col("doc_id")], targets, max_patterns=2)
     # 1000 distinct words in each source's own and 1000 that both hold: one pass over all is 3000, and 2705 are wanted
-    shared = sum(r.mix_taken for r in mixed if len(r.members) > 1)
+    shared = sum(r.mix_taken for r in mixed if r.copies > 1)
     assert 705 <= shared <= 1000
 
 
+@pytest.mark.parametrize("count", [130, 5000])
+def test_mixing_of_many_sources(spark, count):
+    """Thousands of sources and patterns: no bound, targets as exact, and a plan with a row for each source in a pattern."""
+    rng = random.Random(count)
+    rows = [(i, f"s{i % count:05}", rng.randrange(1, 30), i) for i in range(4 * count)]
+    rows += [(4 * count + i, f"s{i:05}", 20, -1) for i in range(count)]  # a text that all hold
+    rows += [(5 * count + i, f"s{(7 * i + j) % count:05}", 11, -2 - i) for i in range(count // 2) for j in range(3)]  # a pattern of three for each
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long, same long")
+    held = mixing.holders(docs, "same", "source").withColumnsRenamed({"mix_pattern": "pattern", "mix_rows": "copies"})
+    sizes = Counter()
+    for r in rows:
+        sizes[r[1]] += r[2]
+    targets = mixing.weighted_targets(sizes)
+    mixed = mixing.mix_sources(held, None, F.col("size"), [F.col("doc_id"), F.col("source")], targets, cut=True, own=F.col("source"), pattern=F.col("pattern"), copies=F.col("copies"))
+    taken = Counter()
+    for r in mixed.collect():
+        taken[r.source] += r.mix_taken
+        assert 0 <= r.mix_taken <= 2 * r.mix_size
+    assert all(abs(taken[s] - targets[s]) <= 1 for s in targets)
+    alone = mixing.mix_sources(docs, None, F.col("size"), [F.col("doc_id")], cut=True, own=F.col("source")).groupBy("source").agg(F.sum("mix_taken")).collect()
+    assert all(abs(r[1] - targets[r[0]]) <= 1 for r in alone) and len(alone) == count
+
+
 
 
 @pytest.mark.parametrize("shards", [1, 5, 40])

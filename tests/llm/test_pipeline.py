@@ -86,3 +86,17 @@ def test_stages_of_empty_tables(spark, docs, tmp_path):  # noqa: F811
     assert {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, few, at).collect()} == {0, 5, 240, 241}
     assert corpus_pipeline.decontamination_stage(spark, few, at).count() == 5
     assert corpus_pipeline.run(spark, at).count() == 0
+
+
+def test_mixing_stage_of_many_sources(spark):
+    rows = [(i, f"text number {i} " * (1 + i % 3), "en", f"source {i % 200}", 1) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")  # noqa: F811
+    sizes = Counter()
+    for r in rows:
+        sizes[r[3]] += len(r[1].split())
+    targets, taken = mixing.weighted_targets(sizes), Counter()
+    out = corpus_pipeline.mixing_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    for r in out.collect():
+        taken[r.source] += len(r.text.split())
+    assert all(abs(taken[s] - targets[s]) <= 9 for s in sizes)
