@@ -11,6 +11,7 @@ from tessella.operators import phrases
 from tessella.plans.pipelines import Options, run_pdfs, run_table
 
 
+# Names, choices and defaults of the options that both command lines share with the tool whose calls they take over.
 def _pdf(p: argparse.ArgumentParser) -> None:
     p.add_argument("--input_path", "--input_pdf", dest="input_path", required=True, help="a PDF file or a directory of them")
     p.add_argument("--out_dir", required=True)
@@ -24,7 +25,7 @@ def _pdf(p: argparse.ArgumentParser) -> None:
     p.add_argument("--text_table_min_block", type=int, default=3)
     p.add_argument("--columns", type=int, default=1)
     p.add_argument("--punkt", action="store_true", help="sentences by the Punkt model where it can be had")
-    p.add_argument("--per_document", action="store_true", help="a directory for each document")
+    p.add_argument("--part_files", dest="per_document", action="store_false", help="directories of part files in place of <stem>.txt and <stem>.jsonl")
 
 
 def _table(p: argparse.ArgumentParser) -> None:
@@ -50,15 +51,15 @@ def main(args: Sequence[str] | None = None) -> None:
     if a.pop("entry") == "pdf":
         path, out = a.pop("input_path"), a.pop("out_dir")
         run_pdfs(spark, path, out, Options(**a))
-        print("Done.")
+        print(f"pages and segments are in {out}")
         return
     out = a["output_jsonl"]
     columns = [c.strip() for c in a["phrase_cols"].split(",") if c.strip()]
     csv = (out[: -len(".jsonl")] if out.endswith(".jsonl") else out) + ".csv" if a["make_csv"] else None
     rendered = run_table(spark, a["input_file"], columns, out, a["sheet"], a["id_col"], a["summary_col"], a["expand_map"], a["protect_mwe"], csv, a["tokenizer"])
     found = phrases.totals(rendered).first()
-    print(f"Wrote {found.rows} records to {out}" + (f" and {csv}" if csv else ""))
-    print(f"Total tokens (template view): {found.tokens_template:,}")
+    print(f"{found.rows} records in {out}" + (f", also as {csv}" if csv else ""))
+    print(f"{found.tokens_template} tokens in all templates")
 
 
 if __name__ == "__main__":

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tessella.operators import layout, lines, phrases
-from tessella.sources import pdf, sinks, tabular
+from tessella.sources import named, pdf, sinks, tabular
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,7 @@ class Options:
     text_table_min_block: int = 3
     columns: int = 1
     punkt: bool = False  #: sentences by the Punkt model where it can be had
-    per_document: bool = False  #: outputs in a directory for each document
+    per_document: bool = False  #: outputs as <stem>.txt and <stem>.jsonl in the output folder
 
 
 def filtered_lines(rows: DataFrame, options: Options, keys: Sequence[str] = ("doc", "page")) -> DataFrame:
@@ -52,15 +52,18 @@ def process_pdfs(spark: SparkSession, path: str, options: Options = Options()) -
 
 
 def run_pdfs(spark: SparkSession, path: str, out_dir: str, options: Options = Options()) -> DataFrame:
-    """Writes <out_dir>/pages, <out_dir>/txt and <out_dir>/jsonl, keyed by full path so that equal names don't meet; returns the pages.
+    """Writes <out_dir>/pages, and <out_dir>/txt and <out_dir>/jsonl keyed by full path, or <stem>.txt and <stem>.jsonl for each document; returns the pages.
 
-    Files are parsed once, for the pages, which the rest is made from.
+    Files are parsed once, for the pages, which the rest is made from.  Named files of an earlier run are replaced by name, others stay.
     """
     pages = process_pdfs(spark, path, options)
     pages.write.mode("overwrite").parquet(f"{out_dir}/pages")
     pages = spark.read.schema(pages.schema).parquet(f"{out_dir}/pages")
-    sinks.write_text(lines.narrative(pages), f"{out_dir}/txt", options.per_document)
-    sinks.write_jsonl(lines.segment_records(pages), f"{out_dir}/jsonl", by="doc" if options.per_document else None)
+    if options.per_document:
+        named.write_documents(pages, out_dir)
+    else:
+        sinks.write_text(lines.narrative(pages), f"{out_dir}/txt")
+        sinks.write_jsonl(lines.segment_records(pages), f"{out_dir}/jsonl")
     return pages
 
 

@@ -1,7 +1,4 @@
-"""Text, JSONL and CSV outputs; directories of part files, written anew each time.
-
-A directory for each document suits few documents only: it is for those who ask for it.
-"""
+"""Text, JSONL and CSV outputs as directories of part files, written anew each time; ``named`` writes a file for each document."""
 
 from __future__ import annotations
 
@@ -9,18 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_text(narratives: DataFrame, path: str, per_document: bool = False) -> None:
-    """The texts (doc, text) as JSON lines, or plain in one directory for each document."""
-    if per_document:
-        narratives.select("doc", F.col("text").alias("value")).repartition("doc").write.mode("overwrite").partitionBy("doc").text(path)
-    else:
-        narratives.select("doc", "text").write.mode("overwrite").json(path)
+def write_text(narratives: DataFrame, path: str) -> None:
+    """The texts (doc, text) as JSON lines."""
+    narratives.select("doc", "text").write.mode("overwrite").json(path)
 
 
-def write_jsonl(records: DataFrame, path: str, by: str | None = None) -> None:
+def write_jsonl(records: DataFrame, path: str) -> None:
     """A JSON object a row; null fields are kept and other scripts aren't escaped."""
-    writer = records.write.mode("overwrite").option("ignoreNullFields", "false")
-    (writer.partitionBy(by) if by else writer).json(path)
+    records.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def list_repr(c: Column) -> Column:

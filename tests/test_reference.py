@@ -160,15 +160,16 @@ def test_command_lines(spark, tmp_path, capsys):
 
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a[1].pdf").write_bytes(make_pdf(b"BT /F1 12 Tf 72 700 Td (Table of Contents) Tj 0 -20 Td (One. Two.) Tj ET"))
-    cli.main(["pdf", "--input_pdf", f"file:{tmp_path}/in", "--out_dir", str(tmp_path / "o"), "--drop_toc"])
+    cli.main(["pdf", "--input_pdf", f"file:{tmp_path}/in", "--out_dir", str(tmp_path / "o"), "--drop_toc", "--part_files"])
     assert [r.text for r in spark.read.json(str(tmp_path / "o/jsonl")).orderBy("segment_index").collect()] == ["One.", "Two."]
     assert [r.text for r in spark.read.json(str(tmp_path / "o/txt")).collect()] == ["One. Two."]
-    cli.main(["pdf", "--input_path", str(tmp_path / "in"), "--out_dir", str(tmp_path / "p"), "--per_document"])
-    assert len([d for d in os.listdir(tmp_path / "p/txt") if d.startswith("doc=")]) == 1
+    cli.main(["pdf", "--input_path", str(tmp_path / "in"), "--out_dir", str(tmp_path / "p")])
+    assert sorted(os.listdir(tmp_path / "p")) == ["a[1].jsonl", "a[1].txt", "pages"]
+    assert (tmp_path / "p/a[1].txt").read_text("utf-8") == "Table of Contents One. Two.\n"
     (tmp_path / "t.csv").write_text("RiskID,Summary,K\n1,Sum.,a-b; c\n2,,\n", "utf-8")
     cli.main(["table", "--input_file", str(tmp_path / "t.csv"), "--phrase_cols", "K, ", "--output_jsonl", str(tmp_path / "r.jsonl"), "--make_csv"])
     assert spark.read.json(str(tmp_path / "r.jsonl")).count() == 2 and spark.read.csv(str(tmp_path / "r.csv"), header=True, lineSep="\r\n").count() == 2
-    assert "Wrote 2 records" in capsys.readouterr().out
+    assert "2 records in " in capsys.readouterr().out
 
 
 def test_pdf_pipeline_and_stream(spark, tmp_path):
