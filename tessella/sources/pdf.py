@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.sources import files
+from tessella.sources import files, named
 
 SCHEMA = "doc string, page int, pages int, width double, height double, block_no int, x0 double, y0 double, x1 double, y1 double, text string"
 
@@ -339,16 +339,63 @@ def parse_binary(rows: DataFrame) -> DataFrame:
     return rows.select("path", "content").mapInArrow(run, SCHEMA)
 
 
-def read_pdf(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks of a PDF file or of the PDF files in a directory."""
-    found = collect_pdf_paths(path, spark)
-    hidden = [f for f in found if files.name(f)[0] in "._"]  # file listings skip these
-    plain = [files.literal(f) for f in found if f not in hidden]
-    rows = spark.read.format("binaryFile").load(plain).select("path", "content") if plain else None
+def find_pdfs(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content) of a PDF file or of the PDF files in a directory, found by the file source.
+
+    Errors are those of ``collect_pdf_paths``, from a look at the first file alone; but for those with names that begin with
+    ``.`` or ``_``, which file sources skip, no path comes to the driver.
+    """
+    source = spark.read.format("binaryFile")
+    if not files.exists(spark, path) or files.is_file(spark, path):
+        (only,) = collect_pdf_paths(path, spark)
+        hidden = [only] if files.name(only)[0] in "._" else []
+        rows = None if hidden else source.load(files.literal(only)).select("path", "content")
+    else:
+        if files.first_named(spark, path, ".pdf") is None:
+            raise ValueError(f"no PDF files in {path}")
+        hidden = files.hidden_in(spark, path, ".pdf")
+        rows = source.option("pathGlobFilter", "*.pdf").load(files.literal(path)).select("path", "content")
     if hidden:
-        more = spark.createDataFrame([(f, bytearray(files.read_bytes(spark, f))) for f in hidden], "path string, content binary")
+        more = spark.createDataFrame([(f,) for f in hidden], "path string").mapInArrow(_opened, "path string, content binary")
         rows = more if rows is None else rows.unionByName(more)
-    return parse_binary(rows)
+    return rows
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contents of files that the file source doesn't list, in the task."""
+    for b in batches:
+        for path in b.column("path").to_pylist():
+            store, at = named.store(path)
+            with store.open_input_file(at) as f:
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([f.readall()], pa.binary())], names=["path", "content"])
+
+
+def read_pdf(spark: SparkSession, path: str) -> DataFrame:
+    """Blocks of a PDF file or of the PDF files in a directory."""
+    return parse_binary(find_pdfs(spark, path))
+
+
+PAGES = "doc string, page int, pages int, width double, height double, blocks array<struct<block_no:int,x0:double,y0:double,x1:double,y1:double,text:string>>"
+
+
+def parse_pages(rows: DataFrame) -> DataFrame:
+    """``PAGES`` of files (path, content): a row holds all blocks of a page, none if it has no text; batch or stream."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["block_no", "x0", "y0", "x1", "y1", "text"]
+        kinds = [pa.int32(), *[pa.float64()] * 4, pa.string()]
+        block = pa.struct(list(zip(names, kinds, strict=True)))
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                pages: dict[int, tuple] = {}
+                for page, count, width, height, *rest in blocks_of(content.as_py() or b""):
+                    kept = pages.setdefault(page, (count, width, height, []))[3]
+                    if rest[0] is not None:
+                        kept.append(dict(zip(names, rest, strict=True)))
+                columns = [[path] * len(pages), list(pages), *([p[k] for p in pages.values()] for k in range(4))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(block)), strict=True)], names=["doc", "page", "pages", "width", "height", "blocks"])
+
+    return rows.select("path", "content").mapInArrow(run, PAGES)
 
 
 def page_sizes(blocks: DataFrame) -> DataFrame:

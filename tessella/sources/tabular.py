@@ -11,11 +11,18 @@ from xml.etree import ElementTree
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.sources import files
+from tessella.sources import files, quoted
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
+    """Files of one table, in ranges that are read in parallel whatever line breaks their quoted cells hold.
+
+    Only the names of the columns are read by the multi-line reader, from the first record.
+    """
+    names = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"').columns
+    if not names:
+        return spark.createDataFrame([], "value string").drop("value")
+    rows = quoted.read(spark, path, names)
     return rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
 
 
