@@ -82,6 +82,8 @@ def clean_rows(rows: DataFrame, lines: Column, options, keys: Sequence[str] = ("
 
     Pages without a line that is kept have no row, as in the pipeline over lines.
     """
-    kept = rows.select(*keys, filtered(lines, options).alias("lines")).where(F.size("lines") > 0)
+    # an outer explode of one element or none keeps the optimiser from computing lines once for a filter and again for each use
+    one = bound(filtered(lines, options), lambda x: F.when(F.size(x) > 0, F.array(x)))
+    kept = rows.select(*keys, F.explode_outer(one).alias("lines")).where("lines is not null")
     cleaned = kept.select(*keys, clean_text(F.array_join("lines", "\n")).alias("cleaned"))
     return cleaned.withColumn("segments", segment_text(F.col("cleaned"), options.segment_by, options.max_len, options.punkt))

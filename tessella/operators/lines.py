@@ -92,8 +92,11 @@ def clean_pages(pages: DataFrame, keys: Sequence[str] = ("doc", "page"), mode: s
 
 
 def segment_records(pages: DataFrame, keys: Sequence[str] = ("doc", "page")) -> DataFrame:
-    """(*keys, segment_index, text): a row for each segment."""
-    return pages.select(*keys, F.posexplode("segments").alias("segment_index", "text"))
+    """(*keys, segment_index, text): a row for each segment.
+
+    The outer form is used as for the inner one the optimiser adds a filter that computes all segments once more.
+    """
+    return pages.select(*keys, F.posexplode_outer("segments").alias("segment_index", "text")).where("segment_index is not null")
 
 
 def narrative(pages: DataFrame, doc: str = "doc", page: str = "page") -> DataFrame:

@@ -5,13 +5,16 @@ The documents as they are trigger few line operators, so queries on lines append
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import text as tx
-from tessella.operators import layout, lines, phrases
+from tessella.operators import folds, layout, lines, phrases
 from tessella.plans.pipelines import Options, filtered_lines, process_blocks
-from tessella.sources import pdf
+from tessella.sources import files, named, pdf, tabular
+from tessella.streaming import assembly
 
 NOISE_LINES = [
     "",
@@ -45,9 +48,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_noise(docs: DataFrame) -> DataFrame:
     noise = F.element_at(F.array(*map(F.lit, NOISE_LINES)), (F.pmod("doc_id", F.lit(16)) + 1).cast("int"))
-    return documents(spark, sf_dir).withColumn("text", F.concat("text", F.lit("\n"), noise))
+    return docs.withColumn("text", F.concat("text", F.lit("\n"), noise))
+
+
+def noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_noise(documents(spark, sf_dir))
 
 
 def _noisy_lines(spark, sf_dir):
@@ -191,8 +198,78 @@ def pdf_pipeline(spark, sf_dir):
     return lines.segment_records(pages).select(tx.stem(F.col("doc")).alias("doc"), "page", "segment_index", "text")
 
 
+def _folder(spark, tag):
+    return f"{files.shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def folded_pipeline(spark, sf_dir):
+    """``full_pipeline`` within each row: no window, no shuffle."""
+    pages = folds.clean_rows(noisy(spark, sf_dir), folds.page_lines(F.col("text")), OPTIONS, ("doc_id",))
+    return lines.segment_records(pages, keys=("doc_id",)).withColumnRenamed("text", "segment")
+
+
+def streamed_pipeline(spark, sf_dir):
+    """The same as a stream of the table's files in append mode, written and read again."""
+    out = _folder(spark, "streamed")
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    docs = spark.readStream.schema(schema).parquet(f"{sf_dir}/[d]ocuments.parquet").select("doc_id", "text")  # a pattern, as streams take no single file
+    pages = folds.clean_rows(with_noise(docs), folds.page_lines(F.col("text")), OPTIONS, ("doc_id",))
+    records = lines.segment_records(pages, keys=("doc_id",)).withColumnRenamed("text", "segment")
+    records.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(records.schema).parquet(out)
+
+
+def assembled_documents(spark, sf_dir):
+    """Conversations as documents whose turns are pages, dealt over two batches of a stream, each put together once by its state."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    sizes = turns.groupBy("conv_id").agg(F.count("*").cast("int").alias("pages"))
+    pages = turns.join(sizes, "conv_id").select(F.col("conv_id").cast("string").alias("doc"), F.col("turn").cast("int").alias("page"), "pages", tx.clean_text(F.col("text")).alias("cleaned"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("at"))
+    source, out = _folder(spark, "turns"), _folder(spark, "assembled")
+    for half in (0, 1):  # even turns first
+        pages.where(F.pmod("page", F.lit(2)) == half).write.parquet(f"{source}/half={half}")
+    schema = pages.schema
+    for half in (0, 1):
+        stream = spark.readStream.schema(schema).option("basePath", source).parquet(f"{source}/half=[0-{half}]")
+        found = assembly.assemble(stream.select(*schema.names))
+        found.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(assembly.OUTPUT).parquet(out).select(F.col("doc").cast("long").alias("conv_id"), "status", "pages", "missing", "text")
+
+
+def quoted_csv(spark, sf_dir):
+    """Whole documents through quoted CSV and back, line breaks, quotes and all, each file read in ranges."""
+    out = _folder(spark, "quoted")
+    docs = documents(spark, sf_dir).select("doc_id", F.concat_ws("", F.lit('"'), F.col("text"), F.lit('",')).alias("text"))
+    docs.write.csv(out, header=True, quote='"', escape='"')
+    return tabular.read_csv(spark, out).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+
+
+def named_documents(spark, sf_dir):
+    """A text and a JSONL file, by name, for each conversation; both read again."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    cleaned = turns.select(F.concat(F.lit("/in/conv "), F.col("conv_id").cast("string"), F.lit(".pdf")).alias("doc"), F.col("turn").cast("int").alias("page"), tx.clean_text(F.col("text")).alias("cleaned"))
+    out = _folder(spark, "named")
+    named.write_documents(cleaned.withColumn("segments", tx.segment_text(F.col("cleaned"))), out)
+    name = F.regexp_extract(F.url_decode(F.col("_metadata.file_name")), r"\A(.*)\.[a-z]+\z", 1)
+    texts = spark.read.text(out, wholetext=True, pathGlobFilter="*.txt").select(name.alias("file"), F.lit("txt").alias("kind"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("segment_index"), F.col("value").alias("text"))
+    records = spark.read.schema("page int, segment_index int, text string").option("pathGlobFilter", "*.jsonl").json(out)
+    return texts.unionByName(records.select(name.alias("file"), F.lit("jsonl").alias("kind"), "page", "segment_index", "text"))
+
+
+def column_reorder_rounded(spark, sf_dir):
+    """Reading order by coordinates that are correctly rounded to one decimal."""
+    return layout.reorder_two_columns(_blocks(spark, sf_dir), exact=True).select("doc", "block_no", "reading_no")
+
+
+def expanded_phrases(spark, sf_dir):
+    """Phrases expanded by a dictionary that is a table: all types of parts."""
+    kinds = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_type").alias("phrase")).distinct()
+    dictionary = kinds.select("phrase", F.array(F.concat(F.lit("Kind-of "), "phrase"), F.lower("phrase"), F.lit("kind")).alias("expansions"))
+    return phrases.render(_records(spark, sf_dir), ["L1", "K", "D"], expand=dictionary).select("riskid", "text_phrases", F.array_join("fields_used", ",").alias("used"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (pdf_blocks, pdf_pipeline, doc_lines, drop_numeric_lines, strip_toc_footer, mask_text_tables, clean_text, sentence_segments, paragraph_segments, chunk_long, full_pipeline, doc_narrative, token_counts, column_reorder, find_captions, phrases_normalised, phrases_mwe, fields_used, record_template, render_totals)}
+    base = (pdf_blocks, pdf_pipeline, doc_lines, drop_numeric_lines, strip_toc_footer, mask_text_tables, clean_text, sentence_segments, paragraph_segments, chunk_long, full_pipeline, doc_narrative, token_counts, column_reorder, find_captions, phrases_normalised, phrases_mwe, fields_used, record_template, render_totals)
+    return {f.__name__: f for f in (*base, folded_pipeline, streamed_pipeline, assembled_documents, quoted_csv, named_documents, column_reorder_rounded, expanded_phrases)}
 
 
 # The same in SQL for an engine without lookaround: boundaries are captured and put back, or marked with chr(1).
@@ -295,13 +372,21 @@ def _norm(c: str) -> str:
 _CELLS = f"SELECT k, riskid, f, name, c FROM (SELECT k, riskid, unnest([1, 2, 3]) AS f, unnest(['L1', 'K', 'D']) AS name, unnest([l1, kk, d]) AS c FROM ({_RECORDS})) WHERE {_strip('c')} <> ''"
 _PARTS = f"SELECT *, CASE WHEN len(q) = 0 THEN [c] ELSE q END AS parts FROM (SELECT *, list_filter(string_split_regex(c, {_q("[;,/|]")}), lambda s: {_strip('s')} <> '') AS q FROM ({_CELLS}))"
 _EACH = f"SELECT k, riskid, f, name, i, {_norm('parts[i]')} AS p FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM ({_PARTS}))"
-_GROWN = "SELECT k, riskid, f, name, i, unnest(range(1, len(g) + 1)) AS j, unnest(g) AS p FROM (SELECT *, CASE p " + " ".join(f"WHEN {_q(x)} THEN [p, {', '.join(map(_q, v))}]" for x, v in EXPAND.items()) + f" ELSE [p] END AS g FROM ({_EACH}))"
-_FORMS = f"SELECT k, riskid, f, name, i, j, unnest([1, 2]) AS v, unnest([p, CASE WHEN contains(p, '-') THEN replace(p, '-', ' ') END]) AS p FROM ({_GROWN})"
-_FOUND = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, lower(p) ORDER BY f, i, j, v) AS r FROM (SELECT k, riskid, f, name, i, j, v, {_norm('p')} AS p FROM ({_FORMS}) WHERE p IS NOT NULL) WHERE p <> '') WHERE r = 1"
+_BY_MAP = "SELECT *, CASE p " + " ".join(f"WHEN {_q(x)} THEN [p, {', '.join(map(_q, v))}]" for x, v in EXPAND.items()) + f" ELSE [p] END AS g FROM ({_EACH})"
+_BY_TABLE = f"SELECT e.*, CASE WHEN t.phrase IS NULL THEN [p] ELSE [p, 'Kind-of ' || p, lower(p), 'kind'] END AS g FROM ({_EACH}) e LEFT JOIN (SELECT DISTINCT p_type AS phrase FROM part) t ON e.p = t.phrase"
+
+
+def _found(expanded: str) -> str:
+    grown = f"SELECT k, riskid, f, name, i, unnest(range(1, len(g) + 1)) AS j, unnest(g) AS p FROM ({expanded})"
+    forms = f"SELECT k, riskid, f, name, i, j, unnest([1, 2]) AS v, unnest([p, CASE WHEN contains(p, '-') THEN replace(p, '-', ' ') END]) AS p FROM ({grown})"
+    return f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, lower(p) ORDER BY f, i, j, v) AS r FROM (SELECT k, riskid, f, name, i, j, v, {_norm('p')} AS p FROM ({forms}) WHERE p IS NOT NULL) WHERE p <> '') WHERE r = 1"
+
+
+_FOUND = _found(_BY_MAP)
 
 
-def _phrases(p: str) -> str:
-    return f"SELECT r.riskid, coalesce(t.s, '') AS s FROM ({_RECORDS}) r LEFT JOIN (SELECT k, string_agg({p}, ' | ' ORDER BY length(p) DESC, lower(p)) AS s FROM ({_FOUND}) GROUP BY k) t ON r.k = t.k"
+def _phrases(p: str, found: str = _FOUND) -> str:
+    return f"SELECT r.k, r.riskid, coalesce(t.s, '') AS s FROM ({_RECORDS}) r LEFT JOIN (SELECT k, string_agg({p}, ' | ' ORDER BY length(p) DESC, lower(p)) AS s FROM ({found}) GROUP BY k) t ON r.k = t.k"
 
 
 _FIELDS = "concat_ws('; ', " + ", ".join(f"CASE WHEN {_strip(c)} <> '' THEN '{n}: ' || {_norm(c)} END" for n, c in (("L1", "l1"), ("K", "kk"), ("D", "d"))) + ")"
@@ -315,6 +400,12 @@ _PDF_PAGES = f"SELECT doc_id, page, string_agg(t, chr(10) ORDER BY i) AS t FROM
 def oracle_sql() -> dict[str, str]:
     side = "CASE WHEN c > a[CAST(len(a) // 2 + 1 AS BIGINT)] THEN 1 ELSE 0 END"
     blocks = "SELECT l_orderkey AS doc, l_linenumber AS block_no, l_quantity * 10 AS x0, (l_quantity * 10 + (l_quantity * 10 + l_tax * 1000)) / 2 AS c, l_discount * 7000 AS y0 FROM lineitem"
+    full = _exploded(f"SELECT doc_id, {_sentences('t')} AS z FROM (SELECT doc_id, {_clean('text')} AS t FROM ({_FULL}))", _chunks("z", 512 * 6))
+    rounded = "CAST(format('{:.1f}', CAST(%s AS DOUBLE)) AS DOUBLE)"
+    by_table = _found(_BY_TABLE)
+    turns = f"SELECT conv_id, turn, {_clean('text')} AS t FROM (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations)"
+    joined = f"SELECT conv_id, count(*) AS n, string_agg(CASE WHEN t <> '' THEN t END, chr(10) ORDER BY turn) AS s FROM ({turns}) GROUP BY conv_id"
+    turn_segments = _exploded(f"SELECT conv_id, turn, {_chunks('z', 512 * 6)} AS z FROM (SELECT conv_id, turn, {_sentences('t')} AS z FROM ({turns}))", "z", "conv_id, turn")
     mwe = _re("p", rf"{_WS}+", "_")
     pdf_text = f"SELECT doc_id, page, {_sentences('c')} AS z FROM (SELECT doc_id, page, {_clean('t')} AS c FROM ({_PDF_PAGES}))"
     size = "CAST(page AS INTEGER) AS page, CAST(pages AS INTEGER) AS pages, CAST(600 AS DOUBLE) AS width, CAST(1000 AS DOUBLE) AS height"
@@ -329,7 +420,7 @@ def oracle_sql() -> dict[str, str]:
         "sentence_segments": _exploded(f"SELECT doc_id, {_clean('text')} AS t FROM ({_NOISY})", _sentences("t")),
         "paragraph_segments": _exploded(_NOISY, _pieces("string_split(" + _re(_re("text", r"\n{2,}", "chr(1)"), r"\.\n", "'.' || chr(1)") + ", chr(1))")),
         "chunk_long": _exploded(f"SELECT doc_id, {_sentences('t')} AS z FROM (SELECT doc_id, {_clean('text')} AS t FROM ({_NOISY}))", _chunks("z", CHUNK_TOKENS * 6)),
-        "full_pipeline": _exploded(f"SELECT doc_id, {_sentences('t')} AS z FROM (SELECT doc_id, {_clean('text')} AS t FROM ({_FULL}))", _chunks("z", 512 * 6)),
+        "full_pipeline": full,
         "doc_narrative": f"SELECT doc_id, string_agg(t, chr(10) ORDER BY page) AS text FROM (SELECT doc_id, page, {_clean('text')} AS t FROM ({_NARRATIVE})) WHERE t <> '' GROUP BY doc_id",
         "token_counts": f"SELECT 'documents' AS origin, doc_id AS id, CAST(0 AS BIGINT) AS part, {_tokens('text')} AS tokens FROM documents UNION ALL SELECT 'conversations', conv_id, turn, {_tokens('text')} FROM conversations",
         "column_reorder": f"SELECT doc, block_no, CAST(row_number() OVER (PARTITION BY doc ORDER BY {side}, floor(y0 * 10 + CAST(0.5 AS DOUBLE)), floor(x0 * 10 + CAST(0.5 AS DOUBLE)), block_no) - 1 AS INTEGER) AS reading_no FROM (SELECT *, list_sort(list(c) OVER (PARTITION BY doc)) AS a FROM ({blocks}))",
@@ -339,4 +430,11 @@ def oracle_sql() -> dict[str, str]:
         "fields_used": f"SELECT r.riskid, coalesce(t.s, '') AS used FROM ({_RECORDS}) r LEFT JOIN (SELECT k, string_agg(name, ',' ORDER BY f, i, j, v) AS s FROM ({_FOUND}) GROUP BY k) t ON r.k = t.k",
         "record_template": f"SELECT riskid, text_template, summary, {_tokens('text_template')} AS tokens_template FROM ({_TEMPLATE})",
         "render_totals": f"SELECT count(*) AS rows, CAST(coalesce(sum({_tokens('text_template')}), 0) AS BIGINT) AS tokens_template FROM ({_TEMPLATE})",
+        "streamed_pipeline": full,
+        "folded_pipeline": full,
+        "assembled_documents": f"SELECT conv_id, 'complete' AS status, CAST(n AS INTEGER) AS pages, 0 AS missing, coalesce(s, '') AS text FROM ({joined})",
+        "quoted_csv": "SELECT doc_id, chr(34) || coalesce(text, '') || chr(34) || ',' AS text FROM documents",
+        "named_documents": f"SELECT 'conv ' || conv_id AS file, 'txt' AS kind, CAST(NULL AS INTEGER) AS page, CAST(NULL AS INTEGER) AS segment_index, coalesce(s || chr(10), '') AS text FROM ({joined}) UNION ALL SELECT 'conv ' || conv_id, 'jsonl', CAST(turn AS INTEGER), segment_index, segment FROM ({turn_segments})",
+        "column_reorder_rounded": f"SELECT doc, block_no, CAST(row_number() OVER (PARTITION BY doc ORDER BY {side}, {rounded % 'y0'}, {rounded % 'x0'}, block_no) - 1 AS INTEGER) AS reading_no FROM (SELECT *, list_sort(list(c) OVER (PARTITION BY doc)) AS a FROM ({blocks}))",
+        "expanded_phrases": f"SELECT p.riskid, p.s AS text_phrases, coalesce(t.u, '') AS used FROM ({_phrases('p', by_table)}) p LEFT JOIN (SELECT k, string_agg(name, ',' ORDER BY f, i, j, v) AS u FROM ({by_table}) GROUP BY k) t ON p.k = t.k",
     }
