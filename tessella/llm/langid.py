@@ -4,10 +4,12 @@ Each language has a context tree of bytes up to ``order`` deep with frozen count
 cost of a byte is its exact code length: at the deepest context known to the language
 the byte has probability count / (total + distinct); otherwise the escape distinct /
 (total + distinct) is paid and the next shorter context is asked, down to a uniform
-choice of 256.  (Counts are frozen, so nothing is excluded and nothing adapts.)  The
-sums for all trees are laid out as one table of costs by context node and byte, which
-is shipped to the executors.  All contexts of the training rows are kept; these are bounded
-in rows and bytes, and a table of more than ``table_bytes`` is an error, not a smaller tree.
+choice of 256.  (Counts are frozen, so nothing is excluded and nothing adapts.)  Costs under
+contexts of up to one byte are a dense table; each longer context is stored by what it changes: for a context and byte that some
+language has seen, the languages that know the context, and by how much their costs differ from those at the context
+one byte shorter; for any other byte after it, their escapes.  So the tree takes room for what its languages know, not for all
+languages.  It is shipped to the executors.  All contexts of the training rows are kept; these are bounded
+in rows and bytes, and a tree of more than ``table_bytes`` is an error, not a smaller tree.
 """
 
 from __future__ import annotations
@@ -24,12 +26,26 @@ from .common import fold, private, sampled, ship, table
 from .kernel import slices, string_buffer
 
 
+@dataclass(frozen=True)
+class Level:
+    """Contexts of one length: a row for each pair of context and byte that is known, then one for each context."""
+
+    pairs: np.ndarray  #: sorted codes of context and byte
+    nodes: np.ndarray  #: sorted codes of contexts
+    begin: np.ndarray  #: where the entries of each row begin
+    language: np.ndarray
+    change: np.ndarray  #: float32, in nats
+
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.pairs, self.nodes, self.begin, self.language, self.change))
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
     symbol: np.ndarray  #: 256 bytes to symbol numbers; 0 is the start of a text, the last any byte never seen
-    node: np.ndarray  #: symbol numbers of the three bytes before, as one index, to a row of cost
-    cost: np.ndarray  #: float32 [row, symbol, language], in nats
+    dense: np.ndarray  #: float32 [symbol before, symbol, language], in nats
+    levels: list[Level]  #: contexts of two symbols, of three, ...
 
 
 def _counts(symbols: np.ndarray, k: int, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -40,6 +56,14 @@ def _counts(symbols: np.ndarray, k: int, order: int) -> tuple[np.ndarray, np.nda
     return np.unique(code[symbols[3:] > 0], return_counts=True)
 
 
+def _costs(code: np.ndarray, times: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cost of each context and next, contexts, escape of each) of one language."""
+    contexts, first = np.unique(code // k, return_index=True)
+    distinct = np.diff(np.append(first, len(code)))
+    total = np.add.reduceat(times, first) if len(first) else np.zeros(0, np.int64)
+    return np.log(np.repeat(total + distinct, distinct) / times), contexts, np.log((total + distinct) / distinct)
+
+
 def _stream(buf: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     """Symbols of all texts, each led by three start symbols."""
     n = len(offsets) - 1
@@ -50,60 +74,105 @@ def _stream(buf: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> np.ndar
 
 
 def train(texts: dict[str, pa.Array], order: int = 3, table_bytes: int = 512 << 20) -> Model:
-    """texts: per language.  Every context of up to three bytes is kept; ValueError if their table passes ``table_bytes``."""
+    """texts: per language.  Every context of up to ``order`` bytes, three at most, is kept; ValueError if the tree passes ``table_bytes``."""
     languages = sorted(texts)
     buffers = {x: string_buffer(texts[x]) for x in languages}
     seen = np.zeros(256, bool)
     for buf, _ in buffers.values():
         seen |= np.bincount(buf, minlength=256) > 0
     k = int(seen.sum()) + 2
-    symbol = np.full(256, k - 1, np.uint8)
+    symbol = np.full(256, k - 1, np.uint8 if k <= 256 else np.uint16)
     symbol[seen] = np.arange(1, k - 1)
     streams = {x: _stream(*buffers[x], symbol) for x in languages}
-    cost = np.zeros((0, k, len(languages)), np.float32)
-    parent = np.zeros(k**3, np.int32)  # rows are added order by order, so this ends as the deepest known context
-    index = np.arange(k**3, dtype=np.int32)
-    for o in range(order + 1):
-        per = {x: _counts(streams[x], k, o) for x in languages}
-        contexts = np.unique(np.concatenate([c // k for c, _ in per.values()] or [np.zeros(0, np.int64)]))
-        if not o:
-            contexts = np.zeros(1, np.int64)
-        if (size := (len(cost) + len(contexts)) * k * len(languages) * 4) > table_bytes:
-            raise ValueError(f"contexts of {len(languages)} languages need {size} bytes; learn from fewer bytes, or raise table_bytes")
-        # what the shorter context says about these contexts, language by language
-        base = cost[parent[contexts % k**3]] if o else np.full((1, k, len(languages)), np.log(256), np.float32)
-        rows = base.copy()
+    size = 4 * k * k * len(languages)
+
+    def check(more: int) -> None:
+        if size + more > table_bytes:
+            raise ValueError(f"contexts of {len(languages)} languages need {size + more} bytes; learn from fewer bytes, or raise table_bytes")
+
+    check(0)
+    dense = np.full((k, k, len(languages)), np.log(256), np.float32)
+    known = {}  # of each language, codes and costs at the contexts of the length before
+    for j, x in enumerate(languages):
+        for o in range(min(order, 1) + 1):
+            code, times = _counts(streams[x], k, o)
+            cost, contexts, escape = _costs(code, times, k)
+            if o:
+                dense[contexts, :, j] += escape.astype(np.float32)[:, None]
+                dense[code // k, code % k, j] = cost
+            elif len(code):
+                dense[:, :, j] += np.float32(escape[0])
+                dense[:, code, j] = cost
+            known[x] = code, cost
+    levels = []
+    for o in range(2, order + 1):
+        now = {}
+        for x in languages:
+            code, times = _counts(streams[x], k, o)
+            cost, contexts, escape = _costs(code, times, k)
+            before, earlier = known[x]
+            shorter = code % k**o  # the context without its oldest byte, which the language knows with that byte after it
+            now[x] = code, cost - (earlier[np.searchsorted(before, shorter)] if len(code) else 0), contexts, escape
+            known[x] = code, cost
+        empty = np.zeros(0, np.int64)
+        pairs = np.unique(np.concatenate([v[0] for v in now.values()] or [empty]))
+        nodes = np.unique(np.concatenate([v[2] for v in now.values()] or [empty]))
+        owner = np.searchsorted(nodes, pairs // k)
+        rows, langs, changes = [], [], []
         for j, x in enumerate(languages):
-            code, times = per[x]
-            at = np.searchsorted(contexts, code // k)
-            next_ = code % k
-            total, distinct = np.bincount(at, times, len(contexts)), np.bincount(at, minlength=len(contexts))
-            live = total > 0
-            rows[live, :, j] += np.log((total[live] + distinct[live]) / distinct[live]).astype(np.float32)[:, None]
-            rows[at, next_, j] = np.log((total[at] + distinct[at]) / times)
-        number = np.full(k**o, -1, np.int32)
-        number[contexts] = len(cost) + np.arange(len(contexts), dtype=np.int32)
-        cost = np.concatenate((cost, rows))
-        found = number[index % k**o]
-        parent = np.where(found >= 0, found, parent)
-    return Model(languages, symbol, parent, cost)
-
-
-def code_lengths(model: Model, buf: np.ndarray, offsets: np.ndarray, most: int = 1 << 18) -> np.ndarray:
+            code, change, contexts, escape = now[x]
+            at = np.searchsorted(nodes, contexts)
+            of_node = np.full(len(nodes), np.nan)
+            of_node[at] = escape
+            of_pair = of_node[owner]
+            of_pair[np.searchsorted(pairs, code)] = change
+            every = np.concatenate((of_pair, of_node))
+            some = np.flatnonzero(~np.isnan(every))
+            rows.append(some), langs.append(np.full(len(some), j, np.uint16)), changes.append(every[some].astype(np.float32))
+            check(sum(len(r) for r in rows) * 6)
+        row = np.concatenate(rows) if rows else empty
+        sort = np.argsort(row, kind="stable")
+        begin = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.bincount(row, minlength=len(pairs) + len(nodes)))))
+        levels.append(Level(pairs, nodes, begin, np.concatenate(langs)[sort] if langs else empty, np.concatenate(changes)[sort] if changes else empty))
+        size += levels[-1].nbytes()
+        check(0)
+    return Model(languages, symbol, dense, levels)
+
+
+def code_lengths(model: Model, buf: np.ndarray, offsets: np.ndarray, most: int | None = None) -> np.ndarray:
     """Nats for each document under each language, summed over its whole text."""
-    k, n = model.cost.shape[1], len(offsets) - 1
-    out = np.zeros((n, len(model.languages)))
+    k, n, width = model.dense.shape[0], len(offsets) - 1, len(model.languages)
+    most = most or max(1 << 10, (1 << 20) // max(1, width))
+    out = np.zeros((n, width))
     stream = _stream(buf, offsets, model.symbol)
     begins = offsets + 3 * np.arange(n + 1)
     for a in range(0, len(stream) - 3, most):  # pieces of a fixed size, so that a long text takes no more memory
-        piece = stream[a : a + most + 3].astype(np.int32)
-        row = model.node[piece[2:-1] + piece[1:-2] * k + piece[:-3] * (k * k)]
-        costs = model.cost[row, piece[3:]]
-        costs[piece[3:] == 0] = 0
-        # documents that have bytes in this piece, positions a + 3 to the end of the piece
-        lo, hi = np.searchsorted(begins, a + 3, "right") - 1, np.searchsorted(begins, a + len(piece), "left")
-        cuts = np.maximum(begins[lo:hi] - (a + 3), 0)
-        out[lo:hi] += np.add.reduceat(costs, cuts, axis=0, dtype=np.float64) if len(cuts) else 0
+        piece = stream[a : a + most + 3].astype(np.int64)
+        place = np.flatnonzero(piece[3:] > 0) + 3
+        if not len(place):
+            continue
+        lo = np.searchsorted(begins, a + 3, "right") - 1
+        doc = np.searchsorted(begins, a + place, "right") - 1 - lo
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        nats = np.zeros((int(doc[-1]) + 1, width))
+        nats[doc[first]] = np.add.reduceat(model.dense[piece[place - 1], piece[place]], first, axis=0, dtype=np.float64)
+        code = piece[place] + piece[place - 1] * k
+        for o, level in enumerate(model.levels, 2):
+            code = code + piece[place - o] * k**o
+            at = np.searchsorted(level.pairs, code)
+            row = np.where(level.pairs[np.minimum(at, len(level.pairs) - 1)] == code, at, -1) if len(level.pairs) else np.full(len(code), -1)
+            miss = np.flatnonzero(row < 0)
+            context = code[miss] // k
+            at = np.searchsorted(level.nodes, context)
+            found = level.nodes[np.minimum(at, len(level.nodes) - 1)] == context if len(level.nodes) else np.zeros(len(miss), bool)
+            row[miss[found]] = len(level.pairs) + at[found]
+            some = np.flatnonzero(row >= 0)
+            begin = level.begin[row[some]]
+            entries = level.begin[row[some] + 1] - begin
+            each = np.repeat(begin - np.concatenate((np.zeros(1, np.int64), np.cumsum(entries)[:-1])), entries) + np.arange(entries.sum()) if len(some) else np.zeros(0, np.int64)
+            key = np.repeat(doc[some] * width, entries) + level.language[each]
+            nats += np.bincount(key, level.change[each], nats.size).reshape(nats.shape)
+        out[lo : lo + len(nats)] += nats
     return out
 
 
@@ -118,7 +187,7 @@ def fit(docs: DataFrame, keep: str = "true", max_rows: int = 4000, max_bytes: in
     # as many of each language as its share, but the rarest are not left out: rank by a rate that falls slowly with size
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not counts:
-        return Model([], np.zeros(256, np.uint8), np.zeros(1, np.int32), np.zeros((1, 1, 0), np.float32))
+        return Model([], np.zeros(256, np.uint8), np.zeros((1, 1, 0), np.float32), [])
     each = max(1, max_rows // len(counts))
     chance = F.create_map(*[y for x, c in counts.items() for y in (F.lit(x), F.lit(min(1.0, each / c)))])
     u = F.pmod(F.xxhash64("o"), F.lit(1 << 30)) / float(1 << 30)

@@ -592,6 +592,29 @@ def test_code_lengths_match_a_plain_reading():
         assert np.allclose(row, [nats(s, texts[x].to_pylist()) for x in "xy"], rtol=1e-5)
 
 
+def test_trees_of_a_hundred_languages():
+    """Related and unrelated languages, a hundred texts each: within the bound, told apart, and each cost that of its own tree alone."""
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    stems = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzéüß", k=rng.randrange(2, 7))) for _ in range(3000)]
+    texts, held = {}, {}
+    for j in range(100):
+        own = rng.sample(stems, 250)  # languages share letters, sequences and some words
+        make = lambda own=own: " ".join(rng.choices(own, k=60))
+        texts[f"l{j:03}"] = pa.array([make() for _ in range(100)])
+        held[f"l{j:03}"] = [make() for _ in range(2)]
+    model = langid.train(texts)
+    assert model.dense.nbytes + sum(x.nbytes() for x in model.levels) < 512 << 20
+    sample = pa.array([t for x in sorted(held) for t in held[x]])
+    got = langid.code_lengths(model, *kernel.string_buffer(sample))
+    assert (got.argmin(1) == np.repeat(np.arange(100), 2)).all()
+    for j in (0, 57, 99):
+        name = f"l{j:03}"
+        alone = langid.code_lengths(langid.train({name: texts[name]}), *kernel.string_buffer(sample))
+        assert np.allclose(got[:, j], alone[:, 0], rtol=1e-5)
+
+
 def test_language_id(spark, docs):
     rng = random.Random(0)
     make = lambda a: " ".join("".join(rng.choices(a, k=5)) for _ in range(30))
