@@ -26,6 +26,35 @@ from .common import fold, private, sampled, ship, table
 from .kernel import slices, string_buffer
 
 
+def _slot(code: np.ndarray, bits: int) -> np.ndarray:
+    return (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+
+
+def _slots(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash table of sorted codes: the place of one code for each slot (or -1), and whether it has more."""
+    bits = max(4, int(4 * len(codes)).bit_length())
+    slot = _slot(codes, bits)
+    table = np.full(1 << bits, -1, np.int32)
+    table[slot] = np.arange(len(codes), dtype=np.int32)
+    return table, np.bincount(slot, minlength=1 << bits) > 1
+
+
+def _find(codes: np.ndarray, slots: tuple[np.ndarray, np.ndarray], wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted code, or -1: by the hash table, and by binary search where a slot has more than one."""
+    if not len(codes):
+        return np.full(len(wanted), -1)
+    table, crowded = slots
+    slot = _slot(wanted, int(len(table)).bit_length() - 1)
+    at = table[slot].astype(np.int64)
+    wrong = np.flatnonzero((at < 0) | (codes[at] != wanted))
+    at[wrong] = -1
+    search = wrong[crowded[slot[wrong]]]
+    if len(search):
+        place = np.minimum(np.searchsorted(codes, wanted[search]), len(codes) - 1)
+        at[search] = np.where(codes[place] == wanted[search], place, -1)
+    return at
+
+
 @dataclass(frozen=True)
 class Level:
     """Contexts of one length: a row for each pair of context and byte that is known, then one for each context."""
@@ -35,9 +64,21 @@ class Level:
     begin: np.ndarray  #: where the entries of each row begin
     language: np.ndarray
     change: np.ndarray  #: float32, in nats
+    width: int  #: languages
+
+    def __post_init__(self) -> None:
+        """Where a third of all rows' languages have entries, rows are also laid out in full (the last, of nothing, for what isn't known): quicker, and no larger than twice."""
+        rows = len(self.begin) - 1
+        full = None
+        if rows and 3 * len(self.change) >= rows * self.width:
+            full = np.zeros((rows + 1, self.width), np.float32)
+            full[np.repeat(np.arange(rows), np.diff(self.begin)), self.language] = self.change
+        object.__setattr__(self, "full", full)
+        for name in ("pairs", "nodes"):
+            object.__setattr__(self, f"slots_{name}", _slots(getattr(self, name)))
 
     def nbytes(self) -> int:
-        return sum(x.nbytes for x in (self.pairs, self.nodes, self.begin, self.language, self.change))
+        return sum(x.nbytes for x in (self.pairs, self.nodes, self.begin, self.language, self.change, *self.slots_pairs, *self.slots_nodes)) + (0 if self.full is None else self.full.nbytes)
 
 
 @dataclass(frozen=True)
@@ -133,7 +174,7 @@ def train(texts: dict[str, pa.Array], order: int = 3, table_bytes: int = 512 <<
         row = np.concatenate(rows) if rows else empty
         sort = np.argsort(row, kind="stable")
         begin = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.bincount(row, minlength=len(pairs) + len(nodes)))))
-        levels.append(Level(pairs, nodes, begin, np.concatenate(langs)[sort] if langs else empty, np.concatenate(changes)[sort] if changes else empty))
+        levels.append(Level(pairs, nodes, begin, np.concatenate(langs)[sort] if langs else empty, np.concatenate(changes)[sort] if changes else empty, len(languages)))
         size += levels[-1].nbytes()
         check(0)
     return Model(languages, symbol, dense, levels)
@@ -142,7 +183,7 @@ def train(texts: dict[str, pa.Array], order: int = 3, table_bytes: int = 512 <<
 def code_lengths(model: Model, buf: np.ndarray, offsets: np.ndarray, most: int | None = None) -> np.ndarray:
     """Nats for each document under each language, summed over its whole text."""
     k, n, width = model.dense.shape[0], len(offsets) - 1, len(model.languages)
-    most = most or max(1 << 10, (1 << 20) // max(1, width))
+    most = most or max(1 << 10, min(1 << 16, (1 << 20) // max(1, width)))
     out = np.zeros((n, width))
     stream = _stream(buf, offsets, model.symbol)
     begins = offsets + 3 * np.arange(n + 1)
@@ -152,26 +193,28 @@ def code_lengths(model: Model, buf: np.ndarray, offsets: np.ndarray, most: int |
         if not len(place):
             continue
         lo = np.searchsorted(begins, a + 3, "right") - 1
-        doc = np.searchsorted(begins, a + place, "right") - 1 - lo
+        hi = np.searchsorted(begins, a + len(piece), "left")
+        doc = np.repeat(np.arange(hi - lo), np.diff(np.clip(begins[lo : hi + 1], a + 3, a + len(piece))))[place - 3]
         first = np.flatnonzero(np.diff(doc, prepend=-1))
         nats = np.zeros((int(doc[-1]) + 1, width))
-        nats[doc[first]] = np.add.reduceat(model.dense[piece[place - 1], piece[place]], first, axis=0, dtype=np.float64)
+        costs = model.dense.reshape(k * k, width)[piece[place - 1] * k + piece[place]]
         code = piece[place] + piece[place - 1] * k
         for o, level in enumerate(model.levels, 2):
             code = code + piece[place - o] * k**o
-            at = np.searchsorted(level.pairs, code)
-            row = np.where(level.pairs[np.minimum(at, len(level.pairs) - 1)] == code, at, -1) if len(level.pairs) else np.full(len(code), -1)
+            row = _find(level.pairs, level.slots_pairs, code)
             miss = np.flatnonzero(row < 0)
-            context = code[miss] // k
-            at = np.searchsorted(level.nodes, context)
-            found = level.nodes[np.minimum(at, len(level.nodes) - 1)] == context if len(level.nodes) else np.zeros(len(miss), bool)
-            row[miss[found]] = len(level.pairs) + at[found]
+            node = _find(level.nodes, level.slots_nodes, code[miss] // k)
+            row[miss] = np.where(node >= 0, len(level.pairs) + node, -1)
+            if level.full is not None:
+                costs += level.full[row]
+                continue
             some = np.flatnonzero(row >= 0)
             begin = level.begin[row[some]]
             entries = level.begin[row[some] + 1] - begin
             each = np.repeat(begin - np.concatenate((np.zeros(1, np.int64), np.cumsum(entries)[:-1])), entries) + np.arange(entries.sum()) if len(some) else np.zeros(0, np.int64)
             key = np.repeat(doc[some] * width, entries) + level.language[each]
             nats += np.bincount(key, level.change[each], nats.size).reshape(nats.shape)
+        nats[doc[first]] += np.add.reduceat(costs, first, axis=0, dtype=np.float64)
         out[lo : lo + len(nats)] += nats
     return out
 
