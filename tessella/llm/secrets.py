@@ -56,19 +56,58 @@ def _scanned(docs: DataFrame, text: Column, patterns: dict[str, str]) -> DataFra
     return docs.withColumns({f"_g_{k}": F.when(F.size(f"_m_{k}") > 0, F.split("_t", p, -1)) for k, p in patterns.items()})
 
 
+def _bound(value: Column, body) -> Column:
+    """body(value) with value computed once, as lambdas compute what they capture for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(items: Column, kind: str, weight, join, show, chunk: int = 256) -> Column:
+    """show(before, item) of each item (of type ``kind``), ``before`` being 0 joined with the weights of all items before it.
+
+    An aggregate copies what it has gathered at each step; so items are gathered chunk by chunk, and only the chunks' joined weights run over
+    the whole array: linear in the items of a text, for all practical sizes.
+    """
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<b:int,x:{kind}>>").alias("out"))
+
+    def within(part: Column) -> Column:
+        step = lambda state, x: F.struct(join(state["at"], weight(x)).alias("at"), F.concat(state["out"], F.array(F.struct(state["at"].alias("b"), x.alias("x")))).alias("out"))
+        return F.aggregate(part, start, step)
+
+    def across(done: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda state, d: F.struct(join(state["at"], d["at"]).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+        shown = lambda offsets: F.flatten(F.zip_with(done, offsets, lambda d, o: F.transform(d["out"], lambda e: show(join(o, e["b"]), e["x"]))))
+        return _bound(F.aggregate(done, zero, step, lambda state: state["out"]), shown)
+
+    def whole(every: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(every) / chunk).cast("int") - 1, F.lit(0))
+        parts = F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(every, c * chunk + 1, F.lit(chunk)))
+        return _bound(F.transform(parts, within), across)
+
+    return _bound(items, whole)
+
+
 def _spans(kind: str) -> Column:
-    """The matches of a scanned kind as spans in code points."""
+    """The matches of a scanned kind as spans in code points: offsets are running sums of gaps and matches."""
     found, gaps = F.col(f"_m_{kind}"), F.col(f"_g_{kind}")
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+    pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(F.length(g).alias("gap"), m.alias("match")))
+    size = lambda p: p["gap"] + F.length(p["match"])
+    span = lambda before, p: F.struct((before + p["gap"]).alias("start"), (before + size(p)).alias("end"), F.lit(kind).alias("kind"), p["match"].alias("text"))
+    spans = _running(pairs, "struct<gap:int,match:string>", size, lambda a, b: a + b, span)
+    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(_SPANS))
+
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), pair["match"].alias("text"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+def _free(tokens: Column, base: Column) -> Column:
+    """The tokens that touch no base span: at a token's end, the furthest end of the base spans that begin before it isn't past the token's start.
 
-    pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(m.alias("match"), g.alias("gap")))
-    return F.coalesce(F.aggregate(pairs, zero, step, lambda state: state["out"]), F.array().cast(_SPANS))
+    Both are sorted together by place, and the furthest end runs along.
+    """
+    asked = F.transform(tokens, lambda t: F.struct(t["end"].alias("at"), F.lit(0).alias("is_base"), F.lit(0).alias("reach"), t.alias("span")))
+    given = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("is_base"), b["end"].alias("reach"), F.lit(None).cast(_SPANS[6:-1]).alias("span")))
+    kind = f"struct<at:int,is_base:int,reach:int,span:{_SPANS[6:-1]}>"
+    clear = lambda before, x: F.when((x["is_base"] == 0) & (before <= x["span"]["start"]), x["span"])
+    kept = _running(F.array_sort(F.concat(asked, given)), kind, lambda x: x["reach"], F.greatest, clear)
+    return F.when((F.size(tokens) > 0) & (F.size(base) > 0), F.filter(kept, lambda x: x.isNotNull())).otherwise(tokens)
 
 
 def _normal_tail(z: Column) -> Column:
@@ -162,8 +201,7 @@ def scan(docs: DataFrame, keys: list[str], text: str = "text", settings: Setting
     scanned = _scanned(docs.select(*keys, F.col(text)), t, {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": TOKEN})
     value = lambda s: F.length(F.regexp_extract(s["text"], ASSIGN, 2)) >= 6  # noqa: E731  failing matches go after matching
     found = scanned.select(*keys, F.concat(F.filter(_spans("assign"), value), _spans("access"), _spans("hex")).alias("base"), _spans("random").alias("tokens"))
-    free = F.filter("tokens", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    found = written(found.select(*keys, "base", free.alias("tokens")), "secret-spans")
+    found = written(found.select(*keys, "base", _free(F.col("tokens"), F.col("base")).alias("tokens")), "secret-spans")
     # equal strings get equal p-values, and each occurrence counts in the step
     strings = found.select(F.explode("tokens").alias("s")).groupBy(F.col("s.text").alias("token")).agg(F.count("*").alias("times"))
     tested = written(battery(strings).where("p is not null"), "secret-tests")

@@ -335,6 +335,30 @@ def test_battery_matches_a_plain_reading(spark):
         assert r.encoding == e and np.allclose([r.p_uniform, r.p_runs, r.p_serial], want, atol=1e-5), (t, r, want)
 
 
+def test_secrets_of_a_text_with_many_matches(spark):
+    """8 MB of lines of hex, assignments and tokens: spans in seconds, each where it is."""
+    import time
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    lines = ["%064x" % rng.getrandbits(256) if i % 4 else f"é token = {word(12)} and {word(30)}" for i in range(125_000)]
+    text = "\n".join(lines)
+    few = "\n".join(lines[:30])
+    df = spark.createDataFrame([(1, text), (2, few), (3, None)], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r.spans for r in secrets.scan(df, ["doc_id"]).collect()}
+    assert time.time() - began < 120 and got[3] == []
+    for i, t in ((1, text), (2, few)):
+        base = sorted((m.start(), m.end(), k) for k, p in (("assign", secrets.ASSIGN), ("hex", "[0-9a-f]+")) for m in re.finditer(p, t, re.A) if (len(m[0]) >= 24 if k == "hex" else len(m[2]) >= 6))
+        assert sorted((s.start, s.end, s.kind) for s in got[i] if s.kind != "random") == base
+        assert all(t[s.start : s.end] == s.text for s in got[i])
+        taken = sorted((a, b) for a, b, _ in base)
+        more = [(s.start, s.end) for s in got[i] if s.kind == "random"]
+        at = [a for a, _ in taken]
+        assert all(not (k := bisect.bisect_left(at, e)) or taken[k - 1][1] <= s for s, e in more)
+        assert len(more) > 0.9 * sum("token" in x for x in t.split("\n"))
+
+
 def test_mixing_meets_targets(docs, corpus):
     size = {}
     for r in corpus:
