@@ -226,6 +226,7 @@ def _joined(spans: Column) -> Column:
 
 
 def op3(spark, sf_dir):
+    """All ``documents``: counts of the base kinds, the digest of base spans, and all spans; a null or empty text has none."""
     from .common import table
 
     spans = scan(table(spark, sf_dir, "documents"), ["doc_id"])
