@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella import sql
 from tessella.functions import text as tx
 from tessella.operators import folds, layout, lines, phrases
 from tessella.plans.pipelines import Options, filtered_lines, process_blocks
@@ -267,9 +268,28 @@ def expanded_phrases(spark, sf_dir):
     return phrases.render(_records(spark, sf_dir), ["L1", "K", "D"], expand=dictionary).select("riskid", "text_phrases", F.array_join("fields_used", ",").alias("used"))
 
 
+def sql_lines(spark, sf_dir):
+    """``doc_lines`` by the table function."""
+    sql.register(spark)
+    return spark.sql("SELECT * FROM text_lines(TABLE({docs}))", docs=documents(spark, sf_dir))
+
+
+def sql_table_runs(spark, sf_dir):
+    """``mask_text_tables`` by the table function, which keeps a few rows instead of a window."""
+    sql.register(spark)
+    return spark.sql("SELECT * FROM table_runs(TABLE({rows}), keys => 'doc_id')", rows=_noisy_lines(spark, sf_dir))
+
+
+def sql_segments(spark, sf_dir):
+    """``chunk_long`` by SQL functions that run on the JVM."""
+    sql.register(spark)
+    pieces = f"SELECT doc_id, text_segments(cleaned_text(text), 'sentence', {CHUNK_TOKENS}) AS s FROM {{docs}}"
+    return spark.sql(f"SELECT doc_id, posexplode(s) AS (segment_index, segment) FROM ({pieces})", docs=noisy(spark, sf_dir))
+
+
 def queries() -> dict:
     base = (pdf_blocks, pdf_pipeline, doc_lines, drop_numeric_lines, strip_toc_footer, mask_text_tables, clean_text, sentence_segments, paragraph_segments, chunk_long, full_pipeline, doc_narrative, token_counts, column_reorder, find_captions, phrases_normalised, phrases_mwe, fields_used, record_template, render_totals)
-    return {f.__name__: f for f in (*base, folded_pipeline, streamed_pipeline, assembled_documents, quoted_csv, named_documents, column_reorder_rounded, expanded_phrases)}
+    return {f.__name__: f for f in (*base, folded_pipeline, streamed_pipeline, assembled_documents, quoted_csv, named_documents, column_reorder_rounded, expanded_phrases, sql_lines, sql_table_runs, sql_segments)}
 
 
 # The same in SQL for an engine without lookaround: boundaries are captured and put back, or marked with chr(1).
@@ -407,6 +427,7 @@ def oracle_sql() -> dict[str, str]:
     joined = f"SELECT conv_id, count(*) AS n, string_agg(CASE WHEN t <> '' THEN t END, chr(10) ORDER BY turn) AS s FROM ({turns}) GROUP BY conv_id"
     turn_segments = _exploded(f"SELECT conv_id, turn, {_chunks('z', 512 * 6)} AS z FROM (SELECT conv_id, turn, {_sentences('t')} AS z FROM ({turns}))", "z", "conv_id, turn")
     mwe = _re("p", rf"{_WS}+", "_")
+    chunks = _exploded(f"SELECT doc_id, {_sentences('t')} AS z FROM (SELECT doc_id, {_clean('text')} AS t FROM ({_NOISY}))", _chunks("z", CHUNK_TOKENS * 6))
     pdf_text = f"SELECT doc_id, page, {_sentences('c')} AS z FROM (SELECT doc_id, page, {_clean('t')} AS c FROM ({_PDF_PAGES}))"
     size = "CAST(page AS INTEGER) AS page, CAST(pages AS INTEGER) AS pages, CAST(600 AS DOUBLE) AS width, CAST(1000 AS DOUBLE) AS height"
     return {
@@ -419,7 +440,7 @@ def oracle_sql() -> dict[str, str]:
         "clean_text": f"SELECT doc_id, {_clean('text')} AS cleaned FROM ({_NOISY})",
         "sentence_segments": _exploded(f"SELECT doc_id, {_clean('text')} AS t FROM ({_NOISY})", _sentences("t")),
         "paragraph_segments": _exploded(_NOISY, _pieces("string_split(" + _re(_re("text", r"\n{2,}", "chr(1)"), r"\.\n", "'.' || chr(1)") + ", chr(1))")),
-        "chunk_long": _exploded(f"SELECT doc_id, {_sentences('t')} AS z FROM (SELECT doc_id, {_clean('text')} AS t FROM ({_NOISY}))", _chunks("z", CHUNK_TOKENS * 6)),
+        "chunk_long": chunks,
         "full_pipeline": full,
         "doc_narrative": f"SELECT doc_id, string_agg(t, chr(10) ORDER BY page) AS text FROM (SELECT doc_id, page, {_clean('text')} AS t FROM ({_NARRATIVE})) WHERE t <> '' GROUP BY doc_id",
         "token_counts": f"SELECT 'documents' AS origin, doc_id AS id, CAST(0 AS BIGINT) AS part, {_tokens('text')} AS tokens FROM documents UNION ALL SELECT 'conversations', conv_id, turn, {_tokens('text')} FROM conversations",
@@ -431,6 +452,9 @@ def oracle_sql() -> dict[str, str]:
         "record_template": f"SELECT riskid, text_template, summary, {_tokens('text_template')} AS tokens_template FROM ({_TEMPLATE})",
         "render_totals": f"SELECT count(*) AS rows, CAST(coalesce(sum({_tokens('text_template')}), 0) AS BIGINT) AS tokens_template FROM ({_TEMPLATE})",
         "streamed_pipeline": full,
+        "sql_lines": _lines(_DOCS),
+        "sql_table_runs": _masked(_lines(_NOISY)),
+        "sql_segments": chunks,
         "folded_pipeline": full,
         "assembled_documents": f"SELECT conv_id, 'complete' AS status, CAST(n AS INTEGER) AS pages, 0 AS missing, coalesce(s, '') AS text FROM ({joined})",
         "quoted_csv": "SELECT doc_id, chr(34) || coalesce(text, '') || chr(34) || ',' AS text FROM documents",
