@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from tessella.functions import optional
 
 # The 29 code points that count as white space, and the patterns of the cleaning steps.
-WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACES = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WS = rf"[[^!-\x{{84}}]&&[{SPACES}]]"  #: most characters are told by the first range
+NOT_WS = rf"[^{SPACES}]"
 WORD = r"[\p{L}\p{N}_]"
-LINE_BREAK = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+LINE_BREAK = r"\r\n|[[^ -\x{84}]&&[\n\x0b\x0c\r\x1c-\x1e\x{85}\x{2028}\x{2029}]]"
 LIGATURES = (("ﬁ", "fi"), ("ﬂ", "fl"), ("­", ""))
 HYPHEN_BREAK = rf"({WORD})-{WS}*\n{WS}*({WORD})"
-CAMEL = r"(?<=[a-z])(?=[A-Z][a-z])"
-LETTER_DIGIT = r"(?<=[a-zA-Z])(?=[0-9])"
-DIGIT_LETTER = r"(?<=[0-9])(?=[A-Za-z])"
-BEFORE_PAREN = r"(?<=[A-Za-z0-9])(?=\()"
-AFTER_PAREN = r"(?<=\))(?=[A-Za-z0-9])"
-DASHES = "[‐–—]+"
-BULLETS = "[•·∙◦*]+"
+# the five boundaries by the character after them: no two meet at one place and none makes or unmakes another, so one pass does for all
+WORD_EDGES = r"(?=[A-Z(0-9])(?:(?<=[a-z])(?=[A-Z][a-z])|(?<=[a-zA-Z)])(?=[0-9])|(?<=[0-9)])(?=[A-Z])|(?<=[A-Za-z0-9])(?=\())|(?<=[0-9)])(?=[a-z])"
+DASHES = "[[‐-—]&&[‐–—]]+"
+BULLETS = r"[[^+-\x{b6}]&&[•·∙◦*]]+"
+STRIPPED = rf"(?s)\A{WS}*+(.*{NOT_WS})"
+WS_RUN = rf" {WS}+|[[^ -\x{{84}}]&&[{SPACES}]]{WS}*"  #: all runs but single blanks
 DOT_CAPITAL = rf"\.{WS}*([A-Z])"
 SENTENCE_BREAK = rf"(?<=[.!?]){WS}+(?=[A-Z(0-9])"
 PARAGRAPH_BREAK = r"\n{2,}|(?<=\.)\n"
@@ -31,7 +32,12 @@ TOKENS_PER_WORD = 1.3
 
 def strip(c: Column) -> Column:
     """Without white space at either end."""
-    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
+    return F.regexp_extract(c, STRIPPED, 1)
+
+
+def collapse(c: Column) -> Column:
+    """A blank for each run of white space."""
+    return F.regexp_replace(c, WS_RUN, " ")
 
 
 def normalize_ligatures(c: Column) -> Column:
@@ -48,12 +54,9 @@ def fix_linebreak_hyphens(c: Column) -> Column:
 def clean_text(c: Column) -> Column:
     """All cleaning steps in their order; null and empty texts become empty."""
     c = fix_linebreak_hyphens(normalize_ligatures(F.coalesce(c, F.lit(""))))
-    c = F.replace(c, F.lit("\u00a0"), F.lit(" "))
-    for pattern in (CAMEL, LETTER_DIGIT, DIGIT_LETTER, BEFORE_PAREN, AFTER_PAREN):
-        c = F.regexp_replace(c, pattern, " ")
+    c = F.regexp_replace(c, WORD_EDGES, " ")
     c = F.regexp_replace(F.regexp_replace(c, DASHES, "-"), BULLETS, "-")
-    c = F.regexp_replace(c, rf"{WS}+", " ")
-    return strip(F.regexp_replace(c, DOT_CAPITAL, r"\. $1"))
+    return F.trim(F.regexp_replace(collapse(c), DOT_CAPITAL, r"\. $1"))  # only blanks are left of white space
 
 
 def split_lines(c: Column) -> Column:
@@ -117,7 +120,7 @@ def count_tokens(c: Column, tokenizer: str | None = None) -> Column:
 
 
 def normalize_phrase(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(strip(F.coalesce(c, F.lit(""))), rf"{WS}+", " "), DASHES, "-")
+    return F.regexp_replace(collapse(strip(F.coalesce(c, F.lit("")))), DASHES, "-")
 
 
 def hyphen_space_variants(c: Column) -> Column:

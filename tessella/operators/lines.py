@@ -11,17 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessella.functions.text import WS, clean_text, segment_text, split_lines, strip
+from tessella.functions.text import NOT_WS, WS, clean_text, segment_text, split_lines, strip
 
-# Patterns of lines to keep and to drop.  They bear white space at either end, so that no line is stripped for them.
+# Patterns of lines to keep and to drop.  A look at the first letter spares the other tests at most places.  They bear white space at either end, so that no line is stripped for them.
 _EDGE = r"(?<![\p{L}\p{N}_])"
-CAPTION_LINE = rf"(?iu){_EDGE}(?:exhibit|figure|table|chart){WS}*\p{{Nd}}+{WS}*[:\-–]{WS}*"
-CONTENTS = r"(?iu)(?<![\p{L}\p{N}_])(table of contents|list of figures|list of tables)(?![\p{L}\p{N}_])"
+CAPTION_LINE = rf"(?iu)(?=[eftc]){_EDGE}(?:exhibit|figure|table|chart){WS}*\p{{Nd}}+{WS}*[:\-–]{WS}*"
+CONTENTS = r"(?iu)(?=[tl])(?<![\p{L}\p{N}_])(table of contents|list of figures|list of tables)(?![\p{L}\p{N}_])"
 DOT_LEADER = rf"[._]{{4,}}{WS}*\p{{Nd}}+{WS}*\z"
-EXHIBIT_OF = rf"(?iu){_EDGE}exhibit{WS}*<?\p{{Nd}}+>?{WS}*of{WS}*<?\p{{Nd}}+>?"
+EXHIBIT_OF = rf"(?iu)(?=e){_EDGE}exhibit{WS}*<?\p{{Nd}}+>?{WS}*of{WS}*<?\p{{Nd}}+>?"
 NOISE = (rf"(?iu)\A{WS}*web" + WS + r"*<\p{Nd}{4}>", rf"(?iu)mcKinsey{WS}*&{WS}*company", rf"(?iu)scan{WS}*•{WS}*download{WS}*•{WS}*personalize")
 PAGE_NUMBER = rf"\A{WS}*+(?:-{WS}*+)?\p{{Nd}}{{1,4}}{WS}*+(?:-{WS}*+)?\z"
-NOT_BLANK = WS.replace("[", "[^", 1)
+NOT_BLANK = NOT_WS
 COLUMN_GAP = rf"\t|{WS}{{2,}}"
 
 
@@ -46,8 +46,8 @@ def is_caption_line(line: Column) -> Column:
 
 def keep_by_alpha_ratio(line: Column, least: float = 0.2) -> Column:
     """Captions, and lines of which at least that share is letters; blank lines go."""
-    letters = F.regexp_count(line, F.lit(r"\p{L}"))
-    return line.rlike(NOT_BLANK) & (is_caption_line(line) | (letters / F.nullif(F.length(strip(line)), F.lit(0)) >= F.lit(float(least))))
+    letters = F.length(F.regexp_replace(line, r"\P{L}+", ""))
+    return line.rlike(NOT_BLANK) & ((letters / F.nullif(F.length(strip(line)), F.lit(0)) >= F.lit(float(least))) | is_caption_line(line))
 
 
 def keep_by_contents(line: Column, noise: Sequence[str] = NOISE) -> Column:

@@ -145,7 +145,7 @@ def _sub(c: str, pattern: str, to: str) -> str:
 
 
 def _strip(c: str) -> str:
-    return _sub(c, rf"\A{tx.WS}+|{tx.WS}+\z", "")
+    return f"regexp_extract({c}, {_raw(tx.STRIPPED)}, 1)"
 
 
 def _pieces(c: str) -> str:
@@ -156,12 +156,9 @@ def _cleaned() -> str:
     c = "coalesce(t, '')"
     for old, new in tx.LIGATURES:
         c = f"replace({c}, '{old}', '{new}')"
-    c = f"replace({_sub(c, tx.HYPHEN_BREAK, '$1$2')}, char(160), ' ')"
-    for pattern in (tx.CAMEL, tx.LETTER_DIGIT, tx.DIGIT_LETTER, tx.BEFORE_PAREN, tx.AFTER_PAREN):
-        c = _sub(c, pattern, " ")
-    for pattern, to in ((tx.DASHES, "-"), (tx.BULLETS, "-"), (rf"{tx.WS}+", " "), (tx.DOT_CAPITAL, r"\. $1")):
+    for pattern, to in ((tx.HYPHEN_BREAK, "$1$2"), (tx.WORD_EDGES, " "), (tx.DASHES, "-"), (tx.BULLETS, "-"), (tx.WS_RUN, " "), (tx.DOT_CAPITAL, r"\. $1")):
         c = _sub(c, pattern, to)
-    return _strip(c)
+    return f"trim({c})"
 
 
 def _segments() -> str:
