@@ -44,11 +44,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64)."""
-    x = x ^ (x >> U64(30))
-    x = x * U64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> U64(27))
-    x = x * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
+    x = x ^ (x >> U64(30))  # a new array, changed in place from here on
+    x *= U64(0xBF58476D1CE4E5B9)
+    x ^= x >> U64(27)
+    x *= U64(0x94D049BB133111EB)
+    x ^= x >> U64(31)
+    return x
 
 
 def string_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

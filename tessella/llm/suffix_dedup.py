@@ -28,6 +28,7 @@ repeats from period to period of a text is sent once with a count.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 import numpy as np
@@ -35,15 +36,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kernel
 from .common import discard, kept, partitions, ship, table, workspace, written
 from .jaccard_join import _dealt, _gathered
-from .kernel import BYTE_CODE, U64, mix, pieces, planes, powers, prefix_hash, slices, span_hash, string_buffer
+from .kernel import BYTE_CODE, U64, mix, planes, powers, prefix_hash, slices, span_hash, string_buffer
 
 GRAM = 20
 LAST = (1 << 63) - 1  #: where a null doc_id stands in the order
 FREQUENT_BITS = 22  #: size of the table that tells frequent grams; a collision moves one more gram to the end
-SEARCHED = 1 << 20  #: bytes of contexts that are searched at once
+SEARCHED = 1 << 20  #: most bytes of a minimiser's contexts that are searched at once
+BUNDLE = 1 << 18  #: bytes of contexts of several minimisers that are searched together; tables of that size stay in the cache
+LIST_BYTES, PART_BYTES = 16_000_000, 64_000_000  #: of text for each list of keys and contexts, and for each part that runs are brought back to
 MULTI = 1 << 15  #: marks a key that several documents of a batch hold
+pieces = functools.partial(kernel.pieces, most=(1 << 18) - 1)  # tables of a piece stay in the cache
 
 
 def _gram_hashes(buf: np.ndarray, prefix: np.ndarray, gram: int) -> np.ndarray:
@@ -52,7 +57,7 @@ def _gram_hashes(buf: np.ndarray, prefix: np.ndarray, gram: int) -> np.ndarray:
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & U64((1 << FREQUENT_BITS) - 1)).astype(np.int64)
+    return (hashes & U64((1 << FREQUENT_BITS) - 1)).view(np.int64)
 
 
 def minimiser_runs(buf: np.ndarray, offsets: np.ndarray, length: int, frequent: np.ndarray | None = None, gram: int = GRAM) -> dict[str, np.ndarray]:
@@ -69,7 +74,9 @@ def minimiser_runs(buf: np.ndarray, offsets: np.ndarray, length: int, frequent:
     order = hashes >> U64(1)
     if frequent is not None:
         order |= frequent[_slot(hashes)].astype(U64) << U64(63)
-    least = (order & ~U64(0xFFFFFFFF)) | np.arange(len(hashes), dtype=U64)
+    order &= ~U64(0xFFFFFFFF)
+    order |= np.arange(len(hashes), dtype=U64)
+    least = order
     span = 1
     while 2 * span <= window:
         least = np.minimum(least[:-span], least[span:])
@@ -97,55 +104,82 @@ def minimiser_runs(buf: np.ndarray, offsets: np.ndarray, length: int, frequent:
     return {"of": np.searchsorted(offsets, first, "right") - 1, "first": first, "last": last, "place": place, "hash": hashes[place], "left": left, "right": right, "has_left": has_left, "has_right": has_right, "prefix": prefix}
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in order of their first ``depth`` symbols (uint8; the end is below all), by doubling from packed words of eight."""
+def _sorted_with_places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys sorted, the place that each had), for keys of at most 64 - ``bits`` bits and fewer than 2 ** ``bits`` of them; ties by place."""
+    packed = np.sort((keys << U64(bits)) | np.arange(len(keys), dtype=U64))  # much faster than argsort
+    return packed >> U64(bits), (packed & U64((1 << bits) - 1)).astype(np.int32)
+
+
+def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(order, rank, known): suffixes in order of their first ``depth`` symbols (uint8; the end is below all), by doubling
+    from packed words of four, and the ranks by the first ``known`` symbols, the last step that does not pass ``depth``."""
     n = len(text)
-    padded = np.concatenate((text, np.zeros(8, np.uint8))).astype(U64)
+    bits, covered = max(1, n.bit_length()), min(4, depth)
+    padded = np.concatenate((text, np.zeros(covered, np.uint8))).astype(U64)
     key = np.zeros(n, U64)
-    for j in range(8):
+    for j in range(covered):
         key = (key << U64(8)) | padded[j : n + j]
-    covered = 8
+    width, known = 8 * covered, None
     while True:
-        order = np.argsort(key, kind="stable").astype(np.int32)
-        ranked = key[order]
+        if width + bits <= 64:
+            ranked, order = _sorted_with_places(key, bits)
+        else:
+            order = np.argsort(key, kind="stable").astype(np.int32)
+            ranked = key[order]
         rank = np.empty(n, np.int32)
-        rank[order] = np.cumsum(np.concatenate(([False], ranked[1:] != ranked[:-1])), dtype=np.int32)
-        del ranked
+        rank[order] = np.cumsum(np.concatenate(([False], ranked[1:] != ranked[:-1])) if n else [], dtype=np.int32)
+        if covered <= depth:
+            known = rank, covered
         if covered >= depth or (n and rank[order[-1]] == n - 1):
-            return order
-        key = rank.astype(U64) * U64(n + 1)
+            return order, *known
+        key = rank.astype(U64) << U64(bits)
         key[: max(0, n - covered)] += rank[covered:].astype(U64) + U64(1)
+        width = 2 * bits
         covered *= 2
 
 
 def common_intervals(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, interval number of each of its entries): intervals share a prefix of ``length`` symbols.
 
-    Only the transform is searched: round l keeps together the neighbours whose first symbols agree and
-    whose next suffixes, one backward step away in the transform, were still together in round l - 1.
+    What the sort has told apart is known.  From there on only the transform is searched: round l keeps together the
+    neighbours that agreed so far and whose next suffixes, one backward step away in the transform, were still together
+    in round l - 1.
     """
     n = len(text)
-    order = suffix_array(text, length)
+    order, rank, known = suffix_array(text, length)
     transform = text[order - 1]  # the symbol before each suffix; the first suffix is led by the last symbol
     forward = np.argsort(transform, kind="stable").astype(np.int32)  # entry of the suffix one symbol shorter
-    if n:
-        # the suffix at the very end has no shorter one: it follows itself as the least of all
-        column = transform[forward]
     apart = np.ones(n, bool)
-    apart[1:] = column[1:] != column[:-1]
-    block = np.cumsum(apart, dtype=np.int32)  # common prefixes of length 0 are told apart by the first symbol: round 1
+    ranked = rank[order]
+    apart[1:] = ranked[1:] != ranked[:-1]
+    block = np.cumsum(apart, dtype=np.int32)
     open_ = np.flatnonzero(~apart)
-    for _ in range(length - 1):
+    here, before = forward[open_], forward[open_ - 1]
+    for _ in range(length - known):
         if not len(open_):
             break
-        split = block[forward[open_]] != block[forward[open_ - 1]]
+        split = block[here] != block[before]
         if split.any():
             apart[open_[split]] = True
-            open_ = open_[~split]
+            stay = ~split
+            open_, here, before = open_[stay], here[stay], before[stay]
             block = np.cumsum(apart, dtype=np.int32)
     return order, block
 
 
+def repeated_starts(contexts: np.ndarray, where: np.ndarray, length: int) -> np.ndarray:
+    """Which of the strings of ``length`` bytes at ``where`` may be equal to another: all that are, by bits of their hashes."""
+    prefix = prefix_hash(contexts, BYTE_CODE)
+    digest = mix((prefix[where + length] - prefix[where]) * powers(len(prefix))[1][where])
+    bits = max(1, len(where).bit_length())
+    ranked, place = _sorted_with_places(digest >> U64(bits), bits)
+    same = ranked[1:] == ranked[:-1]
+    out = np.zeros(len(where), bool)
+    out[place[1:][same]] = True
+    out[place[:-1][same]] = True
+    return out
+
+
 def least_documents(contexts: np.ndarray, offsets: np.ndarray, document: np.ndarray, length: int) -> np.ndarray:
     """For each start in distinct contexts (laid out one after the other, each with its size - length + 1 starts), the least document that holds its string."""
     sizes = np.diff(offsets)
@@ -218,12 +252,11 @@ def _send(docs: DataFrame, length: int, dests: int, frequent) -> DataFrame:
                         live = runs[f"has_{side}"]
                         ids.append(_key_ids(runs[side][live], dests)), ords.append(runs["of"][live] + doc)
                 ids, ords = np.concatenate(ids), np.concatenate(ords)
-                order = np.lexsort((ords, ids))
-                ids, ords = ids[order], ords[order]
                 if not len(ids):
                     continue
-                new = np.concatenate(([True], (np.diff(ids) != 0) | (np.diff(ords) != 0)))
-                ids, ords = ids[new], ords[new]
+                both = np.sort((ids << U64(15)) | ords.astype(U64))  # ords are less than MULTI, lists less than 2 ** 17
+                both = both[np.concatenate(([True], both[1:] != both[:-1]))]
+                ids, ords = both >> U64(15), (both & U64(MULTI - 1)).astype(np.int64)
                 first = np.flatnonzero(np.concatenate(([True], np.diff(ids) != 0)))
                 held = np.diff(np.append(first, len(ids)))
                 many = np.repeat(held > 1, held)
@@ -345,10 +378,10 @@ def _contexts(texts: DataFrame, length: int, dests: int, spread: int, frequent)
 
 
 def _bounded(values: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
-    """Ranges of whole groups of equal sorted values, of about SEARCHED bytes each."""
+    """Ranges of whole groups of equal sorted values, of about BUNDLE bytes each."""
     if not len(values):
         return []
-    filled = np.cumsum(sizes) // SEARCHED
+    filled = np.cumsum(sizes) // min(BUNDLE, SEARCHED)
     heads = np.flatnonzero(np.concatenate(([True], np.diff(values) != 0)))
     edges = [0, *heads[1:][np.diff(filled[heads]) > 0].tolist(), len(values)]
     return list(zip(edges[:-1], edges[1:], strict=True))
@@ -364,12 +397,29 @@ def least_of_starts(data: np.ndarray, begin: np.ndarray, keys: np.ndarray, least
     _, heads, held = np.unique(keys[order], return_index=True, return_counts=True)
     volume = np.add.reduceat(sizes[order], heads) if len(heads) else np.zeros(0, np.int64)
 
-    def search(raw: np.ndarray, span: np.ndarray, who: np.ndarray) -> np.ndarray:
-        return least_documents(raw, np.concatenate(([0], np.cumsum(span))), who, length)
-
-    def gathered(starts: np.ndarray, span: np.ndarray) -> np.ndarray:
+    def cut(raw: np.ndarray, starts: np.ndarray, span: np.ndarray) -> np.ndarray:
         total = np.concatenate(([0], np.cumsum(span)))
-        return data[np.repeat(starts - total[:-1], span) + np.arange(total[-1])]
+        return raw[np.repeat(starts - total[:-1], span) + np.arange(total[-1])]
+
+    gathered = functools.partial(cut, data)
+
+    def search(raw: np.ndarray, span: np.ndarray, who: np.ndarray) -> np.ndarray:
+        """Of each context only what lies between starts that may be repeated is searched; other starts are their own document's."""
+        n = span - length + 1
+        ends = np.cumsum(n)
+        heads, offsets = ends - n, np.cumsum(span) - span
+        found = np.repeat(who, n)
+        hit = np.flatnonzero(repeated_starts(raw, np.repeat(offsets - heads, n) + np.arange(len(found)), length))
+        a, b = np.searchsorted(hit, heads), np.searchsorted(hit, ends)
+        some = np.flatnonzero(a < b)
+        if len(some):
+            low = hit[a[some]]
+            m = hit[b[some] - 1] - low + 1
+            size = m + length - 1
+            parts = cut(raw, offsets[some] + low - heads[some], size)
+            minima = least_documents(parts, np.concatenate(([0], np.cumsum(size))), who[some], length)
+            found[np.repeat(low - (np.cumsum(m) - m), m) + np.arange(len(minima))] = minima
+        return found
 
     fits = (held > 1) & (volume <= SEARCHED)
     some = order[np.repeat(fits, held)]
@@ -564,7 +614,8 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), text.alias("text"), F.xxhash64("doc_id", text).alias("rid"))
     known = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    dests = int(max(partitions(spark), (known[0] or 0) // 4_000_000))
+    dests, groups = (int(max(partitions(spark), (known[0] or 0) // size)) for size in (LIST_BYTES, PART_BYTES))
+    dests = min(dests, 1 << 17)
     with workspace(spark):
         grams = frequent_grams(docs, known[1])
         frequent = spark.sparkContext.broadcast(grams) if grams is not None else None  # of fixed size
@@ -574,10 +625,10 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
         discard(sent)
         some = keys.groupBy(F.col("rid").alias("r")).agg(F.max("keys").alias("keys"))
         found = docs.select("rid", "doc", "text").join(some.hint("shuffle_hash"), F.col("rid") == F.col("r")).select("rid", "doc", "text", "keys")
-        resolved = written(_resolve(_contexts(found, length, dests, dests, frequent), length, dests), "suffix-resolved")
+        resolved = written(_resolve(_contexts(found, length, dests, dests, frequent), length, groups), "suffix-resolved")
         discard(keys)
         state = resolved.where(F.col("kind") == _OPEN)
-        searched = _searched(state, _wanted_bytes(docs, resolved.where(F.col("kind") == _WANTED)), length, dests)
+        searched = _searched(state, _wanted_bytes(docs, resolved.where(F.col("kind") == _WANTED)), length, groups)
         searched = written(searched, "suffix-searched")
         info = kept(written(_by_document(resolved.where(F.col("kind") == _RUNS).select("part", "c0", "c1", "c2").unionByName(searched)), "suffix-runs"))
 

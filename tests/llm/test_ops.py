@@ -727,3 +727,33 @@ def test_range_lookup_is_bisection(spark, n):
     keys = splitters + [(far(), far()) for _ in range(100)]
     got = spark.createDataFrame(keys, "h long, i long").select("h", "i", sharding._range_of(splitters)("h", "i").alias("r")).collect()
     assert all(r.r == bisect.bisect_right(splitters, (r.h, r.i)) for r in got)
+
+
+def test_search_takes_only_strings_that_repeat(monkeypatch):
+    """Contexts that share a key and no string are not searched, and of others only what lies between repeated starts is."""
+    rng = np.random.default_rng(5)
+    noise = lambda n: rng.integers(0, 256, n).astype(np.uint8)
+    shared = noise(60)
+    texts = [noise(90) for _ in range(40)] + [np.concatenate((noise(25), shared, noise(25))) for _ in range(3)]
+    begin = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    least, seen = np.arange(len(texts))[::-1].copy(), []
+    search = suffix_dedup.least_documents
+    monkeypatch.setattr(suffix_dedup, "least_documents", lambda contexts, *rest: (seen.append(len(contexts)), search(contexts, *rest))[1])
+    got = suffix_dedup.least_of_starts(np.concatenate(texts), begin, np.zeros(len(texts), np.uint32), least, 50)
+    want = np.concatenate([np.full(len(t) - 49, d) for t, d in zip(texts, least, strict=True)])
+    first = np.concatenate(([0], np.cumsum([len(t) - 49 for t in texts])))
+    for k in (40, 41, 42):
+        want[first[k] + 25 : first[k] + 36] = least[42]
+    assert got.tolist() == want.tolist() and seen == [180]
+
+
+def test_lists_grow_with_the_text_and_parts_more_slowly(spark, monkeypatch):
+    """A task of contexts gives a row for each part: parts times lists must not grow with the square of the text."""
+    monkeypatch.setattr(suffix_dedup, "LIST_BYTES", 100)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 2000)
+    seen, resolve = [], suffix_dedup._resolve
+    monkeypatch.setattr(suffix_dedup, "_resolve", lambda contexts, length, groups: (seen.append(groups), resolve(contexts, length, groups))[1])
+    docs = spark.createDataFrame([(i, f"{i} " + "same words in all of them, again and again and once more " * 2) for i in range(200)], "doc_id long, text string")
+    got = suffix_dedup.remove_repeated(docs).collect()
+    total = sum(r.n_bytes for r in got)
+    assert seen == [total // 2000] and sorted(r.doc_id for r in got if r.n_removed) == list(range(1, 200))
