@@ -8,21 +8,27 @@ from pyspark.sql import functions as F
 from tessella.functions import optional
 
 # The 29 code points that count as white space, and the patterns of the cleaning steps.
-SPACES = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-WS = rf"[[^!-\x{{84}}]&&[{SPACES}]]"  #: most characters are told by the first range
-NOT_WS = rf"[^{SPACES}]"
+# Classes are ranges beyond Latin-1, the widest first, and then a table of Latin-1 characters, named one by one; none is negated.  On the
+# JVM a complement and a union test the same object for different types, each test undoes what the other has cached, and all threads of
+# a process wait for that cache line: many times slower, and the more so the more cores.
+_UPPER, _DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+_LOWER = _UPPER.lower()
+_FAR_WS = r"[\x{1680}-\x{3000}]&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+WS = rf"[[{_FAR_WS}][\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x{{85}}\x{{a0}}]]"
+NOT_WS = r"[!-~[\x{a1}-\x{167f}\x00-\x08\x0e-\x1b\x7f-\x{84}\x{86}-\x{9f}\x{1681}-\x{1fff}\x{200b}-\x{2027}\x{202a}-\x{202e}\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}]]"
 WORD = r"[\p{L}\p{N}_]"
-LINE_BREAK = r"\r\n|[[^ -\x{84}]&&[\n\x0b\x0c\r\x1c-\x1e\x{85}\x{2028}\x{2029}]]"
+LINE_BREAK = r"[[\x{2028}-\x{2029}][\n\x0b\f\r\x1c\x1d\x1e\x{85}]](?:(?<=\r)\n)?+"
 LIGATURES = (("ﬁ", "fi"), ("ﬂ", "fl"), ("­", ""))
-HYPHEN_BREAK = rf"({WORD})-{WS}*\n{WS}*({WORD})"
+# the hyphen first, as it is rare; a letter that ends a match begins no other; the branch that never holds makes room for letters of two units
+HYPHEN_BREAK = rf"-(?<={WORD}(?:-|(?!)--))(?<!\G-){WS}*\n{WS}*({WORD})"
 # the five boundaries by the character after them: no two meet at one place and none makes or unmakes another, so one pass does for all
-WORD_EDGES = r"(?=[A-Z(0-9])(?:(?<=[a-z])(?=[A-Z][a-z])|(?<=[a-zA-Z)])(?=[0-9])|(?<=[0-9)])(?=[A-Z])|(?<=[A-Za-z0-9])(?=\())|(?<=[0-9)])(?=[a-z])"
+WORD_EDGES = rf"(?=[{_UPPER}({_DIGIT}])(?:(?<=[{_LOWER}])(?=[{_UPPER}][{_LOWER}])|(?<=[{_LOWER}{_UPPER})])(?=[{_DIGIT}])|(?<=[{_DIGIT})])(?=[{_UPPER}])|(?<=[{_UPPER}{_LOWER}{_DIGIT}])(?=\())|(?<=[{_DIGIT})])(?=[{_LOWER}])"
 DASHES = "[[‐-—]&&[‐–—]]+"
-BULLETS = r"[[^+-\x{b6}]&&[•·∙◦*]]+"
+BULLETS = "[[[•-◦]&&[•∙◦]][*·]]+"
 STRIPPED = rf"(?s)\A{WS}*+(.*{NOT_WS})"
-WS_RUN = rf" {WS}+|[[^ -\x{{84}}]&&[{SPACES}]]{WS}*"  #: all runs but single blanks
+WS_RUN = rf"{WS}(?:{WS}++|(?<! ))"  #: all runs but single blanks
 DOT_CAPITAL = rf"\.{WS}*([A-Z])"
-SENTENCE_BREAK = rf"(?<=[.!?]){WS}+(?=[A-Z(0-9])"
+SENTENCE_BREAK = rf"{WS}(?<=[.!?]{WS}){WS}*+(?=[{_UPPER}({_DIGIT}])"
 PARAGRAPH_BREAK = r"\n{2,}|(?<=\.)\n"
 CLAUSE_BREAK = rf"(?<=[;:,]){WS}+"
 LONG_SENTENCE = 1200
@@ -48,7 +54,7 @@ def normalize_ligatures(c: Column) -> Column:
 
 def fix_linebreak_hyphens(c: Column) -> Column:
     """Words cut by a hyphen at a line's end are joined."""
-    return F.regexp_replace(c, HYPHEN_BREAK, "$1$2")
+    return F.regexp_replace(c, HYPHEN_BREAK, "$1")
 
 
 def clean_text(c: Column) -> Column:

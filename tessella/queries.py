@@ -196,7 +196,7 @@ def pdf_blocks(spark, sf_dir):
 
 def pdf_pipeline(spark, sf_dir):
     pages = process_blocks(pdf.text_blocks(pdf.parse_binary(_pdf_files(spark, sf_dir))))
-    return lines.segment_records(pages).select(tx.stem(F.col("doc")).alias("doc"), "page", "segment_index", "text")
+    return lines.segment_records(pages.withColumn("doc", tx.stem(F.col("doc"))))
 
 
 def _folder(spark, tag):

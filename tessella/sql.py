@@ -156,7 +156,7 @@ def _cleaned() -> str:
     c = "coalesce(t, '')"
     for old, new in tx.LIGATURES:
         c = f"replace({c}, '{old}', '{new}')"
-    for pattern, to in ((tx.HYPHEN_BREAK, "$1$2"), (tx.WORD_EDGES, " "), (tx.DASHES, "-"), (tx.BULLETS, "-"), (tx.WS_RUN, " "), (tx.DOT_CAPITAL, r"\. $1")):
+    for pattern, to in ((tx.HYPHEN_BREAK, "$1"), (tx.WORD_EDGES, " "), (tx.DASHES, "-"), (tx.BULLETS, "-"), (tx.WS_RUN, " "), (tx.DOT_CAPITAL, r"\. $1")):
         c = _sub(c, pattern, to)
     return f"trim({c})"
 

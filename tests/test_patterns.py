@@ -51,3 +51,19 @@ def test_patterns_equal_the_rules(spark):
     wrong = df.select("t", *[(~a.eqNullSafe(b)).alias(k) for k, (a, b) in pairs.items()])
     found = wrong.where(" or ".join(pairs)).limit(5).collect()
     assert not found, found
+
+
+def test_white_space_and_the_rest_are_all_characters(spark):
+    points = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    df = spark.createDataFrame([("".join(points[k : k + 4096]),) for k in range(0, len(points), 4096)], "t string")
+    every = df.select(F.explode(F.split("t", "")).alias("c"))
+    c = F.col("c")
+    assert every.count() == len(points)
+    assert every.where(c.rlike(SPACES)).count() == 29
+    assert every.where((c.rlike(tx.WS) != c.rlike(SPACES)) | (c.rlike(tx.NOT_WS) == c.rlike(SPACES))).count() == 0
+
+
+def test_no_class_of_ranges_is_negated():
+    # on the JVM a complement beside unions makes all threads of a process wait for each other: many times slower on many cores
+    names = ("WS", "NOT_WS", "LINE_BREAK", "HYPHEN_BREAK", "WORD_EDGES", "DASHES", "BULLETS", "STRIPPED", "WS_RUN", "DOT_CAPITAL", "SENTENCE_BREAK", "PARAGRAPH_BREAK", "CLAUSE_BREAK")
+    assert [n for n in names if "[^" in getattr(tx, n)] == []
